@@ -124,7 +124,8 @@ def ascii_fold(c) -> Column:
     pairs = F.create_map(*[F.lit(x) for kv in several.items() for x in kv])
     expanded = F.array_join(
         F.transform(F.split(c, ""), lambda ch: F.coalesce(F.try_element_at(pairs, ch), ch)), "")
-    has_several = c.rlike("[" + "".join(several) + "]")
+    # a hash lookup per character; a regex class of this size is tested member by member
+    has_several = F.translate(c, "".join(several), "") != c
     # most text is plain ASCII and skips both tables
     folded = F.translate(F.when(has_several, expanded).otherwise(c), source, target)
     return F.when(c.rlike(r"[^\x00-\x7F]"), F.regexp_replace(folded, r"[^\x00-\x7F]", "")).otherwise(c)

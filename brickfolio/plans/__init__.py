@@ -3,6 +3,6 @@
 
 def load_catalog():
     """All registered queries and oracle statements."""
-    from brickfolio.plans import catalog, queries_price  # noqa: F401
+    from brickfolio.plans import catalog, queries_price, queries_identity  # noqa: F401
 
     return catalog.QUERIES, catalog.ORACLES

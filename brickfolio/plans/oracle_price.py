@@ -118,9 +118,9 @@ PARTS: dict[str, str] = {
              CASE WHEN h <= 3 THEN 'NOTICE' END AS confirmation_source,
              CASE WHEN h <= 3 THEN event_date + 1 END AS confirmation_date,
              event_date + 3 AS governance_review_date, 'reviewed' AS review_notes
-      FROM (SELECT *, CASE h WHEN 2 THEN round(price_before * 0.05::DOUBLE, 4)
-                             WHEN 3 THEN round(price_before * 0.03::DOUBLE, 4) END AS cash,
-                   CASE h WHEN 2 THEN 0.0::DOUBLE WHEN 3 THEN round(price_before * 0.02::DOUBLE, 4) END AS in_kind
+      FROM (SELECT *, CASE h WHEN 2 THEN price_before * 0.05::DOUBLE
+                             WHEN 3 THEN price_before * 0.03::DOUBLE END AS cash,
+                   CASE h WHEN 2 THEN 0.0::DOUBLE WHEN 3 THEN price_before * 0.02::DOUBLE END AS in_kind
             FROM (SELECT *, (CAST(substr(ticker, 3) AS BIGINT) * 31
                              + date_diff('day', DATE '1970-01-01', event_date) * 17) % 97 AS h FROM candidates))
       WHERE h <> 5""",

@@ -64,8 +64,8 @@ def registry(candidates: DataFrame) -> DataFrame:
     h = (number * 31 + F.unix_date("event_date") * 17) % 97
     before, day = F.col("price_before"), F.col("event_date")
     confirmed, amortized = h <= 3, h.isin(2, 3)
-    cash = F.when(h == 2, F.round(before * 0.05, 4)).when(h == 3, F.round(before * 0.03, 4))
-    in_kind = F.when(h == 2, 0.0).when(h == 3, F.round(before * 0.02, 4))
+    cash = F.when(h == 2, before * 0.05).when(h == 3, before * 0.03)
+    in_kind = F.when(h == 2, 0.0).when(h == 3, before * 0.02)
 
     def only(test: Column, value) -> Column:
         return F.when(test, value)
@@ -90,3 +90,94 @@ def registry(candidates: DataFrame) -> DataFrame:
     return candidates.filter(h != 5).select(
         "ticker", "event_date", *[columns[f.name].cast(f.dataType).alias(f.name)
                                   for f in C.REGISTRY_SCHEMA if f.name in columns])
+
+
+# --- identity ---------------------------------------------------------------
+
+def _padded(number: Column) -> Column:
+    return F.lpad(number.cast("string"), 14, "0")
+
+
+def fund_register(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """part: one fund class per part; every 50th pair of parts shares an id."""
+    k = F.col("p_partkey")
+    return read(spark, sf_dir, "part").select(
+        _padded(F.when(k % 50 == 1, k - 1).otherwise(k)).alias("CNPJ_Classe"),
+        F.col("p_partkey").cast("string").alias("Codigo_CVM"),
+        F.when(F.col("p_type") == "SMALL", "Outros").otherwise(C.FUND_CLASS).alias("Tipo_Classe"),
+        F.concat(F.lit("Fundo de Investimento Imobiliário "), "p_name", F.lit(" "), "p_brand", F.lit(" "),
+                 F.col("p_size").cast("string"), F.lit(" - FII")).alias("Denominacao_Social"),
+        F.when(F.col("p_size") % 10 == 0, "Cancelado").otherwise("Em Funcionamento Normal").alias("Situacao"),
+        F.date_format(F.date_add(F.lit("2001-01-01").cast("date"), F.col("p_size")), "yyyy-MM-dd").alias("Data_Registro"),
+        F.col("p_retailprice").cast("string").alias("Patrimonio_Liquido"))
+
+
+def silver_funds(register: DataFrame) -> DataFrame:
+    """Fund classes keyed by normalised id."""
+    return register.filter(F.col("Tipo_Classe") == C.FUND_CLASS).select(
+        F.col("CNPJ_Classe").alias("cnpj"), "Codigo_CVM", "Denominacao_Social", "Situacao")
+
+
+def _ticker(part: Column, kind: Column) -> Column:
+    return F.concat(F.lit("P"), part.cast("string"), F.element_at(F.array(F.lit("11"), F.lit("12"), F.lit("13")),
+                                                                    (kind + 1).cast("int")))
+
+
+def _instrument(part: Column, kind: Column) -> Column:
+    return F.concat(F.lit("I"), part.cast("string"), F.lit("-"), kind.cast("string"))
+
+
+def instruments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lineitem x part: up to three instruments per part; some name another as underlying."""
+    kind = F.col("kind")
+    listed = read(spark, sf_dir, "lineitem").groupBy("l_partkey", (F.col("l_suppkey") % 3).alias("kind")).agg(
+        F.to_date(F.max("l_shipdate")).alias("report_date"))
+    rows = listed.join(read(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    k = F.col("l_partkey")
+    refers = (
+        F.when((kind == 2) & (k % 4 <= 1), _instrument(k, F.lit(0)))
+        .when((kind == 2) & (k % 4 == 2), _instrument(k, F.lit(1)))
+        .when((kind == 1) & (k % 16 == 2), _instrument(k, F.lit(0))))
+    return rows.select(
+        _instrument(k, kind).alias("instrument_id"), F.lit("8").alias("instrument_id_type"),
+        F.lit("BVMF").alias("listing_market"), _ticker(k, kind).alias("ticker"),
+        F.concat(F.lit("BR"), k.cast("string"), kind.cast("string")).alias("isin"),
+        F.concat(F.lit("A"), k.cast("string")).alias("asset"),
+        F.concat(F.lit(" FDO INV IMOB "), F.upper("p_name"), F.lit(" "), "p_brand", F.lit(" "),
+                 F.col("p_size").cast("string")).alias("corporate_name"),
+        F.when((kind == 0) | (k % 5 == 0), "6").otherwise("1").alias("security_category"),
+        F.lit("10").alias("b3_market"), F.lit("1").alias("b3_segment"),
+        F.when(kind == 2, "OptnOnEqtsInf").otherwise("EqtyInf").alias("instrument_type"),
+        refers.alias("underlying_instrument_id"), "report_date")
+
+
+def traded_instruments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = read(spark, sf_dir, "lineitem").filter((F.col("l_returnflag") == "R") & (F.col("l_linenumber") <= 2))
+    return items.select(_instrument(F.col("l_partkey"), F.col("l_suppkey") % 3).alias("instrument_id"))
+
+
+def mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lineitem: known tickers of a part, one row each."""
+    items = read(spark, sf_dir, "lineitem").filter((F.col("l_linenumber") == 7) & (F.col("l_returnflag") == "R"))
+    k = F.col("l_partkey")
+    return items.select(
+        _ticker(k, F.col("l_suppkey") % 3).alias("ticker"), _padded(k).alias("cnpj"),
+        F.concat(F.lit("F "), k.cast("string")).alias("fund_name"), F.lit("Ativo").alias("category_status"),
+        F.lit("mapping").alias("source")).distinct()
+
+
+def part_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lineitem: sessions (weeks) in which a part's ticker was seen."""
+    items = read(spark, sf_dir, "lineitem").filter(F.col("l_linenumber") <= 4)
+    return items.select(
+        F.lower(_ticker(F.col("l_partkey"), F.col("l_suppkey") % 3)).alias("ticker"),
+        F.to_date(F.date_trunc("week", "l_shipdate")).alias("trade_date"))
+
+
+def price_master(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """customer: the active funds behind the tickers of the daily panel."""
+    k = F.col("c_custkey").cast("string")
+    return read(spark, sf_dir, "customer").filter("c_acctbal > 0").select(
+        F.concat(F.lit("FD"), k).alias("ticker"), F.lpad(k, 14, "0").alias("cnpj"), k.alias("codigo_cvm"),
+        F.col("c_name").alias("denominacao_social"), F.col("c_mktsegment").alias("situacao_cvm"),
+        F.lit("RESOLVED_BY_B3").alias("ticker_resolution_status"), F.lit("HIGH").alias("market_evidence_confidence"))

@@ -1,0 +1 @@
+"""Readers: archives, XML reports, registers, web pages and partitioned tables."""
