@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-_PER_OCTAVE = 512
+_PER_OCTAVE = 4096
 _SHIFT = 1100 * _PER_OCTAVE  # above the bucket number of the smallest positive double
 
 
@@ -35,7 +35,7 @@ def exact_quantiles(values: DataFrame, group: list[str], value: str, quantiles:
     per_bucket = counted.groupBy(*group, "_b").agg(F.sum("_n").alias("_bn"))
     by_bucket = Window.partitionBy(*group).orderBy("_b") if group else Window.orderBy("_b")
     everything = Window.partitionBy(*group) if group else Window.partitionBy()
-    # bounded input: at most a few thousand buckets per group
+    # bounded input: a few thousand buckets per octave of values and group
     placed = per_bucket.withColumns({
         "_before": F.sum("_bn").over(by_bucket) - F.col("_bn"),
         "_total": F.sum("_bn").over(everything),

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date
-
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from brickfolio.functions import columns as X
 
@@ -26,14 +24,17 @@ def with_session_index(rows: DataFrame, calendar: DataFrame) -> DataFrame:
     return rows.join(F.broadcast(calendar), "trade_date", "left")
 
 
-def trading_calendar(spark: SparkSession, start: date, end: date, holidays: DataFrame,
-                     special: DataFrame) -> DataFrame:
-    """Each day of the range with its class and the trading day before it.
+def days_of(df: DataFrame, column: str) -> DataFrame:
+    """Every calendar day from the first to the last value of a date column."""
+    day = F.to_date(column)
+    return df.agg(F.min(day).alias("a"), F.max(day).alias("b")).select(F.explode(F.sequence("a", "b")).alias("day"))
+
+
+def trading_calendar(days: DataFrame, holidays: DataFrame, special: DataFrame) -> DataFrame:
+    """Each day with its class and the trading day before it.
 
     ``holidays`` and ``special`` hold one row per exceptional date (``day``).
     """
-    days = spark.sql(
-        "select explode(sequence(:a, :b)) as day", args={"a": start, "b": end})
     marked = (
         days.join(holidays.select("day", F.lit(True).alias("holiday")), "day", "left")
         .join(special.select("day", F.lit(True).alias("special")), "day", "left")
@@ -51,12 +52,10 @@ def trading_calendar(spark: SparkSession, start: date, end: date, holidays: Data
     )
 
 
-def expected_cycles(spark: SparkSession, start: date, end: date, weekdays: list[int],
-                    excluded: DataFrame) -> DataFrame:
+def expected_cycles(days: DataFrame, weekdays: list[int], excluded: DataFrame) -> DataFrame:
     """Expected run dates: the given weekdays (Monday = 0) without the excluded days."""
-    days = spark.sql("select explode(sequence(:a, :b)) as run_date", args={"a": start, "b": end})
-    return days.filter(F.weekday("run_date").isin(*weekdays)).join(
-        excluded.select(F.col("day").alias("run_date")), "run_date", "left_anti")
+    runs = days.select(F.col("day").alias("run_date")).filter(F.weekday("run_date").isin(*weekdays))
+    return runs.join(excluded.select(F.col("day").alias("run_date")), "run_date", "left_anti")
 
 
 def missing_cycles(expected: DataFrame, observed: DataFrame) -> DataFrame:

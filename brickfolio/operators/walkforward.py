@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
@@ -234,24 +236,27 @@ def fit_predict(train: DataFrame, held: DataFrame, name: str, features: list[str
 
 
 def walk_forward_predictions(universe: DataFrame, models: list[str], folds: int = C.FOLDS,
-                             sessions: int = C.FOLD_SESSIONS, **options) -> DataFrame:
+                             sessions: int = C.FOLD_SESSIONS, parallelism: int = 4, **options) -> DataFrame:
     """Fit every model on every fold and union the validation predictions.
 
-    The driver loops over folds and models only. Each fit reads the rows again,
-    so they are first written once to the shared folder with their fold dates.
+    The driver loops over folds and models only, a few fits at a time. Each fit
+    reads the rows again, so ``universe`` should be a stored table.
     """
     features = C.feature_names()
-    table = fold_table(universe, folds, sessions)
-    stored = write_and_reread(
-        universe.select("ticker", "feature_date", "target_date", TARGET, *features), "walk-forward")
-    bounds = sorted((r.fold_id, r.validation_start, r.validation_end) for r in table.collect())
-    parts = []
-    for fold_id, start, end in bounds:
-        train = stored.filter(F.col("target_date") < F.lit(start))
-        held = stored.filter(F.col("feature_date").between(F.lit(start), F.lit(end)))
-        for name in models:
-            _, predicted = fit_predict(train, held, name, features, **options)
-            parts.append(predicted.withColumn("fold_id", F.lit(fold_id)))
+    rows = universe.select("ticker", "feature_date", "target_date", TARGET, *features)
+    bounds = sorted((r.fold_id, r.validation_start, r.validation_end)
+                    for r in fold_table(universe, folds, sessions).collect())
+
+    def one(job):
+        (fold_id, start, end), name = job
+        train = rows.filter(F.col("target_date") < F.lit(start))
+        held = rows.filter(F.col("feature_date").between(F.lit(start), F.lit(end)))
+        _, predicted = fit_predict(train, held, name, features, **options)
+        return predicted.withColumn("fold_id", F.lit(fold_id))
+
+    jobs = [(b, name) for b in bounds for name in models]
+    with ThreadPoolExecutor(parallelism) as pool:
+        parts = list(pool.map(inheritable_thread_target(universe.sparkSession)(one), jobs))
     return reduce(DataFrame.unionByName, parts).select(
         "fold_id", "model", "ticker", "feature_date", TARGET, "prediction")
 

@@ -89,4 +89,7 @@ class Pipeline:
 
     @cached_property
     def universe(self) -> DataFrame:
-        return walkforward.pre_test_universe(self.stored_training, self.boundaries)
+        """Samples before the test split, written once: every fold statistic reads them again."""
+        rows = walkforward.pre_test_universe(self.stored_training, self.boundaries)
+        names = ["ticker", "feature_date", "target_date", walkforward.TARGET, *C.feature_names(self.windows)]
+        return write_and_reread(rows.select(*names), "universe")

@@ -27,7 +27,7 @@ _DOUBLE = re.compile(
     r"|^target_economic_vs|_growth_factor$|_effect$|^return_difference$|^absolute_|variation(_pct)?$|^price_range"
     r"|^price_volatility|^max_abs|^trimmed_mean$|^original_mean$|^min_target$|^share_|_pct$|^share$)")
 _NOT_DOUBLE = re.compile(
-    r"^(flag_|has_|is_|informational_|detected_|confirmed_in_kind_asset)|(_count|_rows|_date|_class|_folds|_session_index|_semantics|_version"
+    r"^(attribute_value$|flag_|has_|is_|informational_|detected_|confirmed_in_kind_asset)|(_count|_rows|_date|_class|_folds|_session_index|_semantics|_version"
     r"|_source|_status|_status_on_date|_days|_sessions|_match|_target_min|_target_max)$|^abs_ge_|^large_"
     r"|^validation_target_(min|max)$|^train_target_max$|^price_quality")
 

@@ -33,7 +33,10 @@ def daily_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     The order key of the first and last value is one decimal, so the aggregate
     keeps fixed-width buffers and stays a hash aggregate with a partial step.
     """
-    events = read(spark, sf_dir, "events")
+    return panel_from_events(read(spark, sf_dir, "events"))
+
+
+def panel_from_events(events: DataFrame) -> DataFrame:
     order = (
         F.unix_micros(F.col("ts").cast("timestamp")).cast("decimal(20,0)") * F.lit(10 ** 15).cast("decimal(16,0)")
         + F.col("event_id").cast("decimal(20,0)"))

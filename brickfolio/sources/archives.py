@@ -88,17 +88,18 @@ def xml_records(archives: DataFrame, tag: str) -> DataFrame:
     return archives.select("path", "content").mapInArrow(run, "path string, member string, record string")
 
 
-def decoded(content: str | Column) -> Column:
-    """Text of bytes: UTF-8 when valid, else the Western code page; a leading mark is dropped.
+# the Western code page differs from latin1 in these bytes; five it leaves undefined
+_UNDEFINED = "".join(chr(b) for b in range(0x80, 0xA0) if bytes([b]).decode("cp1252", "ignore") == "")
+_LATIN = "".join(chr(b) for b in range(0x80, 0xA0) if chr(b) not in _UNDEFINED)
+_WESTERN = "".join(bytes([ord(c)]).decode("cp1252") for c in _LATIN)
 
-    The last two encodings of the fallback list, cp1252 and latin1, differ only in
-    five bytes that cp1252 leaves undefined.
-    """
+
+def decoded(content: str | Column) -> Column:
+    """Text of bytes: UTF-8 when valid, else cp1252, else latin1; a leading mark is dropped."""
     c = X.col(content)
-    undefined = F.hex(c).rlike("^(..)*(81|8D|8F|90|9D)")
-    text = (F.when(F.is_valid_utf8(c.cast("string")), c.cast("string"))
-            .when(undefined, F.decode(c, "ISO-8859-1")).otherwise(F.decode(c, "windows-1252")))
-    return F.regexp_replace(text, "^﻿", "")
+    plain, latin = c.cast("string"), F.decode(c, "ISO-8859-1")
+    western = F.when(F.translate(latin, _UNDEFINED, "") != latin, latin).otherwise(F.translate(latin, _LATIN, _WESTERN))
+    return F.regexp_replace(F.when(F.is_valid_utf8(plain), plain).otherwise(western), "^\uFEFF", "")
 
 
 def register_rows(files: DataFrame, columns: list[str], sep: str = ";") -> DataFrame:

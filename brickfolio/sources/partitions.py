@@ -11,11 +11,16 @@ from brickfolio.functions import columns as X
 
 
 def schema_contract(df: DataFrame, expected: T.StructType) -> DataFrame:
-    """One row per expected column: present, type as written in the contract."""
+    """One row per expected column: its type against the contract and its null count."""
     have = {f.name: f.dataType.simpleString() for f in df.schema}
-    rows = [(f.name, f.dataType.simpleString(), have.get(f.name),
-             "PASS" if have.get(f.name) == f.dataType.simpleString() else "FAIL") for f in expected]
-    return df.sparkSession.createDataFrame(rows, "column_name string, expected_type string, actual_type string, status string")
+    counts = df.agg(*[
+        (F.count_if(F.col(f.name).isNull()) if f.name in have else F.lit(None).cast("bigint")).alias(f.name)
+        for f in expected])
+    rows = F.array(*[
+        F.struct(F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString()).alias("expected_type"),
+                 F.lit(have.get(f.name)).alias("actual_type"), F.col(f.name).alias("null_rows")) for f in expected])
+    return counts.select(F.inline(rows)).withColumn(
+        "status", F.when(F.col("expected_type") == F.col("actual_type"), "PASS").otherwise("FAIL"))
 
 
 def read_panel(spark: SparkSession, root: str) -> DataFrame:

@@ -35,42 +35,56 @@ INSTRUMENT_DOUBLES = ("round_lot", "price_factor", "market_capitalization", "las
                       "settlement_days", "rights_issue_price")
 
 
-def _element(record: Column, path: str) -> Column:
-    """Text of the first element the path finds, whatever its namespace prefix; null when absent."""
-    steps = "".join(("//" if i == 0 else "/") + step for i, step in enumerate(path.split("/")))
-    return F.nullif(F.trim(F.xpath_string(record, F.lit(steps))), F.lit(""))
+_XML = {"ignoreNamespace": "true", "mode": "PERMISSIVE"}
+_IDENT = "struct<OthrId: struct<Id: string, Tp: struct<Prtry: string>>, PlcOfListg: struct<MktIdrCd: string>>"
+_QUOTES = "struct<" + ", ".join(f"{t}: string" for t in ("FrstPric", "MinPric", "MaxPric", "TradAvrgPric", "LastPric", "RglrTxsQty")) + ">"
+TRADE_XML = (f"TradDt struct<Dt: string>, SctyId struct<TckrSymb: string>, FinInstrmId {_IDENT}, FinInstrmAttrbts {_QUOTES}")
+_BLOCK = "struct<" + ", ".join(f"{t}: string" for t in INSTRUMENT_FIELDS.values()) + f", UndrlygInstrmId: {_IDENT}>"
+INSTRUMENT_XML = (
+    f"RptParams struct<RptDtAndTm: struct<Dt: string>, UpdTp: string>, FinInstrmId {_IDENT}, "
+    "FinInstrmAttrCmon struct<Asst: string, AsstDesc: string, Mkt: string, Sgmt: string, Desc: string>, "
+    f"InstrmInf struct<InstrumentBlock: {_BLOCK}>")
+_FIRST_CHILD = r"<(?:[\w.-]+:)?InstrmInf(?:\s[^>]*)?>\s*<(?:[\w.-]+:)?([\w.-]+)"
 
 
-def _plain(record: str) -> Column:
-    """The record without namespace prefixes and declarations."""
-    return F.regexp_replace(F.regexp_replace(F.col(record), r"<(/?)[\w.-]+:", "<$1"), r"\sxmlns(:[\w.-]+)?=\"[^\"]*\"", "")
+def _ident(block: Column, names: tuple[str, str, str]) -> list[Column]:
+    return [block["OthrId"]["Id"].alias(names[0]), block["OthrId"]["Tp"]["Prtry"].alias(names[1]),
+            block["PlcOfListg"]["MktIdrCd"].alias(names[2])]
 
 
-def parse_trades(records: DataFrame) -> DataFrame:
-    """``record`` texts of PriceReport elements to rows of text fields.
+def _trade_columns(r: Column) -> list[Column]:
+    quotes = r["FinInstrmAttrbts"]
+    return [r["TradDt"]["Dt"].alias("trade_date"), r["SctyId"]["TckrSymb"].alias("ticker"),
+            *_ident(r["FinInstrmId"], ("instrument_id", "instrument_id_type", "market")),
+            *[quotes[TRADE_FIELDS[c]].alias(c) for c in (*TRADE_DOUBLES, "trades_quantity")]]
 
-    Fields sit at different depths of the record; one schema with every block
-    optional would tie the job to one report version, so each field is found by
-    its name, as the reports define it.
-    """
-    r = F.col("xml")
-    return records.withColumn("xml", _plain("record")).select(
-        *[c for c in records.columns if c != "record"], *[_element(r, tag).alias(c) for c, tag in TRADE_FIELDS.items()])
+
+def parse_trades(records: DataFrame) -> DataFrame:
+    """``record`` texts of PriceReport elements to rows of text fields; each record is parsed once."""
+    parsed = records.withColumn("r", F.from_xml("record", F.lit(TRADE_XML), _XML))
+    return parsed.select(*[c for c in records.columns if c != "record"], *_trade_columns(F.col("r")))
 
 
 def parse_instruments(records: DataFrame) -> DataFrame:
-    """``record`` texts of Instrm elements; records without an instrument block are dropped."""
-    r = F.col("xml")
-    fields = {c: f"Instrm/{block}//{tag}" for block, tags in INSTRUMENT_BLOCKS.items() for c, tag in tags.items()}
-    first = "Instrm/InstrmInf/*[1]"
-    fields.update({c: f"{first}//{tag}" for c, tag in INSTRUMENT_FIELDS.items() if c != "ticker"})
-    fields["ticker"] = f"{first}//TckrSymb"
-    fields.update({c: f"{first}/UndrlygInstrmId//{tag}" for c, tag in UNDERLYING_FIELDS.items()})
-    kind = F.nullif(F.xpath_string(r, F.lit("name(//Instrm/InstrmInf/*[1])")), F.lit(""))
-    return records.withColumn("xml", _plain("record")).select(
-        *[c for c in records.columns if c != "record"], kind.alias("instrument_type"),
-        *[_element(r, p).alias(c) for c, p in fields.items()],
-    ).filter("instrument_type is not null")
+    """``record`` texts of Instrm elements; records without an instrument block are dropped.
+
+    The block is the first child of InstrmInf and its tag name is the type of the
+    instrument, so the tag is read first and then given one name for all types.
+    """
+    kind = F.nullif(F.regexp_extract("record", _FIRST_CHILD, 1), F.lit(""))
+    tagged = records.withColumn("instrument_type", kind).filter("instrument_type is not null")
+    uniform = F.regexp_replace(
+        F.col("record"), F.concat(F.lit(r"<(/?)((?:[\w.-]+:)?)"), F.col("instrument_type"), F.lit(r"(?=[\s>/])")),
+        F.lit("<$1$2InstrumentBlock"))
+    r, block = F.col("r"), F.col("r.InstrmInf.InstrumentBlock")
+    common = F.col("r.FinInstrmAttrCmon")
+    return tagged.withColumn("r", F.from_xml(uniform, F.lit(INSTRUMENT_XML), _XML)).select(
+        *[c for c in records.columns if c != "record"],
+        r["RptParams"]["RptDtAndTm"]["Dt"].alias("report_date"), r["RptParams"]["UpdTp"].alias("update_type"),
+        *_ident(r["FinInstrmId"], ("instrument_id", "instrument_id_type", "listing_market")),
+        *[common[tag].alias(c) for c, tag in INSTRUMENT_BLOCKS["FinInstrmAttrCmon"].items()], "instrument_type",
+        *[block[tag].alias(c) for c, tag in INSTRUMENT_FIELDS.items()],
+        *_ident(block["UndrlygInstrmId"], tuple(UNDERLYING_FIELDS)))
 
 
 def typed_trades(rows: DataFrame) -> DataFrame:
@@ -88,15 +102,5 @@ def typed_instruments(rows: DataFrame) -> DataFrame:
 
 def read_price_reports(spark: SparkSession, path: str) -> DataFrame:
     """Loose XML report files through the XML source: one row per PriceReport."""
-    schema = ("TradDt struct<Dt: string>, SctyId struct<TckrSymb: string>, "
-              "FinInstrmId struct<OthrId: struct<Id: string, Tp: struct<Prtry: string>>, PlcOfListg: struct<MktIdrCd: string>>, "
-              "TradDtls struct<RglrTxsQty: string>, FinInstrmAttrbts struct<FrstPric: string, MinPric: string, "
-              "MaxPric: string, TradAvrgPric: string, LastPric: string, RglrTxsQty: string>")
-    rows = spark.read.format("xml").option("rowTag", "PriceReport").option("ignoreNamespace", "true").schema(schema).load(path)
-    a, ident = F.col("FinInstrmAttrbts"), F.col("FinInstrmId")
-    return rows.select(
-        F.col("TradDt.Dt").alias("trade_date"), F.col("SctyId.TckrSymb").alias("ticker"),
-        ident["OthrId"]["Id"].alias("instrument_id"), ident["OthrId"]["Tp"]["Prtry"].alias("instrument_id_type"),
-        ident["PlcOfListg"]["MktIdrCd"].alias("market"),
-        *[a[tag].alias(c) for c, tag in TRADE_FIELDS.items() if c in TRADE_DOUBLES],
-        F.coalesce(a["RglrTxsQty"], F.col("TradDtls.RglrTxsQty")).alias("trades_quantity"))
+    rows = spark.read.format("xml").options(rowTag="PriceReport", **_XML).schema(TRADE_XML).load(path)
+    return rows.select(F.struct("*").alias("r")).select(*_trade_columns(F.col("r")))
