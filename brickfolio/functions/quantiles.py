@@ -8,9 +8,11 @@ ordered. Repeated values are one row with a count, so a hot value costs nothing.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-_PER_OCTAVE = 4096
+_PER_OCTAVE = 1024
 _SHIFT = 1100 * _PER_OCTAVE  # above the bucket number of the smallest positive double
 
 
@@ -49,8 +51,11 @@ def exact_quantiles(values: DataFrame, group: list[str], value: str, quantiles:
         F.struct(s["name"].alias("name"), F.lit(1).alias("side"), F.ceil(s["at"]).alias("rank"),
                  (s["at"] - F.floor(s["at"])).alias("part")))))
     inside = F.filter(ranks, lambda r: (r["rank"] >= F.col("_before")) & (r["rank"] < F.col("_before") + F.col("_bn")))
-    wanted = placed.withColumn("_ranks", inside).filter(F.size("_ranks") > 0).select(
-        *group, "_b", "_before", "_ranks")
+    # plain comparisons drop nearly all buckets before the arrays are built
+    first, behind = F.col("_before"), F.col("_before") + F.col("_bn")
+    places = [side((F.col("_total") - 1) * F.lit(float(p))) for p in quantiles.values() for side in (F.floor, F.ceil)]
+    hit = reduce(lambda x, y: x | y, [(r >= first) & (r < behind) for r in places])
+    wanted = placed.filter(hit).withColumn("_ranks", inside).select(*group, "_b", "_before", "_ranks")
     key = [*group, "_b"]
     in_bucket = Window.partitionBy(*key).orderBy("_v")
     ordered = counted.join(wanted, key, "inner").withColumn(

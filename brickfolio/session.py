@@ -31,7 +31,8 @@ def build_session(app_name: str = "brickfolio", master: str | None = None, **opt
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**SQL_SETTINGS, **options}.items():
+    start = {"spark.python.sql.dataFrameDebugging.enabled": "false"}  # call sites per column cost driver time
+    for key, value in {**start, **SQL_SETTINGS, **options}.items():
         builder = builder.config(key, value)
     return configure(builder.getOrCreate())
 
