@@ -1,9 +1,9 @@
 """Exact quantiles of columns that are too large for one task.
 
 The built-in exact ``percentile`` keeps every distinct value of a group in one
-aggregation buffer. Here the values are first counted per value, then laid into
-ordered logarithmic buckets; only the buckets that hold a wanted rank are
-ordered. Repeated values are one row with a count, so a hot value costs nothing.
+aggregation buffer. Here values are counted per ordered logarithmic bucket,
+which combines before the shuffle and leaves a small table; only the values of
+the few buckets that hold a wanted rank are then counted and ordered.
 """
 
 from __future__ import annotations
@@ -26,15 +26,14 @@ def exact_quantiles(values: DataFrame, group: list[str], value: str, quantiles:
                     weight: str | None = None) -> DataFrame:
     """One row per group with the named quantiles, linearly interpolated.
 
-    Null values are left out. ``weight`` may name a column of repeat counts.
+    Meant for few, large groups (splits, features, folds, models). Null values
+    are left out. ``weight`` may name a column of repeat counts.
     """
-    n = F.sum(weight) if weight else F.count(F.lit(1))
-    counted = (
-        values.filter(F.col(value).isNotNull())
-        .groupBy(*group, F.col(value).cast("double").alias("_v")).agg(n.alias("_n"))
-        .withColumn("_b", ordered_bucket(F.col("_v")))
-    )
-    per_bucket = counted.groupBy(*group, "_b").agg(F.sum("_n").alias("_bn"))
+    v = F.col(value).cast("double")
+    bucketed = values.filter(F.col(value).isNotNull()).select(
+        *group, v.alias("_v"), (F.col(weight) if weight else F.lit(1)).cast("bigint").alias("_n"),
+        ordered_bucket(v).alias("_b"))
+    per_bucket = bucketed.groupBy(*group, "_b").agg(F.sum("_n").alias("_bn"))
     by_bucket = Window.partitionBy(*group).orderBy("_b") if group else Window.orderBy("_b")
     everything = Window.partitionBy(*group) if group else Window.partitionBy()
     # bounded input: a few thousand buckets per octave of values and group
@@ -58,7 +57,9 @@ def exact_quantiles(values: DataFrame, group: list[str], value: str, quantiles:
     wanted = placed.filter(hit).withColumn("_ranks", inside).select(*group, "_b", "_before", "_ranks")
     key = [*group, "_b"]
     in_bucket = Window.partitionBy(*key).orderBy("_v")
-    ordered = counted.join(wanted, key, "inner").withColumn(
+    # ``wanted`` has at most two rows per quantile and group, so it is broadcast
+    kept = bucketed.join(F.broadcast(wanted.select(*key)), key, "left_semi").groupBy(*key, "_v").agg(F.sum("_n").alias("_n"))
+    ordered = kept.join(F.broadcast(wanted), key, "inner").withColumn(
         "_end", F.col("_before") + F.sum("_n").over(in_bucket))
     hits = ordered.withColumn("_hit", F.explode(F.filter("_ranks", lambda r: (
         r["rank"] < F.col("_end")) & (r["rank"] >= F.col("_end") - F.col("_n")))))

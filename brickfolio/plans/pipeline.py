@@ -87,6 +87,12 @@ class Pipeline:
     def split(self) -> DataFrame:
         return splits.temporal_split(self.stored_training)
 
+    @cached_property
+    def stored_split(self) -> DataFrame:
+        """The split as a written table, for reports that read it several times."""
+        names = ["split_name", "ticker", "feature_date", "target_date", walkforward.TARGET, *C.feature_names(self.windows)]
+        return write_and_reread(self.split.select(*names), "split")
+
     @cached_property
     def universe(self) -> DataFrame:
         """Samples before the test split, written once: every fold statistic reads them again."""

@@ -483,11 +483,11 @@ _STATS_SQL = " UNION ALL ".join(
     f"count({c}) AS finite_rows, avg({c}) AS mean, stddev_samp({c}) AS std, min({c}) AS min, max({c}) AS max, "
     + ", ".join(f"quantile_cont({c}, {q}) AS {n}" for n, q in DG.FEATURE_QUANTILES.items())
     + " FROM split GROUP BY split_name" for c in _FN)
-final("feature_stats", "weekly", lambda p: DG.feature_stats(p.split, _FN), _STATS, "split", _STATS_SQL)
+final("feature_stats", "weekly", lambda p: DG.feature_stats(p.stored_split, _FN), _STATS, "split", _STATS_SQL)
 _DRIFT = ("feature_name train_mean validation_mean mean_delta train_median validation_median median_delta train_std "
           "validation_std std_ratio train_p01 validation_p01 train_p99 validation_p99 train_nulls validation_nulls smd "
           "abs_smd smd_class")
-final("feature_drift", "weekly", lambda p: DG.feature_drift(DG.feature_stats(p.split, _FN)), _DRIFT, "split", f"""
+final("feature_drift", "weekly", lambda p: DG.feature_drift(DG.feature_stats(p.stored_split, _FN)), _DRIFT, "split", f"""
   SELECT *, abs(smd) AS abs_smd, CASE WHEN smd IS NULL THEN 'UNDEFINED' WHEN abs(smd) < 0.10 THEN 'LOW'
             WHEN abs(smd) < 0.25 THEN 'MODERATE' WHEN abs(smd) < 0.50 THEN 'HIGH' ELSE 'VERY_HIGH' END AS smd_class
   FROM (SELECT t.feature_name, t.mean AS train_mean, v.mean AS validation_mean, v.mean - t.mean AS mean_delta,
@@ -499,7 +499,7 @@ final("feature_drift", "weekly", lambda p: DG.feature_drift(DG.feature_stats(p.s
         FROM ({_STATS_SQL}) t JOIN ({_STATS_SQL}) v ON v.feature_name = t.feature_name
         WHERE t.split_name = 'train' AND v.split_name = 'validation')""")
 _Y = "target_return_next_5d"
-final("target_distribution", "weekly", lambda p: DG.target_distribution(p.split),
+final("target_distribution", "weekly", lambda p: DG.target_distribution(p.stored_split),
       ["split_name", "rows", "mean", "std", "min", "max", *DG.TARGET_QUANTILES], "split",
       f"SELECT split_name, count(*) AS rows, avg({_Y}) AS mean, stddev_samp({_Y}) AS std, min({_Y}) AS min, max({_Y}) AS max, "
       + ", ".join(f"quantile_cont({_Y}, {q}) AS {n}" for n, q in DG.TARGET_QUANTILES.items())
@@ -510,12 +510,12 @@ final("target_thresholds", "weekly", lambda p: DG.target_thresholds(p.split),
           f"AS sample_count, count(*) FILTER ({_Y} {op} {s}{t}) / count(*) AS share FROM split GROUP BY split_name"
           for d, op, s, ts in (("loss", "<=", "-", DG.LOSS_THRESHOLDS), ("gain", ">=", "", DG.GAIN_THRESHOLDS)) for t in ts))
 _ORDERS = {"negative": f"{_Y}", "positive": f"{_Y} DESC", "absolute": f"abs({_Y}) DESC"}
-final("trimmed_mean", "weekly", lambda p: DG.trimmed_mean(p.split), "direction removed trimmed_mean original_mean",
+final("trimmed_mean", "weekly", lambda p: DG.trimmed_mean(p.stored_split), "direction removed trimmed_mean original_mean",
       "split", " UNION ALL ".join(
           f"SELECT '{d}' AS direction, {n} AS removed, avg({_Y}) FILTER (rn > {n}) AS trimmed_mean, avg({_Y}) AS original_mean "
           f"FROM (SELECT {_Y}, row_number() OVER (ORDER BY {o}) AS rn FROM split) HAVING count(*) > {n}"
           for d, o in _ORDERS.items() for n in DG.TRIM_SIZES))
-final("loss_concentration", "weekly", lambda p: DG.loss_concentration(p.split),
+final("loss_concentration", "weekly", lambda p: DG.loss_concentration(p.stored_split),
       "ticker occurrences mean_target min_target first_feature_date last_feature_date share_of_loss_events", "split", f"""
   SELECT *, occurrences / (SELECT count(*) FROM split WHERE {_Y} <= -0.1) AS share_of_loss_events
   FROM (SELECT ticker, count(*) AS occurrences, avg({_Y}) AS mean_target, min({_Y}) AS min_target,
@@ -535,8 +535,8 @@ _SUM_SQL = f"""
   SELECT split_name, count(*) AS rows, count(DISTINCT ticker) AS tickers, avg({_Y}) AS mean, median({_Y}) AS median,
          stddev_samp({_Y}) AS std, avg(({_Y} > 0)::INT) AS positive_rate, avg(({_Y} <= -0.05)::INT) AS loss_5_rate,
          avg(({_Y} <= -0.1)::INT) AS loss_10_rate, avg(({_Y} <= -0.2)::INT) AS loss_20_rate FROM split GROUP BY split_name"""
-final("split_summary", "weekly", lambda p: DG.split_summary(p.split), ["split_name", "rows", "tickers", *_SUM], "split", _SUM_SQL)
-final("split_deltas", "weekly", lambda p: DG.split_deltas(DG.split_summary(p.split)),
+final("split_summary", "weekly", lambda p: DG.split_summary(p.stored_split), ["split_name", "rows", "tickers", *_SUM], "split", _SUM_SQL)
+final("split_deltas", "weekly", lambda p: DG.split_deltas(DG.split_summary(p.stored_split)),
       "metric train_value validation_value delta", "split", f"""
   SELECT metric, max(v) FILTER (split_name = 'train') AS train_value,
          max(v) FILTER (split_name = 'validation') AS validation_value,
