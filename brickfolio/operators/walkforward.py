@@ -213,7 +213,7 @@ def best_models(summary: DataFrame) -> DataFrame:
 # --- models -----------------------------------------------------------------
 
 def model_pipeline(name: str, features: list[str], target: str = TARGET, trees: int = C.FOREST_TREES,
-                   depth: int = 8, seed: int = C.SEED) -> Pipeline:
+                   depth: int = 5, seed: int = C.SEED) -> Pipeline:
     filled = [f"{c}_filled" for c in features]
     impute = Imputer(inputCols=features, outputCols=filled, strategy="median", relativeError=0.0005)
     assemble = VectorAssembler(inputCols=filled, outputCol="assembled")
