@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from brickfolio.llm import fm_dedup
+from brickfolio.llm import fm_dedup, simhash
 from brickfolio.llm.tables import read
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -16,7 +16,12 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fm_dedup.remove_repeats(read(spark, sf_dir, "documents")).drop("kept_text")
 
 
+def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Build] = {f.__name__: f for f in (
     op1_substring_dedup,
+    op3_simhash_near_dedup,
 )}
 ORACLES: dict[str, str] = {}
