@@ -28,7 +28,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse modulo 2**64."""
     if len(_powers[0]) < n:
         n = max(n, 1 << 21)
@@ -43,7 +43,7 @@ class SpanHasher:
     """Hashes any span of a byte buffer from running sums."""
 
     def __init__(self, data: np.ndarray):
-        power, self.inverse = _power_tables(len(data) + 1)
+        power, self.inverse = powers(len(data) + 1)
         self.sums = np.zeros(len(data) + 1, dtype=np.uint64)
         np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[:len(data)], out=self.sums[1:])
 

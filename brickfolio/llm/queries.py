@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from brickfolio.llm import fm_dedup, quality_rules, simhash
+from brickfolio.llm import fm_dedup, line_dedup, quality_rules, simhash
 from brickfolio.llm.tables import read
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -24,9 +24,14 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_report(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Build] = {f.__name__: f for f in (
     op1_substring_dedup,
     op3_simhash_near_dedup,
     op8_quality_rules,
+    op9_line_dedup,
 )}
 ORACLES: dict[str, str] = {}
