@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from brickfolio.llm import fm_dedup, line_dedup, quality_rules, simhash
+from brickfolio.llm import decontaminate, fm_dedup, line_dedup, quality_rules, simhash
 from brickfolio.llm.tables import read
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -28,10 +28,15 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_report(read(spark, sf_dir, "documents"))
 
 
+def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Build] = {f.__name__: f for f in (
     op1_substring_dedup,
     op3_simhash_near_dedup,
+    op6_benchmark_decontamination,
     op8_quality_rules,
     op9_line_dedup,
 )}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op6_benchmark_decontamination": decontaminate.REPORT_SQL}
