@@ -29,10 +29,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from brickfolio.llm.bytewords import Words, find_words, mix, ranges, word_slices
-from brickfolio.llm.tables import id_or_last, row_key
+from brickfolio.llm.tables import bounded, id_or_last, row_key
 
 PIECE = 64          # most windows of one passage; longer ones are cut, overlapping
-BLOCK = 400_000     # words of one FM-index
+BLOCK = 250_000     # words of one FM-index
 
 
 def passages(words: Words, window: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -324,7 +324,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """One row per document: doc_id, n_words, n_removed, kept_sha256 (of the kept words, joined by one space), kept_text."""
     if not 1 <= gram <= window:
         raise ValueError("gram must lie between 1 and window")
-    rows = docs.select(
+    rows = bounded(docs).select(
         row_key(id_col, text_col).alias("rk"), F.col(text_col).cast("string").alias("text"), id_or_last(id_col).alias("id"),
         F.col(id_col).cast("long").alias("doc_id"))
     seen = rows.select("rk", "text").mapInArrow(_names(window, gram), "rk long, name long, n int")

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from brickfolio.llm.bytewords import Words, mix, word_slices
-from brickfolio.llm.tables import stored
+from brickfolio.llm.tables import bounded, stored
 
 WINDOW = 8
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -115,7 +115,7 @@ def _measure(carried: list[str]):
 
 def measured(docs: DataFrame, columns: list[str], stratum_col: str, text_col: str) -> DataFrame:
     """``columns`` of the documents, with __stratum, the counts, __failed and the step that each rule's score has reached."""
-    rows = docs.select(*columns, F.coalesce(F.col(stratum_col).cast("string"), F.lit("")).alias("__stratum"), F.col(text_col).cast("string").alias("__text"))
+    rows = bounded(docs).select(*columns, F.coalesce(F.col(stratum_col).cast("string"), F.lit("")).alias("__stratum"), F.col(text_col).cast("string").alias("__text"))
     carried = [*columns, "__stratum"]
     types = {f.name: f.dataType.simpleString() for f in rows.schema}
     schema = ", ".join([f"`{x}` {types[x]}" for x in carried] + [f"__{x} long" for x in COUNTS] + ["__failed boolean"] + [f"__{x} int" for x in RULES])

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from brickfolio.llm import decontaminate, fm_dedup, line_dedup, quality_rules, simhash
+from brickfolio.llm import decontaminate, fm_dedup, lattice, line_dedup, quality_rules, simhash
 from brickfolio.llm.tables import read
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -32,11 +33,17 @@ def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.report(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Build] = {f.__name__: f for f in (
     op1_substring_dedup,
     op3_simhash_near_dedup,
     op6_benchmark_decontamination,
     op8_quality_rules,
     op9_line_dedup,
+    op10_sentencepiece,
 )}
+QUERIES["pipeline"] = corpus_pipeline.run
 ORACLES: dict[str, str] = {"op6_benchmark_decontamination": decontaminate.REPORT_SQL}

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from brickfolio.llm.bytewords import ranges, text_slices
 from brickfolio.llm.components import components
-from brickfolio.llm.tables import LAST_ID, id_or_last, stored
+from brickfolio.llm.tables import LAST_ID, bounded, id_or_last, row_key, stored
 
 BITS = 64
 _LOWER = bytes(range(256)).lower()
@@ -55,14 +55,15 @@ def _fingerprints(shingle: int):
             for _, _, data, offsets in text_slices(batch.column("text")):
                 body = data.tobytes()
                 prints += [fingerprint(body[a:b], shingle) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
-            yield pa.record_batch([batch.column("doc_id"), pa.array(np.array(prints, dtype=np.uint64).view(np.int64))], ["doc_id", "print"])
+            yield pa.record_batch(
+                [batch.column("doc_id"), batch.column("rk"), pa.array(np.array(prints, dtype=np.uint64).view(np.int64))], ["doc_id", "rk", "print"])
     return run
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
-    """doc_id, print (the 64 bits as a signed long)."""
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(_fingerprints(shingle), "doc_id long, print long")
+    """doc_id, rk (the row's key), print (the 64 bits as a signed long)."""
+    rows = bounded(docs).select(F.col(id_col).cast("long").alias("doc_id"), row_key(id_col, text_col).alias("rk"), F.col(text_col).cast("string").alias("text"))
+    return rows.mapInArrow(_fingerprints(shingle), "doc_id long, rk long, print long")
 
 
 def _keys(print_: Column, blocks: int, radius: int) -> Column:
@@ -219,15 +220,28 @@ def print_links(prints: DataFrame, radius: int = 3, blocks: int = 6, chunk: int
             .mapInArrow(_links(radius), "a long, b long").distinct())
 
 
+def _joined(docs: DataFrame, id_col: str, text_col: str, shingle: int, radius: int, blocks: int, chunk: int) -> tuple[DataFrame, DataFrame]:
+    """The fingerprints, and for each distinct one: least, the first (id, key) that has it, n_alike and the root of its component."""
+    own = stored(fingerprints(docs, id_col, text_col, shingle), "prints")
+    distinct = stored(own.groupBy("print").agg(F.min(F.struct(id_or_last("doc_id").alias("id"), "rk")).alias("least"), F.count("*").alias("n_alike")), "distinct")
+    roots = components(print_links(distinct.select("print"), radius, blocks, chunk)).withColumnRenamed("node", "print")
+    return own, distinct.join(roots, "print", "left").withColumn("root", F.coalesce("root", "print"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, radius: int = 3, blocks: int = 6,
                     chunk: int = 16_384) -> DataFrame:
     """One row per document: doc_id, fingerprint (16 hex digits), component_id (the least id reachable), n_alike (documents of its fingerprint)."""
-    own = stored(fingerprints(docs, id_col, text_col, shingle), "prints")
-    distinct = stored(own.groupBy("print").agg(F.min(id_or_last("doc_id")).alias("least"), F.count("*").alias("n_alike")), "distinct")
-    roots = components(print_links(distinct.select("print"), radius, blocks, chunk)).withColumnRenamed("node", "print")
-    known = distinct.join(roots, "print", "left").withColumn("root", F.coalesce("root", "print"))
-    named = known.groupBy("root").agg(F.min("least").alias("component_id"))
+    own, known = _joined(docs, id_col, text_col, shingle, radius, blocks, chunk)
+    named = known.groupBy("root").agg(F.min("least.id").alias("component_id"))
     labels = known.join(named, "root").select("print", "component_id", "n_alike")
     return own.join(labels, "print").select(
         "doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"),
         F.when(F.col("component_id") != LAST_ID, F.col("component_id")).alias("component_id"), "n_alike")
+
+
+def keep_one(docs: DataFrame, shingle: int = 3, radius: int = 3, blocks: int = 6, chunk: int = 16_384) -> DataFrame:
+    """The columns of documents; of each component one row stays, that of the least id (if several rows share it, the least hashed text)."""
+    columns = ["doc_id", "text", "lang", "source", "n_chars"]
+    _, known = _joined(docs, "doc_id", "text", shingle, radius, blocks, chunk)
+    kept = known.groupBy("root").agg(F.min("least").alias("least")).select("least.rk")
+    return docs.select(*columns, row_key("doc_id", "text").alias("rk")).join(kept, "rk", "left_semi").dropDuplicates(["rk"]).select(*columns)
