@@ -7,7 +7,7 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from brickfolio.llm import decontaminate, fm_dedup, lattice, line_dedup, quality_rules, simhash
+from brickfolio.llm import chat, decontaminate, fm_dedup, lattice, line_dedup, quality_rules, simhash
 from brickfolio.llm.tables import read
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -37,13 +37,18 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice.report(read(spark, sf_dir, "documents"))
 
 
+def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.report(read(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Build] = {f.__name__: f for f in (
     op1_substring_dedup,
     op3_simhash_near_dedup,
+    op4_chat_formatting,
     op6_benchmark_decontamination,
     op8_quality_rules,
     op9_line_dedup,
     op10_sentencepiece,
 )}
 QUERIES["pipeline"] = corpus_pipeline.run
-ORACLES: dict[str, str] = {"op6_benchmark_decontamination": decontaminate.REPORT_SQL}
+ORACLES: dict[str, str] = {"op4_chat_formatting": chat.REPORT_SQL, "op6_benchmark_decontamination": decontaminate.REPORT_SQL}
