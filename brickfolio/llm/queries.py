@@ -7,7 +7,7 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from brickfolio.llm import chat, decontaminate, fm_dedup, language, lattice, line_dedup, quality_rules, simhash
+from brickfolio.llm import chat, decontaminate, fm_dedup, language, lattice, line_dedup, quality_rules, secrets, simhash
 from brickfolio.llm.tables import read
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -45,10 +45,15 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(read(spark, sf_dir, "documents"))
 
 
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Build] = {f.__name__: f for f in (
     op1_substring_dedup,
     op3_simhash_near_dedup,
     op4_chat_formatting,
+    op5_secret_scan,
     op6_benchmark_decontamination,
     op7_language_id,
     op8_quality_rules,
