@@ -7,7 +7,7 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from brickfolio.llm import chat, decontaminate, fm_dedup, language, lattice, line_dedup, quality_rules, secrets, simhash
+from brickfolio.llm import chat, decontaminate, fm_dedup, language, lattice, line_dedup, quality_rules, secrets, simhash, site_quality
 from brickfolio.llm.tables import read
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -49,8 +49,13 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(read(spark, sf_dir, "documents"))
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return site_quality.score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Build] = {f.__name__: f for f in (
     op1_substring_dedup,
+    op2_quality_classifier,
     op3_simhash_near_dedup,
     op4_chat_formatting,
     op5_secret_scan,
