@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame, functions as F
 
 from brickfolio.contracts import RUN_TIME_COLUMNS, ContractError
 
-_MISSING = "∅"
-
 
 def _row_text(columns: list[str]):
-    return F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit(_MISSING)) for c in columns])
+    """Every value behind its length, so that no two rows share a text; a null has no length."""
+    text = lambda c: F.col(c).cast("string")
+    return F.concat(*[F.coalesce(F.concat(F.length(text(c)).cast("string"), F.lit(":"), text(c)), F.lit("-;")) for c in columns])
 
 
 def content_fingerprint(df: DataFrame, partition: list[str]) -> DataFrame:
@@ -27,7 +27,7 @@ def content_fingerprint(df: DataFrame, partition: list[str]) -> DataFrame:
     sums = hashed.groupBy(*partition).agg(
         F.count(F.lit(1)).alias("rows"), F.bit_xor("h1").alias("x1"), F.bit_xor("h2").alias("x2"),
         F.sum(F.col("h1").cast("decimal(38,0)")).alias("s1"), F.sum(F.col("h2").cast("decimal(38,0)")).alias("s2"))
-    schema = ",".join(columns)
+    schema = ",".join(f"{c} {df.schema[c].dataType.simpleString()}" for c in columns)
     text = F.concat_ws("#", F.lit(schema), *[F.col(c).cast("string") for c in ("rows", "x1", "x2", "s1", "s2")])
     return sums.select(*partition, "rows", F.sha2(text, 256).alias("content_sha256"))
 

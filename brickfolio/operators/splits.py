@@ -18,13 +18,17 @@ def split_boundaries(training: DataFrame, validation_days: int = C.VALIDATION_DA
     """One row: the first dates of validation and test.
 
     Days are counted over the distinct feature dates of the eligible samples;
-    the unpartitioned window sees at most one row per session.
+    the unpartitioned window sees at most one row per session. Too few dates for
+    all three sides are an error, not an empty side.
     """
     if validation_days <= 0 or test_days <= 0:
         raise C.ContractError("validation and test need at least one day each")
     dates = eligible_samples(training).select("feature_date").distinct().withColumn(
         "from_last", F.row_number().over(Window.orderBy(F.desc("feature_date"))))
-    at = lambda n: F.max(F.when(F.col("from_last") == n, F.col("feature_date")))
+    least = validation_days + test_days + 1
+    short = F.raise_error(F.concat(F.lit(f"a split needs {least} feature dates, found "), F.count(F.lit(1)).cast("string"))).cast("date")
+    at = lambda n: F.when(
+        F.count(F.lit(1)) >= least, F.max(F.when(F.col("from_last") == n, F.col("feature_date")))).otherwise(short)
     return dates.agg(
         at(test_days + validation_days).alias("validation_start"), at(test_days).alias("test_start"),
         F.count(F.lit(1)).alias("feature_dates"))

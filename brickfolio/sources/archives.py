@@ -53,16 +53,24 @@ def xml_records(archives: DataFrame, tag: str) -> DataFrame:
     """(path, member, record): the text of each ``tag`` element of the XML members."""
     opening = re.compile(rb"<(?:[\w.-]+:)?" + tag.encode() + rb"[\s>/]")
     closing = re.compile(rb"</(?:[\w.-]+:)?" + tag.encode() + rb"\s*>")
+    empty = re.compile(rb"<[^<>]*/>")  # an element without content, at its opening
+    declared = re.compile(rb"<\?xml[^>]*?encoding\s*=\s*[\"']([\w.-]+)")
     shape = pa.schema([("path", pa.string()), ("member", pa.string()), ("record", pa.string())])
 
     def elements(handle) -> Iterator[str]:
-        rest = b""
+        rest, encoding = b"", None
         while True:
             piece = handle.read(_PIECE)
             rest += piece
+            if encoding is None:
+                found = declared.match(rest.removeprefix(b"\xef\xbb\xbf"))
+                encoding = found[1].decode("ascii") if found else "utf-8"
             at = 0
-            while (start := opening.search(rest, at)) and (end := closing.search(rest, start.start())):
-                yield rest[start.start():end.end()].decode("utf-8")
+            while start := opening.search(rest, at):
+                end = empty.match(rest, start.start()) or closing.search(rest, start.start())
+                if end is None:
+                    break
+                yield rest[start.start():end.end()].decode(encoding)
                 at = end.end()
             rest = rest[at:]
             if not piece:
@@ -103,19 +111,30 @@ def decoded(content: str | Column) -> Column:
 
 
 def register_rows(files: DataFrame, columns: list[str], sep: str = ";") -> DataFrame:
-    """Rows of delimited text files with a header line, all columns as text.
+    """The named columns of delimited text files with a header line, all as text.
 
     ``files`` holds ``path`` and ``content``. Each line becomes a row and is
-    parsed by ``from_csv`` with the column order of its own file's header.
+    split by position; its values are then picked by the names of its own
+    file's header. A file without one of the columns is an error.
     """
     lines = files.select("path", F.posexplode(F.split(decoded("content"), "\r?\n")).alias("line_number", "line"))
     return parse_register_lines(lines, columns, sep)
 
 
-def parse_register_lines(lines: DataFrame, columns: list[str], sep: str = ";") -> DataFrame:
-    body = lines.filter((F.col("line_number") > 0) & (F.trim("line") != ""))
-    schema = ", ".join(f"`{c}` string" for c in columns)
-    return body.select("path", F.from_csv("line", F.lit(schema), {"sep": sep}).alias("r")).select("path", "r.*")
+def parse_register_lines(lines: DataFrame, columns: list[str], sep: str = ";", most: int = 200) -> DataFrame:
+    """``lines`` holds path, line_number (0 for the header) and line; ``most`` bounds the columns of a file."""
+    # a table of up to ``most`` text columns, as an array
+    schema = ", ".join(f"c{k} string" for k in range(most))
+    values = F.from_csv("line", F.lit(schema), {"sep": sep})
+    split = lines.filter((F.col("line_number") == 0) | (F.trim("line") != "")).select(
+        "path", "line_number", F.array(*[values[f"c{k}"] for k in range(most)]).alias("v"))
+    # one header per file
+    header = split.filter("line_number = 0").select("path", F.transform("v", lambda x: F.trim(x)).alias("h"))
+    rows = split.filter("line_number > 0").join(header, "path")
+    where = lambda c: F.nullif(F.array_position("h", F.lit(c)), F.lit(0)).cast("int")
+    missing = lambda c: F.raise_error(F.concat(F.lit(f"no column {c} in "), F.col("path"))).cast("string")
+    return rows.select("path", *[
+        F.when(where(c).isNull(), missing(c)).otherwise(F.get("v", where(c) - 1)).alias(c) for c in columns])
 
 
 def latest_snapshot(rows: DataFrame, day: str = "report_date", member: str = "source_xml") -> DataFrame:

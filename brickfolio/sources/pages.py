@@ -6,12 +6,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from brickfolio.functions import columns as X
 
-# An object after the name ``meta``: strings with escapes count as one unit, and
-# braces may nest three deep, which is deeper than any page of the source goes.
-_STRING = r'"(?:[^"\\]|\\.)*+"'
-_LEVEL0 = rf'\{{(?:[^{{}}"]|{_STRING})*+\}}'
-_LEVEL1 = rf'\{{(?:[^{{}}"]|{_STRING}|{_LEVEL0})*+\}}'
-META = rf'(?s)\bmeta"?\s*[:=]\s*(\{{(?:[^{{}}"]|{_STRING}|{_LEVEL1})*+\}})'
+# where an object after the name ``meta`` begins, any letter case
+META = r'(?is)\bmeta"?\s*[:=]\s*(\{.*)'
+# a string with escapes counts as one unit; the rest is cut at braces
+_UNITS = r'(?s)"(?:[^"\\]|\\.)*+"|[{}]|[^"{}]++|"'
 # fixed value: what a ticker looks like
 TICKER = r"^[A-Z0-9]{4,8}\d{1,2}[A-Z]?$"
 
@@ -22,10 +20,25 @@ def field(block: Column, name: str) -> Column:
     return F.trim(F.replace(F.try_element_at(found, F.lit(1)), F.lit(r"\/"), F.lit("/")))
 
 
+def first_object(text: Column) -> Column:
+    """The object that ``text`` begins with, up to its closing brace at any depth; null when it is not closed."""
+    units = F.regexp_extract_all(text, F.lit(_UNITS), F.lit(0))
+
+    def step(state: Column, unit: Column) -> Column:
+        depth = state["depth"] + F.when(unit == "{", 1).when(unit == "}", -1).otherwise(0)
+        open_ = ~state["closed"]
+        return F.struct(
+            F.when(open_, depth).otherwise(state["depth"]).alias("depth"), (state["closed"] | (depth <= 0)).alias("closed"),
+            F.when(open_, state["length"] + F.length(unit)).otherwise(state["length"]).alias("length"))
+
+    begin = F.struct(F.lit(0).alias("depth"), F.lit(False).alias("closed"), F.lit(0).alias("length"))
+    end = F.aggregate(units, begin, step)
+    return F.when(end["closed"], F.substring(text, F.lit(1), end["length"]))
+
+
 def page_fields(pages: DataFrame) -> DataFrame:
     """One row per page with its fields and, where it cannot be used, the reason."""
-    block = F.nullif(F.regexp_extract("html", META, 1), F.lit(""))
-    rows = pages.withColumn("meta", block)
+    rows = pages.withColumn("meta", F.nullif(F.regexp_extract("html", META, 1), F.lit(""))).withColumn("meta", first_object(F.col("meta")))
     meta = F.col("meta")
     parsed = rows.withColumns({
         "ticker": F.upper(field(meta, "codigo")), "cnpj": X.tax_id(field(meta, "cnpj")),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from brickfolio.operators.publish import with_date_parts
 
@@ -20,19 +20,31 @@ def raw_to_silver(rows: DataFrame, path: str, date_column: str = "trade_date") -
 
 
 def stream_raw_to_silver(spark: SparkSession, source: str, schema: T.StructType, transform: Callable[[DataFrame], DataFrame],
-                         target: str, checkpoint: str, file_format: str = "parquet", pattern: str | None = None) -> DataFrame:
-    """Process every file not seen before, then stop.
+                         target: str, checkpoint: str, file_format: str = "parquet", day: Column | str = "trade_date",
+                         key: list[str] | None = None, landing: str | None = None) -> DataFrame:
+    """Process every file not seen before, then stop. No row is lost however a day is spread over files, batches and runs.
 
-    The checkpoint remembers the files, and a partition is replaced as a whole,
-    so a batch that runs twice leaves the same result. A late file rewrites the
-    days it holds.
+    Raw rows are first appended to ``landing`` under their batch and day; a batch that runs twice replaces only what it wrote before. Then
+    the days that the batch touches are rebuilt from all their raw rows. ``day`` is the raw row's date, and ``key``, if given, says which raw
+    rows restate each other: the one of the latest batch counts.
     """
-    reader = spark.readStream.format(file_format).schema(schema).option("maxFilesPerTrigger", 100)
-    if pattern:
-        reader = reader.option("pathGlobFilter", pattern)
-
-    def land(batch: DataFrame, _batch_id: int) -> None:
-        raw_to_silver(transform(batch), target)
+    landing = landing or f"{target.rstrip('/')}-raw"
+    reader = spark.readStream.format(file_format).schema(schema)
+
+    def land(batch: DataFrame, batch_id: int) -> None:
+        raw = batch.withColumns({"__batch": F.lit(batch_id), "__day": (F.col(day) if isinstance(day, str) else day).cast("date")})
+        (raw.hint("rebalance", "__day").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("__batch", "__day").parquet(landing))
+        landed = spark.read.schema(raw.schema).parquet(landing)
+        # one row per day of the batch; the scan below reads those days only
+        touched = landed.filter(F.col("__batch") == batch_id).select("__day").distinct()
+        rows = landed.join(F.broadcast(touched), "__day", "left_semi")
+        if key:
+            last = rows.groupBy(*key).agg(F.max("__batch").alias("__batch"))
+            rows = rows.join(last, [*key, "__batch"], "left_semi")
+        built = transform(rows.select(*batch.columns))
+        if not built.isEmpty():
+            raw_to_silver(built, target)
 
     query = (reader.load(source).writeStream.foreachBatch(land)
              .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())

@@ -108,6 +108,21 @@ def test_exact_quantiles_equal_numpy(spark, values):
         assert got[name] == pytest.approx(np.quantile(values, p), rel=1e-12, abs=1e-12)
 
 
+def test_quantiles_of_values_crowded_around_one(spark):
+    rng = np.random.default_rng(1)
+    values = np.concatenate([1 + rng.uniform(-1e-6, 1e-6, 9900), rng.normal(size=100)])
+    df = spark.createDataFrame([(float(v),) for v in values], "v double")
+    (got,) = exact_quantiles(df, [], "v", {"a": 0.01, "m": 0.5, "z": 0.999}).collect()
+    assert [got.a, got.m, got.z] == pytest.approx(np.quantile(values, [0.01, 0.5, 0.999]), rel=1e-14)
+
+
+def test_split_of_too_few_dates_is_an_error(spark):
+    rows = spark.createDataFrame([(day(n), day(n + 1), True) for n in range(6)], "feature_date date, target_date date, ml_eligible boolean")
+    assert S.split_boundaries(rows, 2, 3).first().feature_dates == 6
+    with pytest.raises(Exception, match="a split needs 21 feature dates, found 6"):
+        S.split_boundaries(rows).collect()
+
+
 def test_quantiles_with_weights_and_groups(spark):
     df = spark.createDataFrame([("a", 1.0, 3), ("a", 2.0, 1), ("b", 5.0, 2), ("b", None, 9)], "g string, v double, n long")
     got = {r.g: r.m for r in exact_quantiles(df, ["g"], "v", {"m": .5}, weight="n").collect()}

@@ -115,6 +115,26 @@ def test_encodings_and_register_rows(spark):
     assert got == {("u", "1"): "ção", ("u", "2"): "“x”", ("w", "1"): "ção", ("w", "2"): "“x”", ("l", "3"): "\x81ç"}
 
 
+def test_registers_follow_their_own_header(spark):
+    files = spark.createDataFrame([("x", b"B;A\nb1;a1\n"), ("y", b"C; A ;B;D\nc2;\"a;2\";b2;d2\n\n")], "path string, content binary")
+    assert {(r.path, r.A, r.B) for r in AR.register_rows(files, ["A", "B"]).collect()} == {("x", "a1", "b1"), ("y", "a;2", "b2")}
+    with pytest.raises(Exception, match="no column C in x"):
+        AR.register_rows(files, ["A", "C"]).collect()
+
+
+def test_xml_records_in_their_declared_encoding_and_without_content(spark):
+    def pack(text, encoding):
+        out = io.BytesIO()
+        with zipfile.ZipFile(out, "w") as z:
+            z.writestr("r.xml", text.encode(encoding))
+        return out.getvalue()
+    body = '<?xml version="1.0" encoding="{e}"?><D><R/><R k="1"/><R><n>a\u00e7\u00e3o</n></R><R></R></D>'
+    df = spark.createDataFrame([(e, pack(body.format(e=e), e)) for e in ("utf-8", "ISO-8859-1")], "path string, content binary")
+    for path in ("utf-8", "ISO-8859-1"):
+        got = sorted(r.record for r in AR.xml_records(df, "R").where(F.col("path") == path).collect())
+        assert got == sorted(["<R/>", '<R k="1"/>', "<R><n>a\u00e7\u00e3o</n></R>", "<R></R>"])
+
+
 def test_archive_fingerprint_ignores_packing(spark):
     def pack(method, names):
         out = io.BytesIO()
@@ -140,6 +160,14 @@ def test_page_fields_and_links(spark):
     assert sorted(r.ticker for r in PG.page_links(df).collect()) == ["ABCD11", "EFGH11"]
 
 
+def test_meta_objects_of_any_depth_and_case(spark):
+    deep = '{"a": ' * 9 + '{"codigo": "abcd11", "b": "\\"}"}' + "}" * 9
+    pages = [("META = {" + '"x": ' + deep + ', "cnpj": "12345678000190"} tail {"codigo": "zzzz11"}',), ('meta = {"codigo": "abcd11"',)]
+    good, bad = PG.good_and_rejected(spark.createDataFrame(pages, "html string"))
+    assert [(r.ticker, r.cnpj) for r in good.collect()] == [("ABCD11", "12345678000190")]
+    assert [r.reject_reason for r in bad.collect()] == ["META_NOT_FOUND"]
+
+
 def test_registry_from_csv(spark, tmp_path):
     header = ",".join(f.name for f in C.REGISTRY_SCHEMA)
     cells = {"ticker": " abcd11 ", "event_date": "2024-01-02", "review_status": "confirmed", "quantity_multiplier": "x", "confirmation_date": "02/01/2024"}
@@ -161,6 +189,13 @@ def test_fingerprint_ignores_order_and_clock_but_sees_values(spark):
     assert prints(rows + rows[:1])[0] != base[0]
 
 
+def test_fingerprints_of_different_rows_and_types_differ(spark):
+    prints = [P.content_fingerprint(spark.createDataFrame([(1, *r)], f"p int, {schema}"), ["p"]).first().content_sha256 for r, schema in [
+        (("a|b", "c"), "a string, b string"), (("a", "b|c"), "a string, b string"), ((None, "c"), "a string, b string"), (("-;", "c"), "a string, b string"),
+        (("1", "c"), "a string, b string"), ((1, "c"), "a int, b string"), ((1, "c"), "a long, b string")]]
+    assert len(set(prints)) == len(prints)
+
+
 def test_publish_decisions(spark):
     new = spark.createDataFrame([(1, "r1", "c1"), (2, "r2", "c2"), (3, "r3", "c3"), (4, "r4", "c4")], "p int, raw_sha256 string, content_sha256 string")
     old = spark.createDataFrame([(1, "r1", "zz"), (2, "xx", "c2"), (3, "xx", "zz")], new.schema)
@@ -170,15 +205,26 @@ def test_publish_decisions(spark):
     assert forced == {1: "NEW_VERSION", 2: "NEW_VERSION", 3: "NEW_VERSION", 4: "UPLOAD"}
 
 
-def test_stream_takes_each_file_once_and_late_files_replace_their_days(spark, panel, tmp_path):
+def test_stream_takes_each_file_once_and_late_files_add_to_their_days(spark, panel, tmp_path):
     source, target, mark = (str(tmp_path / n) for n in ("raw", "silver", "mark"))
-    land = lambda: stream_raw_to_silver(spark, source, C.PANEL_SCHEMA, lambda b: b, target, mark)
-    panel({"A": {0: 1.0, 1: 2.0}, "B": {0: 5.0}}).write.parquet(source)
-    assert land().count() == 3
-    assert land().count() == 3                                   # nothing new
+    land = lambda: stream_raw_to_silver(
+        spark, source, C.PANEL_SCHEMA, lambda b: b, target, mark, key=["ticker", "trade_date"])
+    panel({"A": {0: 1.0, 1: 2.0}, "B": {0: 5.0, 1: 6.0}}).write.parquet(source)
+    assert land().count() == 4
+    assert land().count() == 4                                   # nothing new
     panel({"A": {1: 9.0, 2: 3.0}}).write.mode("append").parquet(source)
     got = {(r.ticker, r.trade_date): r.close_price for r in land().collect()}
-    assert got == {("A", day(0)): 1.0, ("B", day(0)): 5.0, ("A", day(1)): 9.0, ("A", day(2)): 3.0}
+    assert got == {("A", day(0)): 1.0, ("B", day(0)): 5.0, ("B", day(1)): 6.0, ("A", day(1)): 9.0, ("A", day(2)): 3.0}
+
+
+def test_stream_loses_no_row_of_a_day_in_many_files(spark, tmp_path):
+    source, target, mark = (str(tmp_path / n) for n in ("raw", "silver", "mark"))
+    rows = spark.range(400).select(F.lit(day(0)).alias("trade_date"), F.concat(F.lit("T"), F.col("id") % 7).alias("ticker"), F.col("id").alias("n"))
+    total = lambda r: r.groupBy("trade_date", "ticker").agg(F.sum("n").alias("n"))
+    for part in (rows.where("n % 3 > 0"), rows.where("n % 3 = 0")):
+        part.repartition(130).write.mode("append").parquet(source)
+        out = stream_raw_to_silver(spark, source, rows.schema, total, target, mark)
+    assert {(r.ticker, r.n) for r in out.collect()} == {(r.ticker, r.n) for r in total(rows).collect()}
 
 
 def test_calendar_and_cycles(spark):
