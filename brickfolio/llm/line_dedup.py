@@ -24,7 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from brickfolio.llm.bytewords import SpanHasher, Words, mix, powers, word_slices
-from brickfolio.llm.tables import LAST_ID, row_key, stored
+from brickfolio.llm.packing import packed, unpacked
+from brickfolio.llm.tables import LAST_ID, bounded, row_key, stored
 
 
 def find_lines(words: Words, min_words: int) -> tuple[np.ndarray, ...]:
@@ -93,7 +94,7 @@ def _neighbourhood(min_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             wanted = batch.column("nos").to_pylist()
-            for low, high, words in word_slices(batch.column("text")):
+            for low, high, words in word_slices(unpacked(batch)):
                 text, number, begin, end = find_lines(words, min_words)
                 spans, data, rows = SpanHasher(words.hashes), words.data.tobytes(), []
                 lookup = {(t, n): k for k, (t, n) in enumerate(zip(text.tolist(), number.tolist(), strict=True))}
@@ -122,7 +123,7 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _cut(columns: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            gone, bodies, lines = batch.column("gone").to_pylist(), batch.column("__text").to_pylist(), []
+            gone, bodies, lines = batch.column("gone").to_pylist(), unpacked(batch).to_pylist(), []
             for k, own in enumerate(gone):
                 parts = [] if bodies[k] is None else bodies[k].split("\n")
                 lines.append(len(parts))
@@ -153,7 +154,7 @@ def earlier_partners(near: DataFrame) -> DataFrame:
 
 def remove_repeated_lines(docs: DataFrame, columns: list[str], id_col: str = "doc_id", text_col: str = "text", min_words: int = 8) -> DataFrame:
     """``columns`` of the documents, new_text without the removed lines, n_lines, n_removed."""
-    rows = docs.select(*columns, row_key(id_col, text_col).alias("rk"), F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("__id"),
+    rows = bounded(docs).select(*columns, row_key(id_col, text_col).alias("rk"), F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("__id"),
                        F.col(text_col).cast("string").alias("__text"))
     texts = rows.select("rk", F.col("__id").alias("id"), F.col("__text").alias("text"))
     lines = stored(texts.mapInArrow(_lines(min_words), "rk long, id long, no int, line long, halves array<long>"), "lines")
@@ -163,8 +164,8 @@ def remove_repeated_lines(docs: DataFrame, columns: list[str], id_col: str = "do
     wanted = (classes.join(halves.join(met, "half").select("line").distinct(), "line", "left_semi")
               .groupBy("place.rk").agg(F.collect_set("place.no").alias("nos")))
     # rows equal in id and text have one key, and need to emit only once
-    near = stored(texts.join(wanted, "rk").dropDuplicates(["rk"]).mapInArrow(
-        _neighbourhood(min_words), "line long, id long, rk long, no int, gone array<long>, placed array<long>, body binary"), "near")
+    near = stored(packed(texts, "text").join(wanted, "rk").mapInArrow(
+        _neighbourhood(min_words), "line long, id long, rk long, no int, gone array<long>, placed array<long>, body binary").dropDuplicates(["line"]), "near")
     bodies = near.select("line", "body")
     late = (earlier_partners(near).join(bodies, "line").join(bodies.select(F.col("line").alias("other_line"), F.col("body").alias("other")), "other_line")
             .select("line", "body", "other").mapInArrow(_verified, "line long").withColumn("late", F.lit(True)))
@@ -173,8 +174,7 @@ def remove_repeated_lines(docs: DataFrame, columns: list[str], id_col: str = "do
             .groupBy("rk").agg(F.collect_set("no").alias("gone")))
     types = {f.name: f.dataType.simpleString() for f in rows.schema}
     schema = ", ".join(f"`{x}` {types[x]}" for x in columns) + ", new_text string, n_lines long, n_removed long"
-    both = rows.join(gone, "rk", "left").select(*columns, "__text", "gone")
-    return both.mapInArrow(_cut(columns), schema)
+    return packed(rows.drop("__id"), "__text").join(gone, "rk", "left").mapInArrow(_cut(columns), schema)
 
 
 def keep_first_lines(docs: DataFrame, **options) -> DataFrame:
