@@ -418,24 +418,25 @@ cycle("cycle_assessment", lambda c: K.assess_cycles(c.expected, c.observed),
 
 
 def _inventory(c):
-    """One object per order date and status: 'F' is sound, 'P' has a wrong file date, 'O' no readable day for some."""
+    """One object per order date, status and urgency: 'F' is sound, 'P' has a wrong file date; others lie outside the calendar's years."""
     day = F.to_date("o_orderdate")
-    objects = c.orders.filter("o_orderpriority <> '5-LOW'").select(day.alias("day"), "o_orderstatus").distinct()
+    stray = (F.col("o_orderpriority") == "5-LOW") | (F.col("o_orderstatus") == "O")
+    objects = c.orders.select(F.when(stray, F.add_months(day, 1200)).otherwise(day).alias("day"), "o_orderstatus").distinct()
     file_day = F.when(F.col("o_orderstatus") == "P", F.date_add("day", 1)).otherwise(F.col("day"))
     key = F.concat(F.lit("raw/b3/year="), F.date_format("day", "yyyy"), F.lit("/month="), F.date_format("day", "MM"), F.lit("/day="),
                    F.date_format("day", "dd"), F.lit("/b3_download_"), F.date_format(file_day, "yyyyMMdd"), F.lit(".zip"))
-    return objects.filter("o_orderstatus <> 'O'").select(key.alias("key"))
+    return objects.select(key.alias("key"))
 
 
 cycle("history_audit", lambda c: K.history_audit(c.calendar, _inventory(c)), "day audit_status objects duplicate_day", """
-  SELECT c.day, CASE WHEN coalesce(i.good, 0) = 0 AND coalesce(i.bad, 0) > 0 THEN 'INVALID'
+  SELECT day, CASE WHEN coalesce(i.good, 0) = 0 AND coalesce(i.bad, 0) > 0 THEN 'INVALID'
                      WHEN c.is_trading_day AND coalesce(i.good, 0) > 0 THEN 'EXPECTED_AND_PRESENT'
                      WHEN c.is_trading_day THEN 'EXPECTED_BUT_MISSING'
                      WHEN coalesce(i.good, 0) > 0 THEN 'UNEXPECTED_PRESENT' ELSE 'NON_TRADING_DAY' END AS audit_status,
          coalesce(i.good, 0) AS objects, coalesce(i.good, 0) > 1 AS duplicate_day
-  FROM cal c LEFT JOIN (SELECT day, count(*) FILTER (o_orderstatus = 'F') AS good, count(*) FILTER (o_orderstatus = 'P') AS bad
-                        FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS day, o_orderstatus FROM orders
-                              WHERE o_orderpriority <> '5-LOW' AND o_orderstatus <> 'O') GROUP BY 1) i USING (day)""")
+  FROM cal c FULL JOIN (SELECT day, count(*) FILTER (o_orderstatus <> 'P') AS good, count(*) FILTER (o_orderstatus = 'P') AS bad
+                        FROM (SELECT DISTINCT CAST(o_orderdate + CASE WHEN o_orderpriority = '5-LOW' OR o_orderstatus = 'O' THEN INTERVAL 100 YEAR
+                                                                      ELSE INTERVAL 0 YEAR END AS DATE) AS day, o_orderstatus FROM orders) GROUP BY 1) i USING (day)""")
 
 _NOW = datetime(2001, 7, 30, 12, 0)
 _SOURCES = ["b3", "instruments", "cvm"]
@@ -449,8 +450,8 @@ def _states(c):
         F.min("o_orderpriority").alias("p"), F.max("o_totalprice").alias("top"), F.count(F.lit(1)).alias("n")).select(
         "run_date", (F.col("top") > 480000).alias("output_exists"), F.when(F.col("n") > 3, status).alias("status"),
         F.col("run_date").cast("timestamp").alias("started_at"))
-    source = F.element_at(F.array(*[F.lit(v) for v in _SOURCES]), F.substring("o_orderpriority", 1, 1).cast("int"))
-    inventory = c.orders.filter(F.substring("o_orderpriority", 1, 1).isin("1", "2", "3")).select(
+    source = F.element_at(F.array(*[F.lit(v) for v in [*_SOURCES, "other", "other"]]), F.substring("o_orderpriority", 1, 1).cast("int"))
+    inventory = c.orders.select(
         day, F.when(F.col("o_orderstatus") == "F", "silver").otherwise("raw").alias("layer"), source.alias("source"))
     return HE.cycle_state(runs, inventory, _SOURCES, _NOW, 240)
 

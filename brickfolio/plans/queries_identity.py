@@ -56,7 +56,7 @@ PARTS = {
             FROM (SELECT CNPJ_Classe, core_name, min({'a': Codigo_CVM, 'b': Denominacao_Social, 'c': Situacao}) AS s
                   FROM funds GROUP BY 1, 2)) f
         USING (CNPJ_Classe, core_name)""",
-    "traded": "SELECT DISTINCT 'I' || l_partkey || '-' || (l_suppkey % 3) AS id FROM lineitem WHERE l_returnflag = 'R' AND l_linenumber <= 2",
+    "traded": "SELECT DISTINCT CASE WHEN l_returnflag = 'R' AND l_linenumber <= 2 THEN '' ELSE 'U' END || 'I' || l_partkey || '-' || (l_suppkey % 3) AS id FROM lineitem",
     "marked": f"""
       SELECT *, instrument_id IN (SELECT underlying_instrument_id FROM instruments WHERE underlying_instrument_id IS NOT NULL)
                AS is_underlying_target,
@@ -81,12 +81,13 @@ PARTS = {
       FROM counted c LEFT JOIN marked m ON m.CNPJ_Classe = c.CNPJ_Classe
         AND m.instrument_id = CASE WHEN ns = 1 THEN sid WHEN ns = 0 AND ng = 1 THEN gid END""",
     "mapping": f"""
-      SELECT DISTINCT 'P' || l_partkey || {_T.format(k="(l_suppkey % 3)")} AS ticker, lpad(CAST(l_partkey AS VARCHAR), 14, '0') AS cnpj,
+      SELECT DISTINCT CASE WHEN known THEN '' ELSE 'U' END || 'P' || l_partkey || {_T.format(k="(l_suppkey % 3)")} AS ticker,
+             lpad(CAST(CASE WHEN known THEN l_partkey ELSE l_partkey + 50000000 END AS VARCHAR), 14, '0') AS cnpj,
              'F ' || l_partkey AS fund_name, 'Ativo' AS category_status, 'mapping' AS source
-      FROM lineitem WHERE l_linenumber = 7 AND l_returnflag = 'R'""",
+      FROM (SELECT *, l_linenumber = 7 AND l_returnflag = 'R' AS known FROM lineitem)""",
     "seen": f"""
       SELECT DISTINCT 'P' || l_partkey || {_T.format(k="(l_suppkey % 3)")} AS ticker, CAST(date_trunc('week', l_shipdate) AS DATE) AS trade_date
-      FROM lineitem WHERE l_linenumber <= 4""",
+      FROM lineitem""",
     "evidence": f"""
       SELECT ticker, count(*) AS market_evidence_days,
              string_agg(CAST(trade_date AS VARCHAR), ',' ORDER BY trade_date) AS market_evidence_dates
@@ -315,8 +316,8 @@ query("health_summary", on(lambda i: HE.worst_status(HE.master_quality(i.master)
          count(*) FILTER (status = 'FAIL') AS failed FROM ({_QUALITY})""")
 
 # --- daily prices and snapshot ----------------------------------------------------------
-_MASTER = """SELECT 'FD' || c_custkey AS ticker, lpad(CAST(c_custkey AS VARCHAR), 14, '0') AS cnpj, CAST(c_custkey AS VARCHAR) AS codigo_cvm,
-                    c_name AS denominacao_social, c_mktsegment AS situacao_cvm FROM customer WHERE c_acctbal > 0"""
+_MASTER = """SELECT CASE WHEN c_acctbal > 0 THEN 'FD' ELSE 'FX' END || c_custkey AS ticker, lpad(CAST(c_custkey AS VARCHAR), 14, '0') AS cnpj, CAST(c_custkey AS VARCHAR) AS codigo_cvm,
+                    c_name AS denominacao_social, c_mktsegment AS situacao_cvm FROM customer"""
 _DAILY = f"""SELECT p.* EXCLUDE (cnpj, codigo_cvm, ticker_resolution_status, market_evidence_confidence), m.cnpj, m.codigo_cvm,
                     'RESOLVED_BY_B3' AS ticker_resolution_status, 'HIGH' AS market_evidence_confidence, 'b3' AS source,
                     'events.parquet' AS source_file_name FROM panel p JOIN ({_MASTER}) m USING (ticker)"""

@@ -155,32 +155,34 @@ def instruments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def traded_instruments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = read(spark, sf_dir, "lineitem").filter((F.col("l_returnflag") == "R") & (F.col("l_linenumber") <= 2))
-    return items.select(_instrument(F.col("l_partkey"), F.col("l_suppkey") % 3).alias("instrument_id"))
+    """lineitem: the instruments of trades; those of other lines are on no list of instruments."""
+    listed = (F.col("l_returnflag") == "R") & (F.col("l_linenumber") <= 2)
+    own = _instrument(F.col("l_partkey"), F.col("l_suppkey") % 3)
+    return read(spark, sf_dir, "lineitem").select(F.when(listed, own).otherwise(F.concat(F.lit("U"), own)).alias("instrument_id"))
 
 
 def mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """lineitem: known tickers of a part, one row each."""
-    items = read(spark, sf_dir, "lineitem").filter((F.col("l_linenumber") == 7) & (F.col("l_returnflag") == "R"))
+    """lineitem: tickers of a part, one row each; a part of the lines names a ticker and a fund that nothing else knows."""
+    known = (F.col("l_linenumber") == 7) & (F.col("l_returnflag") == "R")
     k = F.col("l_partkey")
-    return items.select(
-        _ticker(k, F.col("l_suppkey") % 3).alias("ticker"), _padded(k).alias("cnpj"),
+    own = _ticker(k, F.col("l_suppkey") % 3)
+    return read(spark, sf_dir, "lineitem").select(
+        F.when(known, own).otherwise(F.concat(F.lit("U"), own)).alias("ticker"), _padded(F.when(known, k).otherwise(k + 50_000_000)).alias("cnpj"),
         F.concat(F.lit("F "), k.cast("string")).alias("fund_name"), F.lit("Ativo").alias("category_status"),
         F.lit("mapping").alias("source")).distinct()
 
 
 def part_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem: sessions (weeks) in which a part's ticker was seen."""
-    items = read(spark, sf_dir, "lineitem").filter(F.col("l_linenumber") <= 4)
-    return items.select(
+    return read(spark, sf_dir, "lineitem").select(
         F.lower(_ticker(F.col("l_partkey"), F.col("l_suppkey") % 3)).alias("ticker"),
         F.to_date(F.date_trunc("week", "l_shipdate")).alias("trade_date"))
 
 
 def price_master(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """customer: the active funds behind the tickers of the daily panel."""
+    """customer: the funds, of which those with a balance are behind the tickers of the daily panel."""
     k = F.col("c_custkey").cast("string")
-    return read(spark, sf_dir, "customer").filter("c_acctbal > 0").select(
-        F.concat(F.lit("FD"), k).alias("ticker"), F.lpad(k, 14, "0").alias("cnpj"), k.alias("codigo_cvm"),
+    return read(spark, sf_dir, "customer").select(
+        F.concat(F.when(F.col("c_acctbal") > 0, "FD").otherwise("FX"), k).alias("ticker"), F.lpad(k, 14, "0").alias("cnpj"), k.alias("codigo_cvm"),
         F.col("c_name").alias("denominacao_social"), F.col("c_mktsegment").alias("situacao_cvm"),
         F.lit("RESOLVED_BY_B3").alias("ticker_resolution_status"), F.lit("HIGH").alias("market_evidence_confidence"))
