@@ -213,7 +213,8 @@ def best_models(summary: DataFrame) -> DataFrame:
 # --- models -----------------------------------------------------------------
 
 def model_pipeline(name: str, features: list[str], target: str = TARGET, trees: int = C.FOREST_TREES,
-                   depth: int = 5, seed: int = C.SEED) -> Pipeline:
+                   depth: int = 30, seed: int = C.SEED) -> Pipeline:
+    """Thirty is the deepest tree that Spark grows; its splits end earlier where a node is pure."""
     filled = [f"{c}_filled" for c in features]
     impute = Imputer(inputCols=features, outputCols=filled, strategy="median", relativeError=0.0005)
     assemble = VectorAssembler(inputCols=filled, outputCol="assembled")
@@ -224,7 +225,7 @@ def model_pipeline(name: str, features: list[str], target: str = TARGET, trees:
     if name == "random_forest":
         fit = RandomForestRegressor(
             featuresCol="assembled", labelCol=target, numTrees=trees, maxDepth=depth, seed=seed,
-            featureSubsetStrategy="all")
+            featureSubsetStrategy="all", maxMemoryInMB=1024)
         return Pipeline(stages=[impute, assemble, fit])
     raise ValueError(name)
 

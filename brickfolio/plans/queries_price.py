@@ -449,7 +449,8 @@ final("baseline_metrics", "weekly", lambda p: WF.baseline_metrics(
          avg(prediction) AS prediction_mean, min(prediction) AS prediction_min, max(prediction) AS prediction_max
   FROM (SELECT *, target_return_next_5d AS y FROM ({_PRED})) GROUP BY model""")
 register("baseline_fit", lambda s, d: (lambda p: WF.baseline_metrics(
-    WF.baseline_predictions(p.split, ["linear_regression"]), WF.split_majority(p.split)))(Pipeline.weekly(s, d)), _BASE)
+    WF.baseline_predictions(p.split, ["linear_regression"]).unionByName(WF.mean_baseline_predictions(p.split)),
+    WF.split_majority(p.split)))(Pipeline.weekly(s, d)), _BASE)
 # the mean of the ticker's own 5-row return serves as a prediction that varies by row
 _NAIVE = """SELECT 'momentum' AS model, ticker, feature_date, target_return_next_5d, return_5d AS prediction
             FROM split WHERE split_name = 'validation'"""
@@ -472,9 +473,11 @@ final("top_errors", "weekly", lambda p: WF.top_errors(_naive(p)),
       "model ticker feature_date target_return_next_5d prediction absolute_error", "split", f"""
   SELECT *, abs(prediction - target_return_next_5d) AS absolute_error FROM ({_NAIVE})
   ORDER BY absolute_error DESC, ticker, feature_date LIMIT 20""")
+# the operator's own default is Spark's deepest tree; a query of the catalog must end within minutes
+_QUERY_DEPTH = 8
 register("forest_fit", lambda s, d: (lambda p: WF.baseline_metrics(
-    WF.baseline_predictions(p.split, ["random_forest"]), WF.split_majority(p.split)))(Pipeline.weekly(s, d)), _BASE)
-register("feature_importance", lambda s, d: WF.feature_importance(Pipeline.weekly(s, d).split), "feature_name importance")
+    WF.baseline_predictions(p.split, ["random_forest"], depth=_QUERY_DEPTH), WF.split_majority(p.split)))(Pipeline.weekly(s, d)), _BASE)
+register("feature_importance", lambda s, d: WF.feature_importance(Pipeline.weekly(s, d).split, depth=_QUERY_DEPTH), "feature_name importance")
 
 # --- diagnostics ------------------------------------------------------------------------
 _STATS = "split_name feature_name rows nulls non_finite finite_rows mean std min max p01 p05 p25 median p75 p95 p99"
