@@ -57,6 +57,17 @@ def actions_without_price(panel: DataFrame, reviewed: DataFrame) -> DataFrame:
         keys, ["ticker", "event_date"], "left_anti")
 
 
+def require_covered(panel: DataFrame, registry: DataFrame) -> None:
+    """Stops where a confirmed decision would be without effect: its date has no price row, or its row is no candidate."""
+    confirmed = registry.filter(F.col("review_status") == "CONFIRMED").select("ticker", F.col("event_date").alias("trade_date"), F.lit(True).alias("confirmed"))
+    rows = D.with_confidence(D.price_movements(panel)).select("ticker", "trade_date", D.is_candidate().alias("candidate"))
+    lost = confirmed.join(rows, ["ticker", "trade_date"], "left").filter(~F.coalesce("candidate", F.lit(False)))
+    found = lost.select("ticker", "trade_date", F.col("candidate").isNotNull().alias("priced")).limit(5).collect()
+    if found:
+        raise C.ContractError("confirmed decisions without " + "; ".join(
+            f"{'candidate' if r.priced else 'price row'}: {r.ticker} {r.trade_date}" for r in found))
+
+
 def attach_events(panel: DataFrame, reviewed: DataFrame) -> DataFrame:
     """Detector status and, for confirmed rows only, the governed payload.
 

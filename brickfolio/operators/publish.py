@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from brickfolio.contracts import RUN_TIME_COLUMNS, ContractError
+from brickfolio.operators.checks import assert_passed
 
 
 def _row_text(columns: list[str]):
@@ -69,6 +70,15 @@ def publish_partitioned(df: DataFrame, path: str, partition: list[str], order: l
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def publish_checked(df: DataFrame, checks: DataFrame, path: str, partition: list[str], order: list[str]) -> DataFrame:
+    """Publish a table whose checks have passed, and make sure that every row arrived."""
+    assert_passed(checks)
+    expected, out = df.count(), publish_partitioned(df, path, partition, order)
+    if (found := out.count()) != expected:
+        raise ContractError(f"published {found} of {expected} rows")
+    return out
+
+
 def publish_single(df: DataFrame, path: str, order: list[str]) -> DataFrame:
     """Write one unpartitioned table, range-ordered, and return it as read back."""
     df.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite").parquet(path)

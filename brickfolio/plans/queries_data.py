@@ -475,15 +475,30 @@ cycle("cycle_state_counts", lambda c: HE.state_counts(_states(c)), "cycle_state
 
 
 # --- saved SQL ------------------------------------------------------------------------------
+_PUBLISHED: dict[tuple[str, str, str], str] = {}
+
+
+def _published_table(s, d, stage, table, partition):
+    """The stage's table, published once in a session under its partition column and read back."""
+    key = (s.sparkContext.applicationId, d, stage)
+    if key not in _PUBLISHED:
+        rows = table()
+        path = scratch_path(s, f"published-{stage}")
+        P.publish_partitioned(rows, path, [partition], ["ticker"])
+        _PUBLISHED[key] = path
+    return s.read.parquet(_PUBLISHED[key])
+
+
 def _saved(name):
-    stage, columns, _, _ = SQL.SAVED[name]
+    stage, columns, _, day = SQL.SAVED[name]
     kind = "weekly" if stage in ("eligibility", "training", "split") else "daily"
 
     def build(s, d):
-        p = getattr(Pipeline, kind)(s, d)
-        table = SN.daily_snapshot(p.panel, TB.price_master(s, d)) if stage == "snapshot" else getattr(p, stage)
+        def table():
+            p = getattr(Pipeline, kind)(s, d)
+            return SN.daily_snapshot(p.panel, TB.price_master(s, d)) if stage == "snapshot" else getattr(p, stage)
         view = f"saved_{stage}"
-        table.createOrReplaceTempView(view)
+        _published_table(s, d, stage, table, "split_name" if stage == "split" else day).createOrReplaceTempView(view)
         return s.sql(SQL.statement(name, view))
 
     if stage == "snapshot":

@@ -94,6 +94,15 @@ def failed(checks):
     return {r.check_name: r.violations for r in checks.filter("status = 'FAIL'").collect()}
 
 
+def test_confirmed_decisions_must_take_effect(panel, registry):
+    p = panel({"A": {0: 10, 1: 100, 2: 101}})
+    A.require_covered(p, registry(split("A", 1, 0.1), dict(ticker="A", event_date=day(2), review_status="REJECTED", event_type=None)))
+    with pytest.raises(Exception, match="without candidate: A 2024-01-03"):
+        A.require_covered(p, registry(split("A", 2, 0.1)))
+    with pytest.raises(Exception, match="without price row: B 2024-01-02"):
+        A.require_covered(p, registry(split("B", 1, 0.1)))
+
+
 def test_registry_rules(registry):
     good = split("A", 1, 10)
     assert failed(D.registry_checks(registry(good))) == {}

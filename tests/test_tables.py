@@ -196,6 +196,21 @@ def test_fingerprints_of_different_rows_and_types_differ(spark):
     assert len(set(prints)) == len(prints)
 
 
+def test_failed_checks_stop_a_publish(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "a"), (2, "b")], "p int, v string")
+    checks = spark.createDataFrame([("KEY_UNIQUE", 0, "PASS")], "check_name string, violations int, status string")
+    assert P.publish_checked(rows, checks, str(tmp_path / "good"), ["p"], ["v"]).count() == 2
+    with pytest.raises(C.ContractError, match="KEY_UNIQUE=3"):
+        P.publish_checked(rows, checks.selectExpr("check_name", "3 as violations", "'FAIL' as status"), str(tmp_path / "bad"), ["p"], ["v"])
+    assert not (tmp_path / "bad").exists()
+
+
+def test_saved_sql_prunes_to_partitions(spark):
+    from brickfolio.plans import load_catalog
+    plan = load_catalog()[0]["sql_history"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(trade_date" in plan
+
+
 def test_publish_decisions(spark):
     new = spark.createDataFrame([(1, "r1", "c1"), (2, "r2", "c2"), (3, "r3", "c3"), (4, "r4", "c4")], "p int, raw_sha256 string, content_sha256 string")
     old = spark.createDataFrame([(1, "r1", "zz"), (2, "xx", "c2"), (3, "xx", "zz")], new.schema)
