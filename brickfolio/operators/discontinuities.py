@@ -213,3 +213,19 @@ def review_queue(reviewed: DataFrame) -> DataFrame:
         })
         .orderBy("review_priority", F.desc("priority_score"), "event_date", "ticker")
     )
+
+
+def queue_checks(queue: DataFrame, dataset: str | None = None) -> DataFrame:
+    """The contract of the review queue; an empty queue passes."""
+    c = F.col
+    rules = {
+        "TICKER_PRESENT": X.blank("ticker"),
+        "EVENT_DATE_PRESENT": c("event_date").isNull(),
+        "DAILY_RETURN_PRESENT": c("daily_return").isNull(),
+        "CLASSIFIED": c("classification").isNull() | c("confidence").isNull(),
+        "STATUS_PENDING": ~c("review_status").eqNullSafe("PENDING_REVIEW"),
+        "PRIORITY_DOMAIN": ~F.coalesce(c("review_priority").isin("P1", "P2", "P3", "P4"), F.lit(False)),
+        "ABSOLUTE_RETURN_CONSISTENT": c("absolute_daily_return") != F.abs("daily_return"),
+        "SCORE_POSITIVE": ~F.coalesce(c("priority_score") > 0, F.lit(False)),
+    }
+    return rule_counts(queue, rules, key=("ticker", "event_date"), dataset=dataset)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from brickfolio import contracts as C
 from brickfolio.functions import columns as X
+from brickfolio.operators.checks import rule_counts
 from brickfolio.functions.windows import exactly_ahead, last_rows, running
 from brickfolio.operators.calendar import session_calendar, with_session_index
 
@@ -144,3 +145,18 @@ def with_verdict(samples: DataFrame) -> DataFrame:
             "eligibility_policy": F.lit(C.ELIGIBILITY_POLICY),
         })
     )
+
+
+def eligibility_checks(rows: DataFrame, dataset: str | None = None) -> DataFrame:
+    """The contract of the eligibility table."""
+    c = F.col
+    rules = {
+        "TICKER_PRESENT": X.blank("ticker"),
+        "FEATURE_DATE_PRESENT": c("feature_date").isNull(),
+        "TARGET_AFTER_FEATURE": c("target_date") <= c("feature_date"),
+        "ELIGIBLE_IS_CLEAN": c("ml_eligible") != (c("feature_window_clean") & c("target_horizon_clean")),
+        "REASON_FOLLOWS_VERDICT": c("ml_eligible") != (c("ml_ineligibility_reason") == "NONE"),
+        "HORIZON_COUNT_FOLLOWS": c("target_horizon_clean") != (c("blocking_target_horizon_count") == 0),
+        "COUNTS_NOT_NEGATIVE": c("blocking_target_horizon_count") < 0,
+    }
+    return rule_counts(rows, rules, key=("ticker", "feature_date"), dataset=dataset)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from brickfolio import contracts as C
 from brickfolio.functions import columns as X
+from brickfolio.operators.checks import rule_counts
 from brickfolio.functions.windows import by_ticker, rows_before
 from brickfolio.operators.calendar import session_calendar, with_session_index
 
@@ -98,6 +99,24 @@ def with_quality(adjusted: DataFrame, calendar: DataFrame | None = None) -> Data
     )
 
 
+def price_quality_checks(quality: DataFrame, dataset: str | None = None) -> DataFrame:
+    """The contract of the price quality table."""
+    c = F.col
+    named = lambda flag: F.array_contains(F.split("quality_flags", r"\|"), flag)
+    rules = {
+        "TICKER_PRESENT": X.blank("ticker"),
+        "TRADE_DATE_PRESENT": c("trade_date").isNull(),
+        "CLOSE_PRESENT": c("close_price_raw").isNull() | c("close_price_adjusted").isNull(),
+        "GAP_CLASS_PRESENT": c("trading_gap_class").isNull(),
+        "STATUS_DOMAIN": ~F.coalesce(c("ml_quality_status").isin("PASS", "REVIEW"), F.lit(False)),
+        "EXTREME_FLAG_NAMED": c("flag_extreme_return") != named("EXTREME_RETURN"),
+        "GAPS_NOT_NEGATIVE": c("trading_gap_sessions") < 0,
+        "PREVIOUS_DATE_EARLIER": c("previous_trade_date") >= c("trade_date"),
+        "VERSION_PRESENT": X.blank("price_quality_version") | X.blank("price_quality_source"),
+    }
+    return rule_counts(quality, rules, key=("ticker", "trade_date"), dataset=dataset)
+
+
 LIQUIDITY_WINDOWS = (5, 20)
 
 

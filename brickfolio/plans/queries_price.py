@@ -309,6 +309,55 @@ staged("ml_eligibility", "weekly", lambda p: p.eligibility, EL.OUTPUT, "eligibil
 staged("return_curve", "weekly", lambda p: T.return_curve(p.history),
        "ticker trade_date economic_growth_factor cumulative_economic_log_growth", "curve")
 staged("training_dataset", "weekly", lambda p: p.training, T.output_columns(), "training")
+# --- contracts on tables with planted violations: each rule is broken on some days -----------------
+def _broken(df, date, changes):
+    """``changes``: column -> (day divisor, value); a fifth of the first ticker's rows is there twice."""
+    day = F.unix_date(date)
+    df = df.withColumns({c: F.when(day % n == 0, value).otherwise(F.col(c)) for c, (n, value) in changes.items()})
+    return df.unionByName(df.filter(day % 35 == 3))
+
+
+def _broken_sql(table, date, changes):
+    day = f"date_diff('day', DATE '1970-01-01', CAST({date} AS DATE))"
+    parts = ", ".join(f"CASE WHEN {day} % {n} = 0 THEN {value} ELSE {c} END AS {c}" for c, (n, value) in changes.items())
+    body = f"SELECT * REPLACE ({parts}) FROM ({table})"
+    return f"({body} UNION ALL SELECT * FROM ({body}) WHERE {day} % 35 = 3)"
+
+
+_QUEUE_SQL = """SELECT *, abs(daily_return) AS absolute_daily_return, 'P1' AS review_priority, 100.0::DOUBLE AS priority_score
+                FROM reviewed WHERE review_status = 'PENDING_REVIEW'"""
+final("queue_checks", "weekly", lambda p: D.queue_checks(_broken(D.review_queue(p.reviewed), "event_date", {
+    "ticker": (3, F.lit(None)), "classification": (4, F.lit(None)), "review_status": (5, F.lit("DONE")), "review_priority": (2, F.lit("P9")),
+    "absolute_daily_return": (7, F.lit(-1.0)), "priority_score": (8, F.lit(0.0)), "daily_return": (9, F.lit(None))})),
+      CHECK, "reviewed", checks_sql(_broken_sql(_QUEUE_SQL, "event_date", {
+          "ticker": (3, "NULL"), "classification": (4, "NULL"), "review_status": (5, "'DONE'"), "review_priority": (2, "'P9'"),
+          "absolute_daily_return": (7, "-1.0::DOUBLE"), "priority_score": (8, "0.0::DOUBLE"), "daily_return": (9, "NULL")}), {
+              "TICKER_PRESENT": "trim(coalesce(ticker, '')) = ''", "EVENT_DATE_PRESENT": "event_date IS NULL", "DAILY_RETURN_PRESENT": "daily_return IS NULL",
+              "CLASSIFIED": "classification IS NULL OR confidence IS NULL", "STATUS_PENDING": "review_status IS DISTINCT FROM 'PENDING_REVIEW'",
+              "PRIORITY_DOMAIN": "review_priority NOT IN ('P1', 'P2', 'P3', 'P4')", "ABSOLUTE_RETURN_CONSISTENT": "absolute_daily_return <> abs(daily_return)",
+              "SCORE_POSITIVE": "NOT priority_score > 0"}, "ticker, event_date"))
+final("price_quality_checks", "daily", lambda p: Q.price_quality_checks(_broken(p.quality, "trade_date", {
+    "ticker": (11, F.lit(" ")), "close_price_adjusted": (3, F.lit(None)), "trading_gap_class": (4, F.lit(None)), "ml_quality_status": (5, F.lit("BAD")),
+    "flag_extreme_return": (6, ~F.col("flag_extreme_return")), "trading_gap_sessions": (7, F.lit(-1)), "previous_trade_date": (8, F.col("trade_date")),
+    "price_quality_version": (9, F.lit(""))})), CHECK, "quality", checks_sql(_broken_sql("SELECT * FROM quality", "trade_date", {
+        "ticker": (11, "' '"), "close_price_adjusted": (3, "NULL"), "trading_gap_class": (4, "NULL"), "ml_quality_status": (5, "'BAD'"),
+        "flag_extreme_return": (6, "NOT flag_extreme_return"), "trading_gap_sessions": (7, "-1"), "previous_trade_date": (8, "trade_date"),
+        "price_quality_version": (9, "''")}), {
+            "TICKER_PRESENT": "trim(coalesce(ticker, '')) = ''", "TRADE_DATE_PRESENT": "trade_date IS NULL",
+            "CLOSE_PRESENT": "close_price_raw IS NULL OR close_price_adjusted IS NULL", "GAP_CLASS_PRESENT": "trading_gap_class IS NULL",
+            "STATUS_DOMAIN": "ml_quality_status NOT IN ('PASS', 'REVIEW')",
+            "EXTREME_FLAG_NAMED": "flag_extreme_return <> list_contains(string_split(quality_flags, '|'), 'EXTREME_RETURN')",
+            "GAPS_NOT_NEGATIVE": "trading_gap_sessions < 0", "PREVIOUS_DATE_EARLIER": "previous_trade_date >= trade_date",
+            "VERSION_PRESENT": "trim(price_quality_version) = '' OR trim(price_quality_source) = ''"}, "ticker, trade_date"))
+final("eligibility_checks", "weekly", lambda p: EL.eligibility_checks(_broken(p.eligibility, "feature_date", {
+    "ticker": (11, F.lit(None)), "target_date": (3, F.col("feature_date")), "ml_eligible": (2, ~F.col("ml_eligible")),
+    "blocking_target_horizon_count": (5, F.lit(-1))})), CHECK, "eligibility", checks_sql(_broken_sql("SELECT * FROM eligibility", "feature_date", {
+        "ticker": (11, "NULL"), "target_date": (3, "feature_date"), "ml_eligible": (2, "NOT ml_eligible"), "blocking_target_horizon_count": (5, "-1")}), {
+            "TICKER_PRESENT": "trim(coalesce(ticker, '')) = ''", "FEATURE_DATE_PRESENT": "feature_date IS NULL", "TARGET_AFTER_FEATURE": "target_date <= feature_date",
+            "ELIGIBLE_IS_CLEAN": "ml_eligible <> (feature_window_clean AND target_horizon_clean)",
+            "REASON_FOLLOWS_VERDICT": "ml_eligible <> (ml_ineligibility_reason = 'NONE')",
+            "HORIZON_COUNT_FOLLOWS": "target_horizon_clean <> (blocking_target_horizon_count = 0)", "COUNTS_NOT_NEGATIVE": "blocking_target_horizon_count < 0"},
+        "ticker, feature_date"))
 final("horizon_check", "weekly", lambda p: T.horizon_check(p.eligibility, p.calendar),
       "sample_rows outside_calendar matching_rows match_rate min_calendar_delay max_calendar_delay mean_calendar_delay",
       "eligibility", """
