@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brickfolio.llm.bytewords import Words, find_words, mix, ranges, word_slices
+from brickfolio.llm.bytewords import Words, find_words, mix, ranges, tidy, word_slices
 from brickfolio.llm.tables import bounded, id_or_last, row_key
 
 PIECE = 64          # most windows of one passage; longer ones are cut, overlapping
@@ -327,14 +327,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = bounded(docs).select(
         row_key(id_col, text_col).alias("rk"), F.col(text_col).cast("string").alias("text"), id_or_last(id_col).alias("id"),
         F.col(id_col).cast("long").alias("doc_id"))
-    seen = rows.select("rk", "text").mapInArrow(_names(window, gram), "rk long, name long, n int")
+    seen = rows.select("rk", "text").mapInArrow(tidy(_names(window, gram)), "rk long, name long, n int")
     counts = seen.groupBy("name").agg(F.sum("n").alias("total")).where("total > 1")
     wanted = (seen.join(counts, "name").groupBy("rk").agg(
         F.collect_set("name").alias("names"), F.collect_set(F.when(F.col("total") > hot, F.col("name"))).alias("hot")))
     both = rows.join(wanted, "rk", "left")
-    found = both.mapInArrow(_extract(window, gram), "name long, rk long, id long, place int, body binary")
+    found = both.mapInArrow(tidy(_extract(window, gram)), "name long, rk long, id long, place int, body binary")
     kept = (found.repartition("name").sortWithinPartitions("name")
-            .mapInArrow(_search(window), "rk long, id long, starts array<int>")
+            .mapInArrow(tidy(_search(window)), "rk long, id long, starts array<int>")
             .groupBy("rk").agg(F.collect_list(F.struct("id", "starts")).alias("kept")))
     return both.join(kept, "rk", "left").mapInArrow(
-        _cut(window, gram), "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string")
+        tidy(_cut(window, gram)), "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string")

@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from brickfolio.llm.bytewords import mix, word_slices
+from brickfolio.llm.bytewords import mix, tidy, word_slices
 from brickfolio.llm.tables import bounded, row_key, stored
 
 LONGEST = 30
@@ -232,13 +232,15 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
         steps: int = 1500) -> Network | None:
     """Trains on at most ``per_language`` documents of each language and ``most`` in all."""
     able = docs.where(~held_out(id_col) & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    first = Window.partitionBy("lang").orderBy("code", "rk")
+    # first within parts of a language, so that no task sees all documents of one
+    parts, first = Window.partitionBy("lang", "part").orderBy("code", "rk"), Window.partitionBy("lang").orderBy("code", "rk")
     keys = (able.select(F.col(lang_col).cast("string").alias("lang"), F.xxhash64(F.col(id_col).cast("long"), F.lit(11)).alias("code"), row_key(id_col, text_col).alias("rk"))
-            .distinct().withColumn("n", F.row_number().over(first)).where(F.col("n") <= per_language).orderBy("n", "lang").limit(most).select("rk"))
+            .distinct().withColumn("part", F.pmod("rk", F.lit(64))).withColumn("n", F.row_number().over(parts)).where(F.col("n") <= per_language)
+            .withColumn("n", F.row_number().over(first)).where(F.col("n") <= per_language).orderBy("n", "lang").limit(most).select("rk"))
     keys = stored(keys, "training")  # at most ``most`` numbers
     texts = (able.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"), row_key(id_col, text_col).alias("rk"))
              .join(F.broadcast(keys), "rk", "left_semi").select("lang", "text"))
-    found = texts.mapInArrow(_sample_words(words_each), "lang string, word binary").toArrow()
+    found = texts.mapInArrow(tidy(_sample_words(words_each)), "lang string, word binary").toArrow()
     if not found.num_rows:
         return None
     # an order that does not depend on how tasks deliver the words
@@ -249,7 +251,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
 def predict(docs: DataFrame, network: Network | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, held_out, lang_pred, score of each document."""
     rows = bounded(docs).select(F.col(id_col).cast("long").alias("doc_id"), held_out(id_col).alias("held_out"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(_predict(network), "doc_id long, held_out boolean, lang_pred string, score double")
+    return rows.mapInArrow(tidy(_predict(network)), "doc_id long, held_out boolean, lang_pred string, score double")
 
 
 def identify(docs: DataFrame, **options) -> DataFrame:

@@ -25,16 +25,18 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import zstandard
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brickfolio.llm.bytewords import SpanHasher, ranges, text_slices
+from brickfolio.llm.bytewords import SpanHasher, ranges, text_slices, tidy
+from brickfolio.llm.packing import packed, unpacked
 from brickfolio.llm.tables import bounded, row_key, stored
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 LONG = 62
+SLICE = 1 << 18
 UNKNOWN_PENALTY = -1e4
 
 
@@ -91,6 +93,15 @@ class Units:
     def string(self, k: int) -> str:
         return self.points[self.start[k]:self.end[k]].tobytes().decode("utf-32-le")
 
+    def strings(self, some: np.ndarray) -> pa.Array:
+        """The units of these indexes, encoded all at once."""
+        length = self.end[some] - self.start[some]
+        points = self.points[ranges(self.start[some], length)]
+        body = points.tobytes().decode("utf-32-le").encode()
+        size = 1 + (points > 0x7F).astype(np.int64) + (points > 0x7FF) + (points > 0xFFFF)
+        places = np.concatenate([[0], np.cumsum(size)])[np.concatenate([[0], np.cumsum(length)])]
+        return pa.StringArray.from_buffers(len(some), pa.py_buffer(places.astype(np.int32).tobytes()), pa.py_buffer(body))
+
 
 def find_units(data: np.ndarray, offsets: np.ndarray, joins: np.ndarray) -> Units:
     points = np.frombuffer(data.tobytes().decode("utf-8", "replace").encode("utf-32-le"), dtype=np.uint32)
@@ -137,26 +148,14 @@ def _bit(k: Column) -> Column:
     return F.call_function("shiftleft", F.lit(1).cast("long"), k.cast("int"))
 
 
-def _inner(start: Column, end: Column) -> Column:
-    """Bits of the boundaries strictly between two."""
-    return _bit(end) - _bit(start + 1)
-
-
-def _start(edge: Column) -> Column:
-    return F.shiftright(edge, 30).bitwiseAND(63)
-
-
-def _end(edge: Column) -> Column:
-    return F.shiftright(edge, 24).bitwiseAND(63)
-
-
 def _edges(units: DataFrame, pieces: DataFrame, longest: int, keys: list[str]) -> DataFrame:
-    """Every substring that is a piece: start, end, and what the table says of it. The first character stays in any case, with null id."""
+    """Every substring that is a piece: start, end, and what the table says of it."""
     spans = (units.select(*keys, F.explode(F.sequence(F.lit(0), F.length("unit") - 1)).alias("start"))
              .select(*keys, "start", F.explode(F.sequence(F.lit(1), F.least(F.lit(longest), F.length("unit") - F.col("start")))).alias("size"))
-             .withColumn("piece", F.substring("unit", F.col("start") + 1, F.col("size"))))
-    found = spans.join(F.broadcast(pieces), "piece", "left").where(F.col("id").isNotNull() | (F.col("start") + F.col("size") == 1))
-    return found.withColumn("end", F.col("start") + F.col("size"))
+             .withColumn("part", F.substring("unit", F.col("start") + 1, F.col("size"))).withColumn("code", F.xxhash64("part")))
+    # a join on one long is faster than on strings; that the strings are equal is said in a way that makes it no second key
+    same = F.startswith("part", "piece") & F.startswith("piece", "part")
+    return spans.join(F.broadcast(pieces.withColumn("code", F.xxhash64("piece"))), "code").where(same).withColumn("end", F.col("start") + F.col("size"))
 
 
 def _byte_ids(char: Column, vocabulary: Vocabulary) -> Column:
@@ -165,26 +164,34 @@ def _byte_ids(char: Column, vocabulary: Vocabulary) -> Column:
     return F.transform(F.sequence(F.lit(1), F.length(code), F.lit(2)), lambda k: F.get(table, F.conv(F.substring(code, k, F.lit(2)), 16, 10).cast("int")))
 
 
+def _unpacked(edge: Column) -> Column:
+    start, end = F.shiftright(edge, 30).bitwiseAND(63), F.shiftright(edge, 24).bitwiseAND(63)
+    return F.struct(start.cast("int").alias("start"), (_bit(start) + _bit(end)).alias("ends"), (_bit(end) - _bit(start + 1)).alias("inner"), edge.bitwiseAND((1 << 24) - 1).cast("int").alias("id"))
+
+
 def _merge(unit: Column, edges: Column, vocabulary: Vocabulary) -> Column:
-    """edges: packed rank, start, end, id, ascending. The state: bits of the boundaries left, and the edges that may still be taken."""
+    """edges: structs of start, ends, inner, id, best rank and then leftmost first; ends and inner are bits of boundaries. The state: the boundaries left, and the
+    edges that may still be taken."""
     n = F.length(unit)
 
     def step(state: Column, _: Column) -> Column:
-        mask = state["mask"]
-        inner = lambda e: F.bit_count(mask.bitwiseAND(_inner(_start(e), _end(e))))
-        alive = F.filter(state["edges"], lambda e: (mask.bitwiseAND(_bit(_start(e)) + _bit(_end(e))) == _bit(_start(e)) + _bit(_end(e))) & (inner(e) > 0))
-        best = F.get(F.filter(state["edges"], lambda e: (mask.bitwiseAND(_bit(_start(e)) + _bit(_end(e))) == _bit(_start(e)) + _bit(_end(e))) & (inner(e) == 1)), F.lit(0))
-        return F.struct(F.coalesce(mask.bitwiseAND(F.bitwise_not(_inner(_start(best), _end(best)))), mask).alias("mask"), alive.alias("edges"))
+        best = F.get(F.filter(state["edges"], lambda e: F.bit_count(state["mask"].bitwiseAND(e["inner"])) == 1), F.lit(0))
+        return F.element_at(F.transform(
+            F.array(F.coalesce(state["mask"].bitwiseAND(F.bitwise_not(best["inner"])), state["mask"])), lambda mask: F.struct(mask.alias("mask"), F.filter(
+                state["edges"], lambda e: (mask.bitwiseAND(e["ends"]) == e["ends"]) & (mask.bitwiseAND(e["inner"]) != 0)).alias("edges"))), 1)
 
-    begin = F.struct((_bit(n + 1) - 1).alias("mask"), F.filter(edges, lambda e: _end(e) - _start(e) > 1).alias("edges"))
+    begin = F.struct((_bit(n + 1) - 1).alias("mask"), F.filter(edges, lambda e: e["inner"] != 0).alias("edges"))
     mask = F.aggregate(F.sequence(F.lit(1), n), begin, step, lambda s: s["mask"])
-    # parts that are pieces, and characters that are not
-    taken = F.struct(mask.alias("mask"))
-    return F.element_at(F.transform(F.array(taken), lambda s: F.flatten(F.transform(
-        F.filter(F.sequence(F.lit(0), n - 1), lambda a: s["mask"].bitwiseAND(_bit(a)) != 0), lambda a: F.coalesce(
-            F.get(F.transform(F.filter(edges, lambda e: (_start(e) == a) & (s["mask"].bitwiseAND(_bit(_end(e))) != 0) & (s["mask"].bitwiseAND(_inner(_start(e), _end(e))) == 0)),
-                              lambda e: F.array(e.bitwiseAND((1 << 24) - 1).cast("int"))), F.lit(0)),
-            _byte_ids(F.substring(unit, a + 1, F.lit(1)), vocabulary))))), 1)
+
+    def spelt(mask: Column) -> Column:
+        parts = F.array_sort(F.transform(
+            F.filter(edges, lambda e: (mask.bitwiseAND(e["ends"]) == e["ends"]) & (mask.bitwiseAND(e["inner"]) == 0)), lambda e: F.struct(e["start"].alias("start"), e["id"].alias("id"))))
+        # characters that are no piece
+        other = F.flatten(F.transform(F.filter(F.sequence(F.lit(0), n - 1), lambda a: mask.bitwiseAND(_bit(a)) != 0), lambda a: F.coalesce(
+            F.get(F.transform(F.filter(parts, lambda p: p["start"] == a), lambda p: F.array(p["id"])), F.lit(0)), _byte_ids(F.substring(unit, a + 1, F.lit(1)), vocabulary))))
+        return F.when(F.size(parts) == F.bit_count(mask) - 1, F.transform(parts, lambda p: p["id"])).otherwise(other)
+
+    return F.element_at(F.transform(F.array(mask), spelt), 1)
 
 
 def _viterbi(unit: Column, edges: Column, vocabulary: Vocabulary) -> Column:
@@ -210,15 +217,15 @@ def _viterbi(unit: Column, edges: Column, vocabulary: Vocabulary) -> Column:
 
 
 def fold_units(units: DataFrame, pieces: DataFrame, vocabulary: Vocabulary, fold: str = "merge", keys: list[str] | None = None) -> DataFrame:
-    """units: keys, among them ``unit`` of 1 to LONG characters. Returns the keys with ids."""
+    """units: keys, among them ``unit`` of 1 to LONG characters. Returns the keys with ids; a unit in which no piece occurs is left out."""
     keys = keys or ["unit"]
     longest = max(map(len, vocabulary.pieces))
     edges = _edges(units, pieces, longest, keys)
     if fold == "merge":
         packed = F.shiftleft(F.col("rank").cast("long"), 36) + F.shiftleft(F.col("start").cast("long"), 30) + F.shiftleft(F.col("end").cast("long"), 24) + F.col("id")
-        grouped, folded = F.array_sort(F.collect_list(packed)), _merge
+        grouped, folded = F.transform(F.array_sort(F.collect_list(packed)), _unpacked), _merge
     else:
-        grouped, folded = F.collect_list(F.when(F.col("id").isNotNull(), F.struct("start", "end", "score", "id"))), _viterbi
+        grouped, folded = F.collect_list(F.struct("start", "end", "score", "id")), _viterbi
     found = edges.groupBy(*keys).agg(grouped.alias("edges"))
     return found.select(*keys, folded(F.col("unit"), F.col("edges"), vocabulary).alias("ids"))
 
@@ -226,81 +233,89 @@ def fold_units(units: DataFrame, pieces: DataFrame, vocabulary: Vocabulary, fold
 # --- encoding ------------------------------------------------------------------------------------------------------------------------
 
 
-def _count_units(joins: np.ndarray, most: int = 300_000) -> Callable:
-    def flush(found: dict[int, list]) -> pa.RecordBatch:
-        units, counts = zip(*found.values(), strict=True)
-        return pa.record_batch([pa.array(units), pa.array(counts, pa.int64())], ["unit", "n"])
+def _count_units(joins: np.ndarray, most: int = 80_000) -> Callable:
+    """Distinct units with counts, of some slices at a time."""
+    def merged(parts: list[tuple[np.ndarray, np.ndarray, pa.Array]]) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+        code, first, of = np.unique(np.concatenate([p[0] for p in parts]), return_index=True, return_inverse=True)
+        count = np.bincount(of, weights=np.concatenate([p[1] for p in parts])).astype(np.int64)
+        return code, count, pa.concat_arrays([p[2] for p in parts]).take(pa.array(first))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict[int, list] = {}
+        parts, size = [], 0
         for batch in batches:
-            for _, _, data, offsets in text_slices(batch.column(0)):
+            for _, _, data, offsets in text_slices(batch.column(0), SLICE):
                 units = find_units(data, offsets, joins)
                 code, at, n = np.unique(units.hashes, return_index=True, return_counts=True)
-                for h, k, c in zip(code.tolist(), at.tolist(), n.tolist(), strict=True):
-                    if (known := found.get(h)) is not None:
-                        known[1] += c
-                    elif units.end[k] - units.start[k] <= LONG:
-                        found[h] = [units.string(k), c]
-                if len(found) > most:
-                    yield flush(found)
-                    found = {}
-        if found:
-            yield flush(found)
+                short = units.end[at] - units.start[at] <= LONG
+                parts.append((code[short], n[short], units.strings(at[short])))
+                size += len(parts[-1][0])
+                if size > 2 * most:
+                    parts = [merged(parts)]
+                    size = len(parts[0][0])
+                    if size > most:
+                        yield pa.record_batch([parts[0][2], pa.array(parts[0][1])], ["unit", "n"])
+                        parts, size = [], 0
+        if parts:
+            code, n, units = merged(parts)
+            yield pa.record_batch([units, pa.array(n)], ["unit", "n"])
     return run
 
 
 @dataclass
 class Head:
-    """Ids of the frequent units, by hash."""
+    """Ids of units, found by hash: an open table of twice to four times the units."""
 
-    codes: np.ndarray
+    codes: np.ndarray     # in the table
+    places: np.ndarray    # index of the unit in a slot, or -1
     offsets: np.ndarray
     ids: np.ndarray
 
     @staticmethod
-    def of(units: list[str], ids: list) -> Head:
-        codes = unit_hashes(units)
-        order = np.argsort(codes)
-        lengths = np.fromiter((len(ids[k]) for k in order), np.int64, len(order))
-        flat = np.concatenate([np.asarray(ids[k], dtype=np.int32) for k in order]) if len(order) else np.zeros(0, np.int32)
-        return Head(codes[order], np.concatenate([[0], np.cumsum(lengths)]), flat)
+    def of(units: pa.Array, ids: pa.Array) -> Head:
+        """units: strings; ids: a list of each."""
+        parts = [np.zeros(0, dtype=np.uint64)]
+        for k in range(0, len(units), 50_000):
+            some = units.slice(k, 50_000)
+            end = np.cumsum(pc.utf8_length(some).to_numpy().astype(np.int64))
+            points = np.frombuffer("".join(some.to_pylist()).encode("utf-32-le"), dtype=np.uint32)
+            parts.append(SpanHasher(points)(np.concatenate([[0], end[:-1]]).astype(np.int64), end))
+        codes = np.concatenate(parts)
+        size = pc.list_value_length(ids).to_numpy(zero_copy_only=False).astype(np.int64)
+        slots = 1 << max(1, 2 * len(codes) - 1).bit_length()
+        table, places = np.zeros(slots, dtype=np.uint64), np.full(slots, -1, dtype=np.int32)
+        left, slot = np.arange(len(codes)), (codes & np.uint64(slots - 1)).astype(np.int64)
+        while len(left):
+            free = places[slot] < 0
+            places[slot[free]] = left[free]          # of several for one slot the last stays
+            table[slot[free]] = codes[left[free]]
+            again = places[slot] != left
+            left, slot = left[again], (slot[again] + 1) & (slots - 1)
+        flat = ids.flatten().to_numpy()
+        narrow = np.uint16 if len(flat) == 0 or flat.max() < 1 << 16 else np.int32
+        return Head(table, places, np.concatenate([[0], np.cumsum(size)]).astype(np.int32), flat.astype(narrow))
 
     def find(self, codes: np.ndarray) -> np.ndarray:
         """Index of each code, or -1."""
-        if not len(self.codes):
-            return np.full(len(codes), -1)
-        at = np.minimum(np.searchsorted(self.codes, codes), len(self.codes) - 1)
-        return np.where(self.codes[at] == codes, at, -1)
-
-
-def unit_hashes(units: list[str]) -> np.ndarray:
-    points = np.frombuffer("".join(units).encode("utf-32-le"), dtype=np.uint32)
-    end = np.cumsum(np.fromiter(map(len, units), np.int64, len(units)))
-    return SpanHasher(points)(np.concatenate([[0], end[:-1]]).astype(np.int64), end) if len(units) else np.zeros(0, np.uint64)
+        out, left, mask = np.full(len(codes), -1, dtype=np.int64), np.arange(len(codes)), len(self.codes) - 1
+        slot = (codes & np.uint64(mask)).astype(np.int64)
+        while len(left):
+            place = self.places[slot]
+            equal = (self.codes[slot] == codes[left]) & (place >= 0)
+            out[left[equal]] = place[equal]
+            again = ~equal & (place >= 0)
+            left, slot = left[again], (slot[again] + 1) & mask
+        return out
 
 
 def _rare_units(joins: np.ndarray, head) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys = batch.column("rk").to_numpy()
-            for low, _, data, offsets in text_slices(batch.column("text")):
+            for low, _, data, offsets in text_slices(batch.column("text"), SLICE):
                 units = find_units(data, offsets, joins)
                 rare = np.flatnonzero((head.value.find(units.hashes) < 0) & (units.end - units.start <= LONG))
-                order = rare[np.lexsort((units.hashes[rare], units.text[rare]))]
-                new = np.ones(len(order), dtype=bool)
-                new[1:] = (units.hashes[order][1:] != units.hashes[order][:-1]) | (units.text[order][1:] != units.text[order][:-1])
-                at = order[new]
-                yield pa.record_batch([pa.array(keys[low + units.text[at]]), pa.array([units.string(k) for k in at.tolist()], pa.string())], ["rk", "unit"])
-    return run
-
-
-def _compress(carried: list[str]) -> Callable:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pack = zstandard.ZstdCompressor(level=3)
-        for batch in batches:
-            bodies = [None if t is None else pack.compress(t) for t in batch.column("text").cast(pa.binary()).to_pylist()]
-            yield pa.record_batch([*(batch.column(x) for x in carried), pa.array(bodies, pa.binary())], [*carried, "packed"])
+                at = rare[np.unique(units.hashes[rare] + units.text[rare].astype(np.uint64), return_index=True)[1]]
+                yield pa.record_batch([pa.array(keys[low + units.text[at]]), units.strings(at)], ["rk", "unit"])
     return run
 
 
@@ -309,24 +324,23 @@ def _encode(joins: np.ndarray, head, rank: dict[str, int], ids: dict[str, int],
         return [i for p in merge_long(unit, rank) for i in ([ids[p]] if p in ids else [byte_ids[b] for b in p.encode()])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unpack = zstandard.ZstdDecompressor()
         for batch in batches:
-            texts = pa.array([None if t is None else unpack.decompress(t) for t in batch.column("packed").to_pylist()], pa.binary()).cast(pa.string())
+            texts = unpacked(batch)
             rare = batch.column("rare").to_pylist()
-            for low, high, data, offsets in text_slices(texts):
+            for low, high, data, offsets in text_slices(texts, SLICE):
                 units = find_units(data, offsets, joins)
                 common = head.value
                 at = common.find(units.hashes)
                 own = {r["unit"]: r["ids"] for rows in rare[low:high] for r in rows or ()}
-                for k in np.flatnonzero(units.end - units.start > LONG).tolist():
-                    unit = units.string(k)
-                    if unit not in own:
-                        own[unit] = long_ids(unit)
-                other = Head.of(list(own), list(own.values()))
                 spare = np.flatnonzero(at < 0)
+                # units that are too long for the fold, or hold no piece at all
+                for k in spare[np.unique(units.hashes[spare], return_index=True)[1]].tolist():
+                    if (unit := units.string(k)) not in own:
+                        own[unit] = long_ids(unit)
+                other = Head.of(pa.array(list(own), pa.string()), pa.array(list(own.values()), pa.list_(pa.int32())))
                 found = other.find(units.hashes[spare])
-                assert (found >= 0).all()
-                begin, length = common.offsets[at], common.offsets[at + 1] - common.offsets[at]
+                begin = common.offsets[at].astype(np.int64)
+                length = common.offsets[at + 1] - begin
                 begin[spare] = len(common.ids) + other.offsets[found]
                 length[spare] = other.offsets[found + 1] - other.offsets[found]
                 where = ranges(begin, length)
@@ -361,19 +375,20 @@ def encode(docs: DataFrame, vocabulary: Vocabulary | None = None, id_col: str =
     joins, pieces = vocabulary.joins(), vocabulary.table(spark)
     texts = bounded(docs).select(F.col(id_col).cast("long").alias("doc_id"), row_key(id_col, text_col).alias("rk"), F.col(text_col).cast("string").alias("text"), *carry)
     carried = "doc_id long, " + "".join(f"`{c}` {texts.schema[c].dataType.simpleString()}, " for c in carry)
-    counts = stored(texts.select("text").mapInArrow(_count_units(joins), "unit string, n long").groupBy("unit").agg(F.sum("n").alias("n")), "units")
-    # spread by unit, which the grouping of edges can use
-    top = fold_units(frequent(counts, head).select("unit").repartition("unit"), pieces, vocabulary, fold).toArrow()
-    table = spark.sparkContext.broadcast(Head.of(top.column("unit").to_pylist(), top.column("ids").to_pylist()))
-    rare = texts.select("rk", "text").mapInArrow(_rare_units(joins, table), "rk long, unit string").repartition("rk")
+    counts = stored(texts.select("text").mapInArrow(tidy(_count_units(joins)), "unit string, n long").groupBy("unit").agg(F.sum("n").alias("n")), "units")
+    # spread by unit, which the grouping of edges can use; small parts, as a unit has some twenty edges
+    top = fold_units(frequent(counts, head).select("unit").repartition(max(8, head >> 14), "unit"), pieces, vocabulary, fold).toArrow()
+    table = spark.sparkContext.broadcast(Head.of(top.column("unit").combine_chunks(), top.column("ids").combine_chunks()))
+    del top
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rare = texts.select("rk", "text").mapInArrow(tidy(_rare_units(joins, table)), "rk long, unit string").repartition(parts, "rk")
     folded = fold_units(rare, pieces, vocabulary, fold, ["rk", "unit"]).groupBy("rk").agg(F.collect_list(F.struct("unit", "ids")).alias("rare"))
-    packed = texts.mapInArrow(_compress(["doc_id", *carry, "rk"]), carried + "rk long, packed binary")
     scores = dict(zip(vocabulary.pieces, vocabulary.scores, strict=True))
     order = {s: k for k, s in enumerate(sorted(set(vocabulary.scores), reverse=True))}
     rank = {p: order[s] for p, s in scores.items() if p}
     ids = {p: i for i, p in enumerate(vocabulary.pieces) if p}
-    return packed.join(folded, "rk", "left").mapInArrow(
-        _encode(joins, table, rank, ids, vocabulary.byte_ids, ["doc_id", *carry]), carried + "text string, ids array<int>")
+    return packed(texts, "text").join(folded, "rk", "left").mapInArrow(
+        tidy(_encode(joins, table, rank, ids, vocabulary.byte_ids, ["doc_id", *carry])), carried + "text string, ids array<int>")
 
 
 def _decode(pieces: list[bytes], carried: list[str]) -> Callable:
@@ -398,7 +413,7 @@ def decode(tokens: DataFrame, vocabulary: Vocabulary | None = None) -> DataFrame
     vocabulary = vocabulary or Vocabulary.load()
     carried = [c for c in tokens.columns if c != "decoded"]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in tokens.select(*carried).schema) + ", decoded string"
-    return tokens.select(*carried).mapInArrow(_decode(vocabulary.piece_bytes(), carried), schema)
+    return tokens.select(*carried).mapInArrow(tidy(_decode(vocabulary.piece_bytes(), carried)), schema)
 
 
 def tokenised(docs: DataFrame, carry: tuple[str, ...] = ("lang", "source"), **options) -> DataFrame:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brickfolio.llm.bytewords import SpanHasher, Words, mix, powers, word_slices
+from brickfolio.llm.bytewords import SpanHasher, Words, mix, powers, tidy, word_slices
 from brickfolio.llm.packing import packed, unpacked
 from brickfolio.llm.tables import LAST_ID, bounded, row_key, stored
 
@@ -157,7 +157,7 @@ def remove_repeated_lines(docs: DataFrame, columns: list[str], id_col: str = "do
     rows = bounded(docs).select(*columns, row_key(id_col, text_col).alias("rk"), F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("__id"),
                        F.col(text_col).cast("string").alias("__text"))
     texts = rows.select("rk", F.col("__id").alias("id"), F.col("__text").alias("text"))
-    lines = stored(texts.mapInArrow(_lines(min_words), "rk long, id long, no int, line long, halves array<long>"), "lines")
+    lines = stored(texts.mapInArrow(tidy(_lines(min_words)), "rk long, id long, no int, line long, halves array<long>"), "lines")
     classes = stored(lines.groupBy("line").agg(F.min(F.struct("id", "rk", "no")).alias("place"), F.any_value("halves").alias("halves")), "classes")
     halves = classes.select("line", F.explode(F.array_distinct("halves")).alias("half"))
     met = halves.groupBy("half").agg(F.min("line").alias("a"), F.max("line").alias("b")).where("a != b").select("half")
@@ -165,22 +165,21 @@ def remove_repeated_lines(docs: DataFrame, columns: list[str], id_col: str = "do
               .groupBy("place.rk").agg(F.collect_set("place.no").alias("nos")))
     # rows equal in id and text have one key, and need to emit only once
     near = stored(packed(texts, "text").join(wanted, "rk").mapInArrow(
-        _neighbourhood(min_words), "line long, id long, rk long, no int, gone array<long>, placed array<long>, body binary").dropDuplicates(["line"]), "near")
+        tidy(_neighbourhood(min_words)), "line long, id long, rk long, no int, gone array<long>, placed array<long>, body binary").dropDuplicates(["line"]), "near")
     bodies = near.select("line", "body")
     late = (earlier_partners(near).join(bodies, "line").join(bodies.select(F.col("line").alias("other_line"), F.col("body").alias("other")), "other_line")
-            .select("line", "body", "other").mapInArrow(_verified, "line long").withColumn("late", F.lit(True)))
+            .select("line", "body", "other").mapInArrow(tidy(_verified), "line long").withColumn("late", F.lit(True)))
     gone = (lines.join(classes.select("line", "place").join(late, "line", "left"), "line")
             .where(F.coalesce("late", F.lit(False)) | (F.struct("id", "rk", "no") != F.col("place")))
             .groupBy("rk").agg(F.collect_set("no").alias("gone")))
     types = {f.name: f.dataType.simpleString() for f in rows.schema}
     schema = ", ".join(f"`{x}` {types[x]}" for x in columns) + ", new_text string, n_lines long, n_removed long"
-    return packed(rows.drop("__id"), "__text").join(gone, "rk", "left").mapInArrow(_cut(columns), schema)
+    return packed(rows.drop("__id"), "__text").join(gone, "rk", "left").mapInArrow(tidy(_cut(columns)), schema)
 
 
 def keep_first_lines(docs: DataFrame, **options) -> DataFrame:
     """The columns of documents, with shortened texts; a document that has lost all its words goes."""
-    columns = ["doc_id", "text", "lang", "source", "n_chars"]
-    cut = remove_repeated_lines(docs, columns, **options)
+    cut = remove_repeated_lines(docs, ["doc_id", "lang", "source", "n_chars"], **options)
     return (cut.where(~((F.col("n_removed") > 0) & ~F.col("new_text").rlike(r"[^\x20\x09-\x0D]")))
             .select("doc_id", F.col("new_text").alias("text"), "lang", "source",
                     F.when(F.col("n_removed") > 0, F.length("new_text").cast("long")).otherwise(F.col("n_chars")).alias("n_chars")))

@@ -8,6 +8,8 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 
+from brickfolio.llm.bytewords import tidy
+
 
 def packed(rows: DataFrame, text_col: str) -> DataFrame:
     """The same rows with the text column replaced by ``packed``, its compressed bytes."""
@@ -19,7 +21,7 @@ def packed(rows: DataFrame, text_col: str) -> DataFrame:
             bodies = [None if t is None else pack.compress(t) for t in batch.column(text_col).cast(pa.binary()).to_pylist()]
             yield pa.record_batch([*(batch.column(c) for c in kept), pa.array(bodies, pa.binary())], [*kept, "packed"])
 
-    return rows.mapInArrow(run, ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in kept) + ", packed binary")
+    return rows.mapInArrow(tidy(run), ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in kept) + ", packed binary")
 
 
 def unpacked(batch: pa.RecordBatch) -> pa.Array:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brickfolio.llm.bytewords import Words, mix, word_slices
+from brickfolio.llm.bytewords import Words, mix, tidy, word_slices
 from brickfolio.llm.tables import bounded, stored
 
 WINDOW = 8
@@ -119,7 +119,7 @@ def measured(docs: DataFrame, columns: list[str], stratum_col: str, text_col: st
     carried = [*columns, "__stratum"]
     types = {f.name: f.dataType.simpleString() for f in rows.schema}
     schema = ", ".join([f"`{x}` {types[x]}" for x in carried] + [f"__{x} long" for x in COUNTS] + ["__failed boolean"] + [f"__{x} int" for x in RULES])
-    return rows.mapInArrow(_measure(carried), schema)
+    return rows.mapInArrow(tidy(_measure(carried)), schema)
 
 
 def log_binomial_cdf(k: int, n: int, p: float) -> float:

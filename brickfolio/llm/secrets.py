@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from brickfolio.llm.bytewords import tidy
 from brickfolio.llm.tables import bounded, stored
 
 # The base patterns with the length that a match needs; of ``assign`` the value's.
@@ -242,10 +243,10 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", per_cl
          steps: int = 500) -> DataFrame:
     """doc_id, n_assign, n_access, n_hex, base_sha256, spans (kind:start:end, comma-joined) of each document."""
     rows = bounded(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    found = stored(rows.mapInArrow(_scan, f"doc_id long, found {_FOUND}"), "findings")
+    found = stored(rows.mapInArrow(tidy(_scan), f"doc_id long, found {_FOUND}"), "findings")
     every = (found.select(F.explode("found").alias("f")).select("f.kind", "f.window").distinct().withColumn("code", F.xxhash64("window")))
     sample = [r for k in range(-1, len(KINDS))
               for r in every.where(F.col("kind") == k).orderBy("code", "window").limit(per_class).select("kind", "window", "code").collect()]
     sample.sort(key=lambda r: (r.code, r.window))
     scanner = fit([r.window for r in sample], [r.kind for r in sample], recall, false_share, steps)
-    return found.mapInArrow(_report(scanner), "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string")
+    return found.mapInArrow(tidy(_report(scanner)), "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string")

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brickfolio.llm.bytewords import ranges, text_slices
+from brickfolio.llm.bytewords import ranges, text_slices, tidy
 from brickfolio.llm.components import components
 from brickfolio.llm.tables import LAST_ID, bounded, id_or_last, row_key, stored
 
@@ -63,7 +63,7 @@ def _fingerprints(shingle: int):
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
     """doc_id, rk (the row's key), print (the 64 bits as a signed long)."""
     rows = bounded(docs).select(F.col(id_col).cast("long").alias("doc_id"), row_key(id_col, text_col).alias("rk"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(_fingerprints(shingle), "doc_id long, rk long, print long")
+    return rows.mapInArrow(tidy(_fingerprints(shingle)), "doc_id long, rk long, print long")
 
 
 def _keys(print_: Column, blocks: int, radius: int) -> Column:
@@ -217,7 +217,7 @@ def print_links(prints: DataFrame, radius: int = 3, blocks: int = 6, chunk: int
     dealt = (filed.join(shared, "key", "left_semi").join(large, "key", "left").select("key", F.explode(pairs).alias("p"), "print")
              .select("key", F.col("p.chunk").cast("long").alias("chunk"), F.col("p.side").cast("long").alias("side"), "print"))
     return (dealt.repartition("key", "chunk").sortWithinPartitions("key", "chunk")
-            .mapInArrow(_links(radius), "a long, b long").distinct())
+            .mapInArrow(tidy(_links(radius)), "a long, b long").distinct())
 
 
 def _joined(docs: DataFrame, id_col: str, text_col: str, shingle: int, radius: int, blocks: int, chunk: int) -> tuple[DataFrame, DataFrame]:

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brickfolio.llm.bytewords import text_slices
+from brickfolio.llm.bytewords import text_slices, tidy
 from brickfolio.llm.tables import bounded, row_key, stored
 
 FEATURES = 1024
@@ -95,7 +95,7 @@ def fit(rows: DataFrame, marks: DataFrame, sample: int = 4000) -> Classifier | N
     """rows: doc_id, rk, text. Trains on at most ``sample`` labelled documents."""
     chosen = stored(marks.withColumn("code", F.xxhash64("doc_id", F.lit(5))).orderBy("code", "doc_id").limit(sample).select("doc_id", "good"), "sample")
     found = (rows.select("doc_id", "rk", "text").where(F.col("text").isNotNull()).join(F.broadcast(chosen), "doc_id")
-             .select("rk", "good", "text").mapInArrow(_sampled, "rk long, good boolean, x array<float>").toArrow())
+             .select("rk", "good", "text").mapInArrow(tidy(_sampled), "rk long, good boolean, x array<float>").toArrow())
     good = found.column("good").to_numpy().astype(float) if found.num_rows else np.zeros(0)
     if not 0 < good.sum() < len(good):
         return None
@@ -145,7 +145,7 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         F.col(id_col).cast("long").alias("doc_id"), row_key(id_col, text_col).alias("rk"), host.cast("string").alias("host"), path.cast("string").alias("path"),
         F.col(text_col).cast("string").alias("text"))
     marks = stored(label_marks(labels), "marks")
-    narrow = rows.mapInArrow(_read(fit(rows, marks, sample)), "doc_id long, rk long, host string, path string, evidence double")
+    narrow = rows.mapInArrow(tidy(_read(fit(rows, marks, sample))), "doc_id long, rk long, host string, path string, evidence double")
     judged = stored(narrow.join(marks, "doc_id", "left"), "evidence")
     # repeated rows are one document
     table, rate, of_hosts, of_paths = sites(judged.where(F.col("good").isNotNull()).select("doc_id", "rk", "host", "path", "good").distinct())

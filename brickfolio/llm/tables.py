@@ -25,7 +25,7 @@ def row_key(id_col: str, text_col: str) -> Column:
     return F.xxhash64(F.col(id_col).isNull(), F.col(id_col).cast("long"), F.col(text_col).isNull(), F.col(text_col))
 
 
-def bounded(docs: DataFrame, rows: int = 1000) -> DataFrame:
+def bounded(docs: DataFrame, rows: int = 500) -> DataFrame:
     """Texts go to Python workers in batches of so many rows at most, so that a worker holds a few megabytes at a time."""
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(docs.sparkSession.conf.get(name)) <= rows:

@@ -59,7 +59,7 @@ def test_viterbi_as_brute_force(spark):
     got = {r.unit: list(r.ids) for r in fold_units(frame, vocabulary.table(spark), vocabulary, "viterbi").collect()}
     worth = lambda ids: sum(vocabulary.scores[i] if i < 1000 else -1e4 for i in ids)
     spelt = lambda ids: "".join(vocabulary.pieces[i] if i < 1000 else chr(i - 1000) for i in ids)
-    assert set(got) == set(units)
+    assert set(got) == {u for u in units if any(p in u for p in pieces)}
     for u, ids in got.items():
         assert spelt(ids) == u and abs(worth(ids) - best(u)[0]) < 1e-6
 

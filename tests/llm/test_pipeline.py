@@ -9,7 +9,8 @@ def stages(spark):
     docs, out = spark.read.parquet(f"{SF}/documents.parquet"), []
     for _, stage in corpus_pipeline.STAGES:
         out.append((docs.collect(), docs.columns))
-        docs = spark.createDataFrame(stage(spark, docs, SF).collect(), stage(spark, docs, SF).schema)
+        kept = stage(spark, docs, SF)
+        docs = spark.createDataFrame(kept.collect(), kept.schema)
     return [*out, (docs.collect(), docs.columns)]
 
 
