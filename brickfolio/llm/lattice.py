@@ -355,8 +355,10 @@ def _encode(joins: np.ndarray, head, rank: dict[str, int], ids: dict[str, int],
     return run
 
 
-def frequent(counts: DataFrame, most: int) -> DataFrame:
-    """The units of most occurrences, at most ``most``: whole steps of a logarithmic scale."""
+def frequent(counts: DataFrame, most: int, least_count: int = 3) -> DataFrame:
+    """The units of most occurrences, at most ``most``: whole steps of a logarithmic scale. A unit that occurs less than ``least_count`` times is
+    never one of them, however small the corpus: folding it ahead would spare next to nothing."""
+    counts = counts.where(F.col("n") >= least_count)
     step = F.floor(F.log2("n") * 4).cast("int")
     sizes = counts.groupBy(step.alias("step")).agg(F.count("*").alias("units")).orderBy(F.desc("step")).collect()  # under 300 rows
     total, least = 0, 1 << 30
