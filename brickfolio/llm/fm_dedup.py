@@ -3,8 +3,8 @@
 A window is ``window`` consecutive words of one document. A word goes if a window that covers it also starts earlier: in a document of
 smaller id, or earlier in its own. Windows are judged on the input, not on what is left.
 
-1. Every window is named by its least hashed ``gram`` of words. Equal windows have equal names, so only names that occur twice in the
-   corpus can hold repeats; neighbouring windows of one name form a passage.
+1. Every window is named by its least hashed ``gram`` of words; neighbouring windows of one name form a passage. Equal windows have equal
+   names, so only names of two passages in the corpus, or of a passage that holds two equal windows itself, can hold repeats.
 2. Passages of such names go to shards by name. A name that occurs very often (``hot``) is split further by the windows themselves,
    and equal passages are merged before the shuffle, so no shard holds what a third of all documents share more than once per task.
 3. Each shard builds a compressed FM-index of its passages: Burrows-Wheeler transform in a wavelet matrix of packed bit planes. All
@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brickfolio.llm.bytewords import Words, find_words, mix, ranges, tidy, word_slices
+from brickfolio.llm.bytewords import SpanHasher, Words, find_words, mix, ranges, tidy, word_slices
 from brickfolio.llm.tables import bounded, id_or_last, row_key
 
 PIECE = 64          # most windows of one passage; longer ones are cut, overlapping
@@ -72,19 +72,31 @@ def _sequence_hash(h: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.n
     return out
 
 
+def repeat_within(words: Words, window: int, at: np.ndarray, run: np.ndarray) -> np.ndarray:
+    """Whether each passage holds two equal windows: a text of short period has one name all along."""
+    single, which = ranges(at, run), np.repeat(np.arange(len(at)), run)
+    span = SpanHasher(words.hashes)(single, single + window)
+    order = np.lexsort((span, which))
+    span, which = span[order], which[order]
+    out = np.zeros(len(at), dtype=bool)
+    out[which[1:][(span[1:] == span[:-1]) & (which[1:] == which[:-1])]] = True
+    return out
+
+
 def _names(window: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys = batch.column(0).to_numpy()
             for low, _, words in word_slices(batch.column(1)):
-                name, at, _ = passages(words, window, gram)
+                name, at, run_ = passages(words, window, gram)
+                times = 1 + repeat_within(words, window, at, run_).astype(np.int32)
                 key = keys[low + words.text[at]] if len(at) else np.zeros(0, np.int64)
                 order = np.lexsort((name, key))
-                name, key = name[order].view(np.int64), key[order]
+                name, key, times = name[order].view(np.int64), key[order], times[order]
                 new = np.ones(len(name), dtype=bool)
                 new[1:] = (name[1:] != name[:-1]) | (key[1:] != key[:-1])
-                # twice in one row counts as a repeat by itself
-                count = np.diff(np.append(np.flatnonzero(new), len(name))).astype(np.int32)
+                # twice in one row, or within one passage, counts as a repeat by itself
+                count = np.add.reduceat(times, np.flatnonzero(new), dtype=np.int32) if len(name) else times
                 yield pa.record_batch([pa.array(key[new]), pa.array(name[new]), pa.array(count)], ["rk", "name", "n"])
     return run
 

@@ -68,3 +68,15 @@ def test_index_finds_what_a_scan_finds():
     at = [i for f, n in zip(first, length, strict=True) for i in range(f, f + n - 4)]
     for i, w in zip(at, windows, strict=True):
         assert high[i] - low[i] == windows.count(w)
+
+
+def test_repeats_inside_one_passage(spark):
+    rows = []
+    for period in range(1, 15):
+        for size in range(25, 81, 5):
+            i = len(rows)  # words that no other text has
+            rows.append((i, " ".join(f"t{i}w{k % period}" for k in range(size))))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = remove_repeats(docs).select("doc_id", "n_words", "n_removed", "kept_sha256").collect()
+    assert sum(r.n_removed > 0 for r in got) > 100
+    assert sorted(map(tuple, got)) == brute(rows, 20)
