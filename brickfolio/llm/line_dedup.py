@@ -1,10 +1,11 @@
-"""Line dedup: a line goes if an earlier line is equal to it or at most one word edit away.
+"""Line dedup: a line goes if an earlier line is equal to it or, from ``EDIT_WORDS`` words on, at most one word edit away.
 
 Lines are parts of a text between newlines, compared as word sequences; an edit inserts, deletes or replaces one word. Earlier means a
-smaller doc_id, or the same document and a line before. Lines under ``min_words`` words always stay. Lines are judged on the input.
+smaller doc_id, or the same document and a line before. Lines without a word always stay. Lines are judged on the input.
 
 1. Equal lines form a class, led by its earliest line.
-2. Two lines one edit apart share their first or last half, so only classes that share a half with another are looked at further.
+2. Two lines one edit apart share their first or last half, so only classes of long lines that share a half with another are looked at
+   further.
 3. Deletion neighbourhood: each such line emits the hashes of all its one-word deletions. Equal deletions at one place are lines with one
    word replaced; a deletion equal to a whole line is an inserted word. Joined by hash, each line keeps its earliest partner as witness
    (a minimum for each hash, so a large family makes no pairs), and the edit distance to the witness is verified on the words.
@@ -27,6 +28,8 @@ from brickfolio.llm.bytewords import SpanHasher, Words, mix, powers, tidy, word_
 from brickfolio.llm.packing import packed, unpacked
 from brickfolio.llm.tables import LAST_ID, bounded, row_key, stored
 
+EDIT_WORDS = 8  # shorter lines go as equal ones only: one edit is too much of them
+
 
 def find_lines(words: Words, min_words: int) -> tuple[np.ndarray, ...]:
     """(text, line number in it, first word, end word) of the lines of enough words."""
@@ -76,16 +79,17 @@ def _lists(values: np.ndarray, lengths: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)), _signed(values))
 
 
-def _lines(min_words: int):
+def _lines(equal_from: int, edit_from: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for low, high, words in word_slices(batch.column("text")):
-                text, number, begin, end = find_lines(words, min_words)
+                text, number, begin, end = find_lines(words, equal_from)
                 spans, own = SpanHasher(words.hashes), batch.slice(low, high - low)
-                keys = half_keys(spans, begin, end)
+                long = end - begin >= edit_from
+                keys = half_keys(spans, begin[long], end[long])
                 yield pa.record_batch(
                     [own.column("rk").take(pa.array(text)), own.column("id").take(pa.array(text)), pa.array(number.astype(np.int32)),
-                     _signed(spans(begin, end)), _lists(keys.ravel(), np.full(len(begin), keys.shape[1]))],
+                     _signed(spans(begin, end)), _lists(keys.ravel(), long * keys.shape[1])],
                     ["rk", "id", "no", "line", "halves"])
     return run
 
@@ -152,12 +156,14 @@ def earlier_partners(near: DataFrame) -> DataFrame:
     return by_replacing.union(by_inserting).groupBy("line").agg(F.min("least").alias("least")).select("line", F.col("least.line").alias("other_line"))
 
 
-def remove_repeated_lines(docs: DataFrame, columns: list[str], id_col: str = "doc_id", text_col: str = "text", min_words: int = 8) -> DataFrame:
-    """``columns`` of the documents, new_text without the removed lines, n_lines, n_removed."""
+def remove_repeated_lines(docs: DataFrame, columns: list[str], id_col: str = "doc_id", text_col: str = "text", min_words: int | None = None) -> DataFrame:
+    """``columns`` of the documents, new_text without the removed lines, n_lines, n_removed. ``min_words`` holds both rules, of equal lines
+    and of lines one edit apart, to lines of so many words; without it the first is for all lines, the second for ``EDIT_WORDS`` and more."""
+    equal_from, edit_from = (1, EDIT_WORDS) if min_words is None else (min_words, min_words)
     rows = bounded(docs).select(*columns, row_key(id_col, text_col).alias("rk"), F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("__id"),
                        F.col(text_col).cast("string").alias("__text"))
     texts = rows.select("rk", F.col("__id").alias("id"), F.col("__text").alias("text"))
-    lines = stored(texts.mapInArrow(tidy(_lines(min_words)), "rk long, id long, no int, line long, halves array<long>"), "lines")
+    lines = stored(texts.mapInArrow(tidy(_lines(equal_from, edit_from)), "rk long, id long, no int, line long, halves array<long>"), "lines")
     classes = stored(lines.groupBy("line").agg(F.min(F.struct("id", "rk", "no")).alias("place"), F.any_value("halves").alias("halves")), "classes")
     halves = classes.select("line", F.explode(F.array_distinct("halves")).alias("half"))
     met = halves.groupBy("half").agg(F.min("line").alias("a"), F.max("line").alias("b")).where("a != b").select("half")
@@ -165,7 +171,7 @@ def remove_repeated_lines(docs: DataFrame, columns: list[str], id_col: str = "do
               .groupBy("place.rk").agg(F.collect_set("place.no").alias("nos")))
     # rows equal in id and text have one key, and need to emit only once
     near = stored(packed(texts, "text").join(wanted, "rk").mapInArrow(
-        tidy(_neighbourhood(min_words)), "line long, id long, rk long, no int, gone array<long>, placed array<long>, body binary").dropDuplicates(["line"]), "near")
+        tidy(_neighbourhood(edit_from)), "line long, id long, rk long, no int, gone array<long>, placed array<long>, body binary").dropDuplicates(["line"]), "near")
     bodies = near.select("line", "body")
     late = (earlier_partners(near).join(bodies, "line").join(bodies.select(F.col("line").alias("other_line"), F.col("body").alias("other")), "other_line")
             .select("line", "body", "other").mapInArrow(tidy(_verified), "line long").withColumn("late", F.lit(True)))

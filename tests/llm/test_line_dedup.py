@@ -74,3 +74,12 @@ def test_documents_come_back(spark):
     assert keep_first_lines(docs).count() == 4
     assert keep_first_lines(docs.limit(0)).columns == docs.columns[:5]
     assert keep_first_lines(docs.limit(0)).count() == 0
+
+
+def test_short_lines_go_as_equal_ones(spark):
+    long = "one two three four five six seven eight"
+    rows = [(1, f"Read more\n\n{long}\nRead  more "), (2, f"Read less\nRead more\n{long} nine\nown"), (3, "own\n \none two three four five six 7"), (4, "one two three four five six seven")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    want = {1: f"Read more\n\n{long}", 2: "Read less\nown", 3: " \none two three four five six 7", 4: rows[3][1]}
+    got = {r.doc_id: r.kept_sha256 for r in line_report(docs).collect()}
+    assert got == {k: hashlib.sha256(v.encode()).hexdigest() for k, v in want.items()}
