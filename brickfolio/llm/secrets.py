@@ -1,12 +1,14 @@
 """Secret scan: fixed patterns, and a character convolutional network over every further candidate.
 
-Base findings are those of the fixed patterns and always stand. A candidate is a run of 16 or more key characters with a digit in it that no
-base finding overlaps. The network sees the characters before, in and after a candidate. It is trained in numpy on labelled findings: a
+Base findings are those of the fixed patterns and always stand. A candidate is a run of 16 or more key characters that no base finding
+overlaps. The network sees the characters before, in and after a candidate. It is trained in numpy on labelled findings: a
 bounded sample (``per_class`` of each class, those of least hash) of base findings as positives and of the other candidates as negatives.
 Half of the positives are shown without their surroundings, and surroundings of negatives are mixed, so that the value counts and not the
-keyword alone. A third of the findings is held out: on it the outputs are calibrated (Platt), and each kind's cutoff is the greatest that keeps
-the recall of held-out findings at ``recall``; the cutoff for candidates is the greatest of these and of the one that lets at most
-``false_share`` of held-out negatives pass. Without positives or negatives there is no network and base findings only.
+keyword alone. A third of the findings, by hash, is held out: on a bounded sample of it the outputs are calibrated (Platt), and all of it
+is scored and counted by kind and score step. A kind's cutoff is the greatest step that keeps the recall of its held-out findings at
+``recall``; the cutoff for candidates is the least of these, so that recall binds for each kind. Candidates have no say in it: they are
+not labelled, and a secret of an unlisted form among them must not shut out its likes. Without positives or negatives there is no network and
+base findings only.
 
 Texts are scanned once; findings and candidates with their surroundings are kept in a narrow table, from which the sample is taken and
 which is scored. Offsets are code points, ends exclusive.
@@ -18,6 +20,7 @@ result; other columns are not read.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from hashlib import sha256
@@ -41,6 +44,7 @@ _KEYWORD = re.compile(r"password|passwd|secret|token|api_?key", re.IGNORECASE |
 
 BEFORE, INSIDE, AFTER = 24, 40, 8
 WIDTH = BEFORE + INSIDE + AFTER
+STEPS = 1 << 14  # of scores from 0 to 1
 _CODES = 100  # 0: nothing, 1: any other character, 2 and up: printable ASCII
 
 
@@ -58,7 +62,7 @@ def base_findings(text: str) -> list[tuple[int, int, int]]:
 def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
     out = []
     for m in CANDIDATE.finditer(text):
-        if any(c.isdigit() for c in m[0]) and not any(s < m.end() and m.start() < e for _, s, e in base):
+        if not any(s < m.end() and m.start() < e for _, s, e in base):
             out.append((m.start(), m.end()))
     return out
 
@@ -175,24 +179,36 @@ class Scanner:
         return self.cutoffs[MODEL_KIND]
 
 
-def fit(windows: list[str], kinds: list[int], recall: float = 0.98, false_share: float = 0.001, steps: int = 500) -> Scanner | None:
-    """windows of labelled findings; kind -1 is a negative. Every third is held out."""
+def cutoffs_of(counts: dict[tuple[int, int], int], recall: float) -> dict[str, float]:
+    """counts: findings by (kind, score step). The greatest step that keeps each kind's recall, and the least of them for candidates."""
+    cutoffs = {}
+    for k, name in enumerate(KINDS):
+        steps = sorted(((step, n) for (kind, step), n in counts.items() if kind == k), reverse=True)
+        need, passed = recall * sum(n for _, n in steps), 0
+        for step, n in steps:
+            passed += n
+            if passed >= need:
+                cutoffs[name] = step / STEPS
+                break
+    return {**cutoffs, MODEL_KIND: min(cutoffs.values())}
+
+
+def score_steps(network: Network, windows: list[str]) -> np.ndarray:
+    return np.floor(network.probability(encode(windows)) * STEPS).astype(np.int64) if windows else np.zeros(0, np.int64)
+
+
+def fit(windows: list[str], kinds: list[int], recall: float = 0.98, steps: int = 500, held: np.ndarray | None = None) -> Scanner | None:
+    """windows of labelled findings; kind -1 is a negative. Every third is held out if ``held`` does not say which."""
     target = (np.array(kinds) >= 0).astype(float)
-    held = np.arange(len(kinds)) % 3 == 2
+    held = np.arange(len(kinds)) % 3 == 2 if held is None else held
     if any(not (target[part] == value).any() for part in (held, ~held) for value in (0, 1)):
         return None
-    codes, kind = encode(windows), np.array(kinds)
+    codes = encode(windows)
     network = train(codes[~held], target[~held], steps)
     calibrate(network, codes[held], target[held])
-    p, cutoffs = network.probability(codes[held]), {}
-    for k, name in enumerate(KINDS):
-        own = np.sort(p[kind[held] == k])[::-1]
-        if len(own):
-            cutoffs[name] = float(own[int(np.ceil(recall * len(own))) - 1])
-    wrong = np.sort(p[kind[held] < 0])[::-1]
-    allowed = int(false_share * len(wrong))
-    cutoffs[MODEL_KIND] = max(*cutoffs.values(), float(np.nextafter(wrong[allowed], 2)))
-    return Scanner(network, cutoffs)
+    at = np.flatnonzero(held).tolist()
+    seen = zip([kinds[k] for k in at], score_steps(network, [windows[k] for k in at]).tolist(), strict=True)
+    return Scanner(network, cutoffs_of(Counter(seen), recall))
 
 
 _FOUND = "array<struct<kind:int,start:int,end:int,window:string>>"
@@ -209,6 +225,13 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([batch.column("doc_id"), pa.array(rows, kind)], ["doc_id", "found"])
 
 
+def _scored(network: Network):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.record_batch([batch.column("kind"), pa.array(score_steps(network, batch.column("window").to_pylist()))], ["kind", "step"])
+    return run
+
+
 def _spans(found: list[tuple[str, int, int]]) -> str:
     return ",".join(f"{k}:{s}:{e}" for k, s, e in found)
 
@@ -239,14 +262,20 @@ def _report(scanner: Scanner | None):
     return run
 
 
-def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", per_class: int = 2000, recall: float = 0.98, false_share: float = 0.001,
-         steps: int = 500) -> DataFrame:
+def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", per_class: int = 2000, recall: float = 0.98, steps: int = 500) -> DataFrame:
     """doc_id, n_assign, n_access, n_hex, base_sha256, spans (kind:start:end, comma-joined) of each document."""
     rows = bounded(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     found = stored(rows.mapInArrow(tidy(_scan), f"doc_id long, found {_FOUND}"), "findings")
-    every = (found.select(F.explode("found").alias("f")).select("f.kind", "f.window").distinct().withColumn("code", F.xxhash64("window")))
-    sample = [r for k in range(-1, len(KINDS))
-              for r in every.where(F.col("kind") == k).orderBy("code", "window").limit(per_class).select("kind", "window", "code").collect()]
+    single = found.select(F.explode("found").alias("f")).select("f.kind", "f.window").withColumn("code", F.xxhash64("window"))
+    single = single.withColumn("held", F.expr("pmod(code, 3) = 2"))
+    every = single.distinct()
+    sample = [r for k in range(-1, len(KINDS)) for held, most in ((False, per_class - per_class // 3), (True, per_class // 3))
+              for r in every.where((F.col("kind") == k) & (F.col("held") == held)).orderBy("code", "window").limit(most).collect()]
     sample.sort(key=lambda r: (r.code, r.window))
-    scanner = fit([r.window for r in sample], [r.kind for r in sample], recall, false_share, steps)
+    scanner = fit([r.window for r in sample], [r.kind for r in sample], recall, steps, np.array([r.held for r in sample], dtype=bool))
+    if scanner:
+        # the fit is of a sample, the cutoffs are of all held-out findings
+        counts = (single.where("held and kind >= 0").select("kind", "window").mapInArrow(tidy(_scored(scanner.network)), "kind int, step long")
+                  .groupBy("kind", "step").count().collect())
+        scanner.cutoffs = cutoffs_of({(r.kind, r.step): r["count"] for r in counts}, recall)
     return found.mapInArrow(tidy(_report(scanner)), "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string")

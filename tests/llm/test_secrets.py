@@ -103,3 +103,25 @@ def test_gradients_as_differences():
             down = network.gradients(codes, target)[0]
             network.weights[name] = kept
             assert abs((up - down) / 2e-6 - g[at]) < 1e-4 * max(1, abs(g[at]))
+
+
+def test_an_unlabelled_secret_does_not_lift_the_cutoff():
+    windows, kinds = [], []
+    for _, text in documents(400, seed=6):
+        base = base_findings(text)
+        windows += [surroundings(text, s, e) for _, s, e in base] + [surroundings(text, s, e) for s, e in candidates(text, base)]
+        kinds += [k for k, _, _ in base] + [-1] * (len(windows) - len(kinds) - len(base))
+    alike = [w for w, k in zip(windows, kinds, strict=True) if k == 2]
+    windows, kinds = windows[:len(kinds) // 3 * 3], kinds[:len(kinds) // 3 * 3]
+    for w in alike[:20]:  # the last of three is held out
+        windows += [windows[0], windows[1], w]
+        kinds += [kinds[0], kinds[1], -1]
+    scanner = fit(windows, kinds)
+    held = np.arange(len(kinds)) % 3 == 2
+    p = scanner.network.probability(encode(windows))
+    for k in range(3):
+        assert (p[held & (np.array(kinds) == k)] >= scanner.cutoff).mean() >= 0.98
+
+
+def test_candidates_need_no_digit():
+    assert candidates("the AbCdEfGhIjKlMnOpQrSt key", []) == [(4, 24)]
