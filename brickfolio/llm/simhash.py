@@ -203,6 +203,8 @@ def print_links(prints: DataFrame, radius: int = 3, blocks: int = 6, chunk: int
     """prints: distinct values in a long column. Returns links a, b that connect all prints within the radius of each other."""
     if not radius < blocks:
         raise ValueError("there must be more blocks than bits of the radius")
+    if radius > 7:
+        raise ValueError("the counters of differing bits hold no radius over 7")
     name = prints.columns[0]
     filed = prints.select(F.col(name).alias("print"), F.explode(_keys(F.col(name), blocks, radius)).alias("key"))
     counts = filed.groupBy("key").agg(F.count("*").alias("n"))

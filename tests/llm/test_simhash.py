@@ -88,3 +88,10 @@ def test_documents(spark):
     got = near_duplicates(docs).collect()
     assert sorted((str(g.doc_id), g.fingerprint, g.component_id if g.component_id is not None else 1 << 62) for g in got) == want
     assert near_duplicates(docs.limit(0)).count() == 0
+
+
+def test_a_radius_beyond_the_counters_is_refused(spark):
+    prints = spark.createDataFrame([(0,), ((1 << 8) - 1,)], "print long")
+    with pytest.raises(ValueError, match="radius"):
+        print_links(prints, radius=8, blocks=12)
+    assert print_links(prints.selectExpr("print & 127 AS print").distinct(), radius=7, blocks=12).count() == 1
