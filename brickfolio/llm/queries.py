@@ -7,7 +7,7 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from brickfolio.llm import chat, decontaminate, fm_dedup, language, lattice, line_dedup, quality_rules, secrets, simhash, site_quality
+from brickfolio.llm import chat, decontaminate, fm_dedup, importance, language, lattice, line_dedup, quality_rules, secrets, simhash, site_quality
 from brickfolio.llm.tables import read
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -53,6 +53,10 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return site_quality.score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Build] = {f.__name__: f for f in (
     op1_substring_dedup,
     op2_quality_classifier,
@@ -64,6 +68,7 @@ QUERIES: dict[str, Build] = {f.__name__: f for f in (
     op8_quality_rules,
     op9_line_dedup,
     op10_sentencepiece,
+    op13_importance_resampling,
 )}
 QUERIES["pipeline"] = corpus_pipeline.run
 ORACLES: dict[str, str] = {"op4_chat_formatting": chat.REPORT_SQL, "op6_benchmark_decontamination": decontaminate.REPORT_SQL}
