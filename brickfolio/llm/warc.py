@@ -9,7 +9,7 @@ compressed whole.
 Reading. A task streams the records of an archive by their Content-Length, so any payload is safe, and hashes each response's payload again.
 
 Index. 1. The entries of an archive are sorted by URL key, timestamp and id: a run, kept in chunks. 2. Chunks are cut at boundaries taken from
-at most ``sample`` first keys of chunks, and each range goes to a task, its chunks in order of their first keys. 3. The task merges k runs in a loser
+at most ``sample`` keys evenly spaced in the chunks, and each range goes to a task, its chunks in order of their first keys. 3. The task merges k runs in a loser
 tree. A chunk enters when the tree's winner reaches its first key, so at most one chunk a run is open, whatever the range holds. 4. A range's place
 in the whole is the sum of the sizes before it. Boundaries hold the whole key, so a URL with many captures is cut as well; the sample only evens
 the ranges out.
@@ -367,8 +367,11 @@ def merged_index(runs: DataFrame, sample: int = 10_000) -> DataFrame:
     """All entries of sorted runs with position (1, 2, ...) in order of URL key, timestamp and id."""
     spark = runs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    firsts = runs.select("k_url", "k_at", "k_id", "run", F.col("entries")[0]["offset"].alias("offset"))
-    picked = sorted((0, *row) for row in firsts.orderBy(F.xxhash64("run", "k_id", "offset"), "run", "offset").limit(sample).collect())
+    # evenly spaced keys of every chunk, so that runs of less than a chunk tell more than where they begin
+    spaced = F.transform(F.sequence(F.lit(0), F.lit(7)), lambda k: F.get("entries", F.floor((k + 0.5) * F.size("entries") / 8).cast("int")))
+    keys = runs.select("run", F.explode(F.array_distinct(spaced)).alias("e")).select(
+        "e.url_key", "e.captured", F.coalesce("e.page_id", F.lit(LAST_ID)).alias("id"), "run", "e.offset")
+    picked = sorted((0, *row) for row in keys.orderBy(F.xxhash64("run", "offset"), "run", "offset").limit(sample).collect())
     bounds = [picked[k * len(picked) // parts] for k in range(1, parts)] if picked else []
     dealt = (bounded(runs).mapInArrow(tidy(_cut(bounds)), "range int, " + _RUN_SCHEMA.replace("no long, ", ""))
              .repartitionById(parts, F.col("range")).sortWithinPartitions("range", "k_url", "k_at", "k_id", "run", F.col("entries")[0]["offset"]))
