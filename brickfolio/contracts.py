@@ -12,6 +12,7 @@ PRICE_QUALITY_VERSION = "v2"
 FEATURE_VERSION = "v7"
 ELIGIBILITY_VERSION = "v3"
 TRAINING_VERSION = "v4"
+WALK_FORWARD_VERSION = "v1"
 SILVER_SOURCE = "SILVER_FII_DAILY_PRICES"
 REGISTRY_SOURCE = "FII_PRICE_DISCONTINUITIES_V5_REGISTRY_V2"
 ADJUSTED_SOURCE = "FII_CORPORATE_ACTION_ADJUSTED_PRICES_V3"

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from brickfolio import contracts as C
 from brickfolio.functions import columns as X
 from brickfolio.functions.quantiles import exact_quantiles
+from brickfolio.operators.checks import rule_counts
 from brickfolio.session import write_and_reread
 
 TARGET = f"target_return_next_{C.TARGET_HORIZON}d"
@@ -44,7 +45,7 @@ def fold_table(universe: DataFrame, folds: int = C.FOLDS, sessions: int = C.FOLD
         F.count(F.lit(1)).cast("int").alias("validation_sessions"))
 
 
-def _starts(table: DataFrame) -> Column:
+def fold_starts(table: DataFrame) -> Column:
     """The fold table as one array value, used inside expressions instead of a join."""
     return table.agg(F.array_sort(F.collect_list(F.struct("fold_id", "validation_start")))).scalar()
 
@@ -61,7 +62,7 @@ def train_folds(target_date: str, starts: str = "fold_starts") -> Column:
 def fold_members(universe: DataFrame, folds: int = C.FOLDS, sessions: int = C.FOLD_SESSIONS) -> DataFrame:
     """Rows of every fold with role train or validation."""
     dates = fold_dates(universe, folds, sessions)
-    starts = _starts(fold_table(universe, folds, sessions))
+    starts = fold_starts(fold_table(universe, folds, sessions))
     train = universe.withColumn("fold_starts", starts).select(
         F.explode(train_folds("target_date")).alias("fold_id"), F.lit("train").alias("role"),
         "ticker", "feature_date", "target_date")
@@ -78,7 +79,7 @@ def walk_forward_folds(universe: DataFrame, folds: int = C.FOLDS, sessions: int
     the tickers by their earliest target; only those small tables are expanded.
     """
     dates = fold_dates(universe, folds, sessions)
-    starts = _starts(fold_table(universe, folds, sessions))
+    starts = fold_starts(fold_table(universe, folds, sessions))
     per_day = universe.groupBy("feature_date", "target_date").agg(F.count(F.lit(1)).alias("n"))
     train = per_day.withColumn("fold_starts", starts).withColumn(
         "fold_id", F.explode(train_folds("target_date"))).groupBy("fold_id").agg(
@@ -108,7 +109,7 @@ def walk_forward_folds(universe: DataFrame, folds: int = C.FOLDS, sessions: int
 def target_profile(universe: DataFrame, folds: int = C.FOLDS, sessions: int = C.FOLD_SESSIONS) -> DataFrame:
     """Mean, median and share of positive targets on both sides of each fold."""
     dates = fold_dates(universe, folds, sessions)
-    starts = _starts(fold_table(universe, folds, sessions))
+    starts = fold_starts(fold_table(universe, folds, sessions))
     y = F.col(TARGET)
     # equal targets of one day are one row before the folds are expanded
     counted = universe.groupBy("target_date", y.alias("y")).agg(F.count(F.lit(1)).alias("n"))
@@ -127,7 +128,7 @@ def target_profile(universe: DataFrame, folds: int = C.FOLDS, sessions: int = C.
 def majority_baseline(universe: DataFrame, folds: int = C.FOLDS, sessions: int = C.FOLD_SESSIONS) -> DataFrame:
     """Direction learned on the training side (positive only above one half) and its accuracy."""
     dates = fold_dates(universe, folds, sessions)
-    starts = _starts(fold_table(universe, folds, sessions))
+    starts = fold_starts(fold_table(universe, folds, sessions))
     up = (F.col(TARGET) > 0).cast("bigint")
     train = universe.groupBy("target_date").agg(
         F.count(F.lit(1)).alias("n"), F.sum(up).alias("up"), F.sum(TARGET).alias("y")
@@ -236,6 +237,68 @@ def fit_predict(train: DataFrame, held: DataFrame, name: str, features: list[str
     return model, out.withColumn("model", F.lit(name))
 
 
+def absent_inputs(universe: DataFrame, features: list[str], folds: int = C.FOLDS, sessions: int = C.FOLD_SESSIONS) -> DataFrame:
+    """Absent values among the inputs of both sides of each fold; counted per date before the folds are expanded."""
+    absent = sum((F.when(F.col(c).isNull() | F.isnan(c), 1).otherwise(0) for c in features), F.lit(0)).cast("bigint")
+    starts = fold_starts(fold_table(universe, folds, sessions))
+    train = universe.groupBy("target_date").agg(F.sum(absent).alias("n")).withColumn("fold_starts", starts).withColumn(
+        "fold_id", F.explode(train_folds("target_date"))).groupBy("fold_id").agg(F.sum("n").alias("train_nan_count"))
+    held = universe.join(F.broadcast(fold_dates(universe, folds, sessions)), "feature_date").groupBy("fold_id").agg(
+        F.sum(absent).alias("validation_nan_count"))
+    return held.join(train, "fold_id", "left")
+
+
+def fold_records(universe: DataFrame, metrics: DataFrame, folds: int = C.FOLDS, sessions: int = C.FOLD_SESSIONS) -> DataFrame:
+    """The full record of each fold and model: dates, sizes, absent values, targets of both sides, majority and metrics."""
+    sides = target_profile(universe, folds, sessions).groupBy("fold_id").agg(*[
+        F.max(F.when(F.col("role") == r, F.col(c))).alias(f"{r}_{n}") for r in ("train", "validation")
+        for c, n in (("target_mean", "target_mean"), ("target_median", "target_median"), ("positive_share", "positive_share"))])
+    shape = walk_forward_folds(universe, folds, sessions).drop("purged", "enough_history")
+    # a row per fold on each side
+    return metrics.join(shape, "fold_id").join(sides, "fold_id").join(absent_inputs(universe, C.feature_names(), folds, sessions), "fold_id").withColumns({
+        "walk_forward_version": F.lit(C.WALK_FORWARD_VERSION), "validation_feature_sessions": F.lit(sessions)}).select(*FOLD_RECORD)
+
+
+# fixed values: the columns of a fold record
+FOLD_RECORD = [
+    "walk_forward_version", "fold_id", "model", "validation_feature_sessions", "train_start", "train_end", "train_target_max",
+    "validation_start", "validation_end", "validation_target_min", "validation_target_max", "train_rows", "validation_rows",
+    "train_tickers", "validation_tickers", "train_feature_dates", "validation_feature_dates", "train_nan_count", "validation_nan_count",
+    "train_target_mean", "train_target_median", "validation_target_mean", "validation_target_median", "train_positive_share",
+    "validation_positive_share", "majority_direction", "majority_directional_accuracy", "mae", "rmse", "r2", "directional_accuracy",
+    "directional_lift", "prediction_mean", "prediction_median", "prediction_min", "prediction_max",
+]
+
+
+def summary_record(metrics: DataFrame) -> DataFrame:
+    """The summary of a walk-forward run as one row that is written as JSON: versions, folds, use of the test split, and a struct per model."""
+    per_model = model_summary(metrics)
+    struct = F.struct(*[F.col(c) for c in per_model.columns if c != "model"])
+    # a row per model
+    models = per_model.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.col("model"), struct.alias("value"))))).alias("models"))
+    return models.withColumns({
+        "walk_forward_version": F.lit(C.WALK_FORWARD_VERSION), "fold_count": metrics.agg(F.countDistinct("fold_id")).scalar(),
+        "test_policy": F.lit(C.HOLDOUT_POLICY), "test_features_used": F.lit(False), "test_targets_used": F.lit(False),
+        "test_predictions_generated": F.lit(False)})
+
+
+def summary_contract(records: DataFrame, summary: DataFrame) -> DataFrame:
+    """Fold records against the summary of the same run: versions, folds, models, and that the test split was left alone."""
+    s = summary.select(
+        F.col("walk_forward_version").alias("s_version"), F.col("fold_count").alias("s_folds"), F.array_sort(F.map_keys("models")).alias("s_models"),
+        (F.coalesce(F.col("test_policy") != C.HOLDOUT_POLICY, F.lit(True)) | F.col("test_features_used") | F.col("test_targets_used")
+         | F.col("test_predictions_generated")).alias("s_test"))
+    m = records.agg(F.array_sort(F.collect_set("walk_forward_version")).alias("versions"), F.countDistinct("fold_id").alias("folds"),
+                    F.array_sort(F.collect_set("model")).alias("models"), F.count(F.lit(1)).alias("n"))
+    rules = {
+        "VERSION_MATCHES": ~F.col("versions").eqNullSafe(F.array("s_version")), "FOLD_COUNT_MATCHES": ~F.col("folds").eqNullSafe(F.col("s_folds")),
+        "MODELS_MATCH": ~F.col("models").eqNullSafe(F.col("s_models")), "RECORD_PER_FOLD_AND_MODEL": F.col("n") != F.col("folds") * F.size("models"),
+        "TEST_UNTOUCHED": F.col("s_test"),
+    }
+    # one row on either side
+    return rule_counts(m.crossJoin(F.broadcast(s)), rules)
+
+
 def walk_forward_predictions(universe: DataFrame, models: list[str], folds: int = C.FOLDS,
                              sessions: int = C.FOLD_SESSIONS, parallelism: int = 4, **options) -> DataFrame:
     """Fit every model on every fold and union the validation predictions.

@@ -365,3 +365,45 @@ def price_sql(panel: str, final: str, last: str) -> str:
 
 def table_sql(panel: str, part: str, columns: list[str], where: str = "") -> str:
     return price_sql(panel, f"SELECT {select_list(columns)} FROM {part} {where}", part)
+
+
+# --- least squares ---------------------------------------------------------------
+# the spreads are differences of two other inputs; leaving them out changes no prediction
+_INPUTS = [c for c in C.feature_names() if not c.startswith("return_spread_")]
+
+
+def linear_sql(panel: str, last: str, source: str, final: str) -> str:
+    """``final`` over ``linear`` (grp, ticker, feature_date, y, mean, prediction): normal equations solved by elimination.
+
+    ``source`` gives grp, role, ticker, feature_date, target and inputs.
+    """
+    p, x = len(_INPUTS), _INPUTS
+    keys = "grp, role, ticker, feature_date, y"
+    body = {
+        "lin_source": source,
+        "lin_medians": f"SELECT grp, {', '.join(f'median({c}) AS {c}' for c in x)} FROM lin_source WHERE role = 'train' GROUP BY grp",
+        "lin_rows": f"SELECT {', '.join(f's.{k}' for k in keys.split(', '))}, {', '.join(f'coalesce(s.{c}, m.{c}) AS {c}' for c in x)} "
+                    "FROM lin_source s JOIN lin_medians m USING (grp)",
+        "lin_stats": f"SELECT grp, avg(y) AS mean, {', '.join(f'avg({c}) AS m{k}, stddev_pop({c}) AS s{k}' for k, c in enumerate(x))} "
+                     "FROM lin_rows WHERE role = 'train' GROUP BY grp",
+        "lin_scaled": f"SELECT {keys}, mean, y - mean AS z{p}, "
+                      + ", ".join(f"({c} - m{k}) / CASE WHEN s{k} = 0 THEN 1 ELSE s{k} END AS z{k}" for k, c in enumerate(x))
+                      + " FROM lin_rows JOIN lin_stats USING (grp)",
+        "lin_gram": "SELECT grp, [" + ", ".join("[" + ", ".join(f"sum(z{i} * z{j})" for j in range(p + 1)) + "]" for i in range(p))
+                    + "] AS m FROM lin_scaled WHERE role = 'train' GROUP BY grp",
+        "lin_solved": f"""SELECT grp, 1 AS k, m FROM lin_gram UNION ALL
+          SELECT grp, k + 1, [CASE WHEN i = k THEN [v / m[k][k] FOR v IN m[k]] ELSE [m[i][j] - m[i][k] * m[k][j] / m[k][k] FOR j IN range(1, {p + 2})] END
+                              FOR i IN range(1, {p + 1})] FROM lin_solved WHERE k <= {p}""",
+        "linear": f"SELECT {keys}, mean, mean + {' + '.join(f'm[{k + 1}][{p + 1}] * z{k}' for k in range(p))} AS prediction "
+                  f"FROM lin_scaled JOIN (SELECT grp, m FROM lin_solved WHERE k = {p + 1}) USING (grp) WHERE role = 'validation'",
+    }
+    names = _ORDER[: _ORDER.index(last) + 1]
+    parts = {**{n: {**PARTS, "panel0": PANELS[panel]}[n] for n in names}, **body}
+    return "WITH RECURSIVE " + ",\n".join(f"{n} AS ({q})" for n, q in parts.items()) + f"\n{final}"
+
+
+BOTH_MODELS = """(SELECT grp, 'linear_regression' AS model, ticker, feature_date, y, prediction FROM linear
+                  UNION ALL SELECT grp, 'dummy_mean', ticker, feature_date, y, mean FROM linear)"""
+SCORES = """count(*) AS rows, avg(abs(y - prediction)) AS mae, sqrt(avg((y - prediction) * (y - prediction))) AS rmse,
+  1 - sum((y - prediction) * (y - prediction)) / (var_pop(y) * count(*)) AS r2, avg(((y > 0) = (prediction > 0))::INT) AS directional_accuracy,
+  avg(prediction) AS prediction_mean, min(prediction) AS prediction_min, max(prediction) AS prediction_max, median(prediction) AS prediction_median"""

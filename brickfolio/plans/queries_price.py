@@ -457,20 +457,6 @@ _SUMMARY = "SELECT model, count(*) AS folds, " + ", ".join(
 _SUMMARY_COLUMNS = (["model", "folds"] + [f"{m}_{k}" for m in _M5 for k in ("mean", "median")] + ["mae_std", "rmse_std"]
                     + [f"{s}_{m}_folds" for m in ("directional_lift", "r2") for s in ("positive", "non_positive")])
 final("model_summary", "weekly", lambda p: WF.model_summary(_dummy_metrics(p)), _SUMMARY_COLUMNS, "metrics", _SUMMARY)
-# best validation session per criterion stands in for the best model
-final("best_models", "weekly", lambda p: WF.best_models(WF.model_summary(
-    _dummy_metrics(p).withColumn("model", F.concat(F.lit("fold_"), F.lpad(F.col("fold_id").cast("string"), 2, "0"))))),
-      "criterion model score", "metrics", " UNION ALL ".join(
-          f"SELECT '{name}' AS criterion, arg_min(model, ({'' if way == 'min' else '-'}{col[:-5]}, model)) AS model, "
-          f"{way}({col[:-5]}) AS score FROM (SELECT * REPLACE ('fold_' || lpad(CAST(fold_id AS VARCHAR), 2, '0') AS model) "
-          "FROM metrics)" for name, (col, way) in WF.BEST.items()))
-
-
-def _fitted(p, models, **options):
-    return WF.fold_metrics(WF.walk_forward_predictions(p.universe, models, **options), WF.majority_baseline(p.universe))
-
-
-register("walk_forward_fit", lambda s, d: _fitted(Pipeline.weekly(s, d), ["linear_regression"]), _METRICS)
 _BASE = "model rows mae rmse r2 directional_accuracy directional_lift prediction_mean prediction_min prediction_max"
 final("split_majority", "weekly", lambda p: WF.split_majority(p.split),
       "direction positive_rate_train non_positive_rate_train train_accuracy validation_accuracy train_target_mean",
@@ -497,37 +483,6 @@ final("baseline_metrics", "weekly", lambda p: WF.baseline_metrics(
            AS directional_lift,
          avg(prediction) AS prediction_mean, min(prediction) AS prediction_min, max(prediction) AS prediction_max
   FROM (SELECT *, target_return_next_5d AS y FROM ({_PRED})) GROUP BY model""")
-register("baseline_fit", lambda s, d: (lambda p: WF.baseline_metrics(
-    WF.baseline_predictions(p.split, ["linear_regression"]).unionByName(WF.mean_baseline_predictions(p.split)),
-    WF.split_majority(p.split)))(Pipeline.weekly(s, d)), _BASE)
-# the mean of the ticker's own 5-row return serves as a prediction that varies by row
-_NAIVE = """SELECT 'momentum' AS model, ticker, feature_date, target_return_next_5d, return_5d AS prediction
-            FROM split WHERE split_name = 'validation'"""
-
-
-def _naive(p):
-    return p.split.filter("split_name = 'validation'").select(
-        F.lit("momentum").alias("model"), "ticker", "feature_date", "target_return_next_5d",
-        F.col("return_5d").alias("prediction"))
-
-
-final("prediction_profile", "weekly", lambda p: WF.prediction_profile(_naive(p)),
-      ["model", "rows", "min", "max"] + [f"abs_ge_{int(t * 100)}_pct" for t in WF.PREDICTION_THRESHOLDS]
-      + ["p01", "p05", "median", "p95", "p99"], "split",
-      "SELECT model, count(*) AS rows, min(prediction) AS min, max(prediction) AS max, " + ", ".join(
-          f"count(*) FILTER (abs(prediction) >= {t}) AS abs_ge_{int(t * 100)}_pct" for t in WF.PREDICTION_THRESHOLDS)
-      + ", quantile_cont(prediction, 0.01) AS p01, quantile_cont(prediction, 0.05) AS p05, median(prediction) AS median, "
-        f"quantile_cont(prediction, 0.95) AS p95, quantile_cont(prediction, 0.99) AS p99 FROM ({_NAIVE}) GROUP BY model")
-final("top_errors", "weekly", lambda p: WF.top_errors(_naive(p)),
-      "model ticker feature_date target_return_next_5d prediction absolute_error", "split", f"""
-  SELECT *, abs(prediction - target_return_next_5d) AS absolute_error FROM ({_NAIVE})
-  ORDER BY absolute_error DESC, ticker, feature_date LIMIT 20""")
-# the operator's own default is Spark's deepest tree; a query of the catalog must end within minutes
-_QUERY_DEPTH = 8
-register("forest_fit", lambda s, d: (lambda p: WF.baseline_metrics(
-    WF.baseline_predictions(p.split, ["random_forest"], depth=_QUERY_DEPTH), WF.split_majority(p.split)))(Pipeline.weekly(s, d)), _BASE)
-register("feature_importance", lambda s, d: WF.feature_importance(Pipeline.weekly(s, d).split, depth=_QUERY_DEPTH), "feature_name importance")
-
 # --- diagnostics ------------------------------------------------------------------------
 _STATS = "split_name feature_name rows nulls non_finite finite_rows mean std min max p01 p05 p25 median p75 p95 p99"
 _STATS_SQL = " UNION ALL ".join(
