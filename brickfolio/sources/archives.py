@@ -110,31 +110,40 @@ def decoded(content: str | Column) -> Column:
     return F.regexp_replace(F.when(F.is_valid_utf8(plain), plain).otherwise(western), "^\uFEFF", "")
 
 
+def text_records(text: str | Column, sep: str = ";") -> Column:
+    """Records of delimited text: lines, but for line ends inside a quoted field. A quote counts where it opens a field."""
+    field = f'(?:"(?:[^"]++|"")*+"[^{sep}\\r\\n]*+|[^{sep}"\\r\\n][^{sep}\\r\\n]*+|)'
+    found = F.regexp_extract_all(X.col(text), F.lit(f"({field}(?:{sep}{field})*+)(?:\\r?\\n|\\r|\\z)"), F.lit(1))
+    # without a quote there is nothing to look for
+    return F.when(F.contains(X.col(text), F.lit('"')), found).otherwise(F.split(X.col(text), "\r\n|\n|\r"))
+
+
+def record_fields(record: str | Column, sep: str = ";") -> Column:
+    """The fields of a record, unquoted; an empty field is null."""
+    r = X.col(record)
+    quoted = F.regexp_extract_all(F.concat(F.lit(sep), r), F.lit(f'{sep}("(?:[^"]++|"")*+"[^{sep}]*+|[^{sep}]*+)'), F.lit(1))
+    plain = F.transform(quoted, lambda f: F.when(
+        F.startswith(f, F.lit('"')), F.replace(F.regexp_replace(f, r'(?s)^"((?:[^"]++|"")*+)"(.*)$', "$1$2"), F.lit('""'), F.lit('"'))).otherwise(f))
+    values = F.when(F.contains(r, F.lit('"')), plain).otherwise(F.split(r, sep))
+    return F.transform(values, lambda f: F.nullif(f, F.lit("")))
+
+
 def register_rows(files: DataFrame, columns: list[str], sep: str = ";") -> DataFrame:
     """The named columns of delimited text files with a header line, all as text.
 
-    ``files`` holds ``path`` and ``content``. Each line becomes a row and is
-    split by position; its values are then picked by the names of its own
-    file's header. A file without one of the columns is an error.
+    ``files`` holds ``path`` and ``content``. A record ends with its line, but not inside quotes; its values are picked
+    by the names of its own file's header, so files may order their columns differently and be of any width. A file
+    without one of the columns is an error. The places of the columns are found once per file, before its records
+    become rows.
     """
-    lines = files.select("path", F.posexplode(F.split(decoded("content"), "\r?\n")).alias("line_number", "line"))
-    return parse_register_lines(lines, columns, sep)
-
-
-def parse_register_lines(lines: DataFrame, columns: list[str], sep: str = ";", most: int = 200) -> DataFrame:
-    """``lines`` holds path, line_number (0 for the header) and line; ``most`` bounds the columns of a file."""
-    # a table of up to ``most`` text columns, as an array
-    schema = ", ".join(f"c{k} string" for k in range(most))
-    values = F.from_csv("line", F.lit(schema), {"sep": sep})
-    split = lines.filter((F.col("line_number") == 0) | (F.trim("line") != "")).select(
-        "path", "line_number", F.array(*[values[f"c{k}"] for k in range(most)]).alias("v"))
-    # one header per file
-    header = split.filter("line_number = 0").select("path", F.transform("v", lambda x: F.trim(x)).alias("h"))
-    rows = split.filter("line_number > 0").join(header, "path")
-    where = lambda c: F.nullif(F.array_position("h", F.lit(c)), F.lit(0)).cast("int")
-    missing = lambda c: F.raise_error(F.concat(F.lit(f"no column {c} in "), F.col("path"))).cast("string")
-    return rows.select("path", *[
-        F.when(where(c).isNull(), missing(c)).otherwise(F.get("v", where(c) - 1)).alias(c) for c in columns])
+    records = files.select("path", text_records(decoded("content"), sep).alias("records"))
+    header = F.transform(record_fields(F.get("records", F.lit(0)), sep), lambda h: F.trim(h))
+    missing = lambda c: F.raise_error(F.concat(F.lit(f"no column {c} in "), F.col("path"))).cast("int")
+    at = lambda c: F.coalesce(F.nullif(F.array_position("header", F.lit(c)), F.lit(0)).cast("int"), missing(c))
+    placed = records.withColumn("header", header).select("path", F.array(*[at(c) for c in columns]).alias("at"), "records")
+    rows = placed.select("path", "at", F.posexplode("records").alias("line_number", "record")).filter((F.col("line_number") > 0) & (F.trim("record") != ""))
+    values = rows.select("path", "at", record_fields("record", sep).alias("v"))
+    return values.select("path", *[F.get("v", F.get("at", F.lit(k)) - 1).alias(c) for k, c in enumerate(columns)])
 
 
 def latest_snapshot(rows: DataFrame, day: str = "report_date", member: str = "source_xml") -> DataFrame:

@@ -122,6 +122,23 @@ def test_registers_follow_their_own_header(spark):
         AR.register_rows(files, ["A", "C"]).collect()
 
 
+def test_register_records_end_outside_quotes(spark):
+    import io as _io
+
+    import pandas as pd
+
+    text = ('A;B;C\r\n1;"line\nbreak; ""quoted""";x\r\n2;in"side;""\n\n"3";"a\r\nb"tail;"last"\n4;;"unclosed? no"\n5;p;q')
+    wide = ";".join(f"H{k}" for k in range(300)) + "\n" + ";".join(str(k) for k in range(300)) + "\n"
+    files = spark.createDataFrame([("q", text.encode()), ("n", b"C;A\n1;2\r\n3;4")], "path string, content binary")
+    want = pd.read_csv(_io.StringIO(text, newline=""), sep=";", dtype=str, lineterminator=None)
+    rows = [tuple(None if v != v else v for v in r) for r in want.itertuples(index=False)]
+    got = AR.register_rows(files.filter("path = 'q'"), ["A", "B", "C"]).collect()
+    assert sorted((r.A, r.B, r.C) for r in got) == sorted(rows)
+    assert [(r.A, r.C) for r in AR.register_rows(files.filter("path = 'n'"), ["A", "C"]).collect()] == [("2", "1"), ("4", "3")]
+    (row,) = AR.register_rows(spark.createDataFrame([("w", wide.encode())], "path string, content binary"), ["H299", "H0"]).collect()
+    assert (row.H299, row.H0) == ("299", "0")
+
+
 def test_xml_records_in_their_declared_encoding_and_without_content(spark):
     def pack(text, encoding):
         out = io.BytesIO()
