@@ -36,7 +36,7 @@ def trade_records(panel: DataFrame) -> DataFrame:
     return panel.select("trade_date", F.col("codigo_cvm").cast("bigint").alias("number"), record.alias("record"))
 
 
-def instrument_records(instruments: DataFrame) -> DataFrame:
+def instrument_records(instruments: DataFrame, *kept: str) -> DataFrame:
     block = F.concat(*[
         _tag(R.INSTRUMENT_FIELDS[c], F.col(c)) for c in ("security_category", "ticker", "isin", "corporate_name")])
     under = F.when(F.col("underlying_instrument_id").isNotNull(),
@@ -50,7 +50,7 @@ def instrument_records(instruments: DataFrame) -> DataFrame:
         _wrap("FinInstrmId", _ident(F.col("instrument_id"))),
         _wrap("FinInstrmAttrCmon", _tag("Asst", F.col("asset")), _tag("Mkt", F.col("b3_market")), _tag("Sgmt", F.col("b3_segment"))),
         _wrap("InstrmInf", inner))
-    return instruments.select(record.alias("record"))
+    return instruments.select(*kept, record.alias("record"))
 
 
 def _zip(batches):
@@ -64,17 +64,34 @@ def _zip(batches):
     for batch in batches:
         paths, blobs = [], []
         for row in batch.to_pylist():
-            inner = pack({row["member"]: row["body"]})
+            inner = pack({m["member"]: m["body"] for m in row["members"]})
             paths.append(row["path"])
-            blobs.append(pack({"SPRE.zip": inner}) if row["nested"] else inner)
+            blobs.append(pack({row["inner"]: inner}) if row["inner"] else inner)
         yield pa.RecordBatch.from_pydict({"path": paths, "content": blobs}, schema=pa.schema(
             [("path", pa.string()), ("content", pa.binary())]))
 
 
-def _zipped(files: DataFrame, nested: bool) -> DataFrame:
-    """``path``, ``member`` and ``body`` to archives; each file is bounded by ``PER_FILE`` records."""
-    return files.select("path", "member", "body", F.lit(nested).alias("nested")).mapInArrow(
-        _zip, "path string, content binary")
+def _zipped(files: DataFrame, inner: str | Column | None = None) -> DataFrame:
+    """``path`` with ``member`` and ``body``, or ``members`` of both, to archives, inside another one if ``inner`` names it; each
+    file is bounded by ``PER_FILE`` records."""
+    members = F.col("members") if "members" in files.columns else F.array(F.struct("member", "body"))
+    name = F.lit(inner).cast("string") if inner is None or isinstance(inner, str) else inner
+    return files.select("path", members.alias("members"), name.alias("inner")).mapInArrow(_zip, "path string, content binary")
+
+
+def write_files(archives: DataFrame, folder: str, mode: str = "append") -> str:
+    """Archives as files, each in a folder of its name; extra columns become folders above it.
+
+    Spark has no writer of plain bytes: its text writer leaves them as they are and adds a line end, which an archive may have behind it.
+    """
+    above = [c for c in archives.columns if c not in ("path", "content")]
+    (archives.select(F.col("content").cast("string").alias("value"), *above, F.col("path").alias("file"))
+     .write.mode(mode).option("maxRecordsPerFile", 1).partitionBy(*above, "file").text(folder))
+    return folder
+
+
+def _document(text: Column) -> Column:
+    return F.encode(F.concat(F.lit('<?xml version="1.0"?><Document>'), text, F.lit("</Document>")), "UTF-8")
 
 
 def trade_archives(panel: DataFrame) -> DataFrame:
@@ -85,7 +102,7 @@ def trade_archives(panel: DataFrame) -> DataFrame:
     name = F.concat(F.date_format("trade_date", "yyyyMMdd"), F.lit("_"), F.col("part").cast("string"))
     return _zipped(files.select(
         F.concat(F.lit("b3_download_"), name, F.lit(".zip")).alias("path"), F.concat(F.lit("PR_"), name, F.lit(".xml")).alias("member"),
-        F.encode(F.concat(F.lit('<?xml version="1.0"?><Document>'), "text", F.lit("</Document>")), "UTF-8").alias("body")), True)
+        _document(F.col("text")).alias("body")), "SPRE.zip")
 
 
 REGISTER_TEXT = ("CNPJ_Classe", "Codigo_CVM", "Tipo_Classe", "Denominacao_Social", "Situacao", "Data_Registro", "Patrimonio_Liquido")
@@ -106,7 +123,7 @@ def register_files(spark, sf_dir, western: bool = True) -> DataFrame:
 
 
 def register_archives(spark, sf_dir, western: bool = True) -> DataFrame:
-    return _zipped(register_files(spark, sf_dir, western).withColumn("member", F.lit("registro_classe.csv")), False)
+    return _zipped(register_files(spark, sf_dir, western).withColumn("member", F.lit("registro_classe.csv")))
 
 
 def fund_pages(spark, sf_dir) -> DataFrame:
@@ -121,3 +138,47 @@ def fund_pages(spark, sf_dir) -> DataFrame:
         "page_id", F.concat("html", F.when(k % 13 == 5, F.lit("")).otherwise(meta)).alias("html"))
 
 
+def spoiled_trade_archives(panel: DataFrame) -> DataFrame:
+    """Archives of price reports, some of them bad: by the day of the month one has another day in its name, one a record of another
+    day, one is cut off, and one holds no report."""
+    part, k = F.floor(F.col("number") / PER_FILE), F.day("trade_date") % 10
+    files = trade_records(panel).groupBy("trade_date", part.alias("part")).agg(
+        F.array_join(F.array_sort(F.collect_list("record")), "").alias("text"), F.max("record").alias("last"))
+    stray = F.regexp_replace("last", "<Dt>[^<]*</Dt>", "<Dt>1999-12-31</Dt>")
+    text = F.when(k == 5, F.concat("text", stray)).when(k == 9, F.lit("")).otherwise(F.col("text"))
+    named = F.when(k == 3, F.date_add("trade_date", 1)).otherwise(F.col("trade_date"))
+    name = F.concat(F.date_format(named, "yyyyMMdd"), F.lit("_"), F.col("part").cast("string"), F.when(k == 3, "w").otherwise(""))
+    packed = _zipped(files.select(
+        F.concat(F.lit("b3_download_"), name, F.when(k == 7, "_cut").otherwise(""), F.lit(".zip")).alias("path"),
+        F.concat(F.lit("PR_"), name, F.lit(".xml")).alias("member"), _document(text).alias("body")), "SPRE.zip")
+    return packed.withColumn("content", F.when(F.contains("path", F.lit("_cut")), F.substring("content", 1, 60)).otherwise(F.col("content")))
+
+
+def instrument_archives(instruments: DataFrame, version: str, odd: bool | None = None, asset: str | None = None) -> DataFrame:
+    """One archive per month of report dates, of odd or even months or all. The first XML file inside is an older one; the last has some records twice."""
+    month = F.last_day("report_date")
+    rows = instruments if odd is None else instruments.filter(F.month("report_date") % 2 == int(odd))
+    if asset:
+        rows = rows.withColumn("asset", F.lit(asset))
+    record = instrument_records(rows.withColumn("__day", month), "__day")
+    again = F.flatten(F.transform(F.array_sort(F.collect_list("record")), lambda r: F.when(F.contains(r, F.lit("EqtyInf")), F.array(r, r)).otherwise(F.array(r))))
+    files = record.groupBy(F.col("__day").alias("day")).agg(F.array_join(again, "").alias("text"), F.min("record").alias("older"))
+    compact = F.date_format("day", "yyMMdd")
+    members = F.array(F.struct(F.lit("BVBG.028.02_1.xml").alias("member"), _document(F.col("older")).alias("body")),
+                      F.struct(F.lit("BVBG.028.02_2.xml").alias("member"), _document(F.col("text")).alias("body")))
+    return _zipped(files.select(F.concat(F.lit("b3_instruments_"), compact, F.lit(f"_{version}.zip")).alias("path"), members.alias("members"), compact.alias("compact")),
+                   F.concat(F.lit("IN"), F.col("compact"), F.lit(".zip")))
+
+
+def register_snapshots(register: DataFrame, version: str, odd: bool | None = None, situation: str | None = None) -> DataFrame:
+    """One register per day of registration (year, month, day, path, content). Some names hold a line end, inside quotes."""
+    rows = register if odd is None else register.filter(F.day("Data_Registro") % 2 == int(odd))
+    if situation:
+        rows = rows.withColumn("Situacao", F.lit(situation))
+    line = F.concat_ws(";", *[F.concat(F.lit('"'), F.col(c), F.lit('"')) if c == "Denominacao_Social" else F.col(c) for c in REGISTER_TEXT])
+    files = rows.groupBy("Data_Registro").agg(F.array_join(F.array_sort(F.collect_list(line)), "\r\n").alias("lines"))
+    body = F.encode(F.concat(F.lit(";".join(REGISTER_TEXT) + "\r\n"), F.col("lines"), F.lit("\r\n")), "ISO-8859-1")
+    named = files.select(F.concat(F.lit(f"registro_fundo_classe_{version}_"), F.col("Data_Registro"), F.lit(".zip")).alias("path"),
+                         F.lit("registro_classe.csv").alias("member"), body.alias("body"))
+    day = F.to_date(F.regexp_extract("path", "([0-9-]{10})[.]zip", 1))
+    return _zipped(named).withColumns({"year": F.year(day), "month": F.month(day), "day": F.day(day)})

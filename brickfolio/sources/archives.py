@@ -10,7 +10,8 @@ from __future__ import annotations
 import io
 import re
 import zipfile
-from collections.abc import Iterator
+import zlib
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -37,20 +38,46 @@ def _members(blob: bytes, prefix: str = "") -> Iterator[tuple[str, zipfile.ZipEx
                     yield prefix + name, handle
 
 
-def members(archives: DataFrame) -> DataFrame:
-    """(path, member, content) for the files of each archive."""
+def _guarded(path: str, content: pa.Scalar, errors: bool, read: Callable[[bytes], Iterator[pa.RecordBatch]]) -> Iterator[pa.RecordBatch]:
+    """The batches of one archive; with ``errors`` one that cannot be read ends in a row that says why."""
+    try:
+        for out in read(content.as_py()):
+            yield out.append_column("error", pa.nulls(out.num_rows, pa.string())) if errors else out
+    except (zipfile.BadZipFile, zlib.error, EOFError, UnicodeDecodeError, LookupError, NotImplementedError) as problem:
+        if not errors:
+            raise
+        yield pa.RecordBatch.from_pydict({"path": [path], "error": [f"{type(problem).__name__}: {problem}"]},
+                                         schema=pa.schema([("path", pa.string()), ("error", pa.string())]))
+
+
+def _per_archive(archives: DataFrame, schema: str, errors: bool, read: Callable[[str, bytes], Iterator[pa.RecordBatch]]) -> DataFrame:
+    """Applies ``read`` to each archive of (path, content). ``schema`` begins with path; a broken archive has nulls beside its error."""
+    wanted = schema + (", error string" if errors else "")
+    names = [part.split()[0] for part in wanted.split(", ")]
+    kinds = {"string": pa.string(), "binary": pa.binary()}
+    types = [kinds[part.split()[1]] for part in wanted.split(", ")]
+
     def run(batches):
         for batch in batches:
             for path, content in zip(batch.column("path").to_pylist(), batch.column("content")):
-                for name, handle in _members(content.as_py()):
-                    yield pa.RecordBatch.from_pydict(
-                        {"path": [path], "member": [name], "content": [handle.read()]},
-                        schema=pa.schema([("path", pa.string()), ("member", pa.string()), ("content", pa.binary())]))
-    return archives.select("path", "content").mapInArrow(run, "path string, member string, content binary")
+                for out in _guarded(path, content, errors, lambda blob, path=path: read(path, blob)):
+                    yield pa.record_batch([out.column(n) if n in out.schema.names else pa.nulls(out.num_rows, t) for n, t in zip(names, types)], names)
+
+    return archives.select("path", "content").mapInArrow(run, wanted)
+
 
+def members(archives: DataFrame, errors: bool = False) -> DataFrame:
+    """(path, member, content) for the files of each archive; ``errors`` adds a row with ``error`` for a broken archive."""
+    def read(path: str, blob: bytes) -> Iterator[pa.RecordBatch]:
+        for name, handle in _members(blob):
+            yield pa.RecordBatch.from_pydict(
+                {"path": [path], "member": [name], "content": [handle.read()]},
+                schema=pa.schema([("path", pa.string()), ("member", pa.string()), ("content", pa.binary())]))
+    return _per_archive(archives, "path string, member string, content binary", errors, read)
 
-def xml_records(archives: DataFrame, tag: str) -> DataFrame:
-    """(path, member, record): the text of each ``tag`` element of the XML members."""
+
+def xml_records(archives: DataFrame, tag: str, errors: bool = False) -> DataFrame:
+    """(path, member, record): the text of each ``tag`` element of the XML members; ``errors`` as in ``members``."""
     opening = re.compile(rb"<(?:[\w.-]+:)?" + tag.encode() + rb"[\s>/]")
     closing = re.compile(rb"</(?:[\w.-]+:)?" + tag.encode() + rb"\s*>")
     empty = re.compile(rb"<[^<>]*/>")  # an element without content, at its opening
@@ -76,24 +103,22 @@ def xml_records(archives: DataFrame, tag: str) -> DataFrame:
             if not piece:
                 return
 
-    def run(batches):
-        for batch in batches:
-            for path, content in zip(batch.column("path").to_pylist(), batch.column("content")):
-                for name, handle in _members(content.as_py()):
-                    if not name.lower().endswith(".xml"):
-                        continue
-                    rows: list[str] = []
-                    for text in elements(handle):
-                        rows.append(text)
-                        if len(rows) == _ROWS:
-                            yield pa.RecordBatch.from_pydict(
-                                {"path": [path] * len(rows), "member": [name] * len(rows), "record": rows}, schema=shape)
-                            rows = []
-                    if rows:
-                        yield pa.RecordBatch.from_pydict(
-                            {"path": [path] * len(rows), "member": [name] * len(rows), "record": rows}, schema=shape)
-
-    return archives.select("path", "content").mapInArrow(run, "path string, member string, record string")
+    def read(path: str, blob: bytes) -> Iterator[pa.RecordBatch]:
+        for name, handle in _members(blob):
+            if not name.lower().endswith(".xml"):
+                continue
+            rows: list[str] = []
+            for text in elements(handle):
+                rows.append(text)
+                if len(rows) == _ROWS:
+                    yield pa.RecordBatch.from_pydict(
+                        {"path": [path] * len(rows), "member": [name] * len(rows), "record": rows}, schema=shape)
+                    rows = []
+            if rows:
+                yield pa.RecordBatch.from_pydict(
+                    {"path": [path] * len(rows), "member": [name] * len(rows), "record": rows}, schema=shape)
+
+    return _per_archive(archives, "path string, member string, record string", errors, read)
 
 
 # the Western code page differs from latin1 in these bytes; five it leaves undefined
@@ -128,22 +153,32 @@ def record_fields(record: str | Column, sep: str = ";") -> Column:
     return F.transform(values, lambda f: F.nullif(f, F.lit("")))
 
 
-def register_rows(files: DataFrame, columns: list[str], sep: str = ";") -> DataFrame:
+def register_rows(files: DataFrame, columns: list[str], sep: str = ";", errors: bool = False) -> DataFrame:
     """The named columns of delimited text files with a header line, all as text.
 
     ``files`` holds ``path`` and ``content``. A record ends with its line, but not inside quotes; its values are picked
-    by the names of its own file's header, so files may order their columns differently and be of any width. A file
-    without one of the columns is an error. The places of the columns are found once per file, before its records
-    become rows.
+    by the names of its own file's header, so files may order their columns differently and be of any width. The places
+    of the columns are found once per file, before its records become rows. A file without one of the columns is an
+    error; with ``errors`` it is one row with ``error``, and so is a row of ``files`` that has an ``error`` already.
     """
-    records = files.select("path", text_records(decoded("content"), sep).alias("records"))
+    known = F.col("error") if "error" in files.columns else F.lit(None).cast("string")
+    records = files.select("path", known.alias("known"), F.coalesce(text_records(decoded("content"), sep), F.array(F.lit(""))).alias("records"))
     header = F.transform(record_fields(F.get("records", F.lit(0)), sep), lambda h: F.trim(h))
-    missing = lambda c: F.raise_error(F.concat(F.lit(f"no column {c} in "), F.col("path"))).cast("int")
-    at = lambda c: F.coalesce(F.nullif(F.array_position("header", F.lit(c)), F.lit(0)).cast("int"), missing(c))
-    placed = records.withColumn("header", header).select("path", F.array(*[at(c) for c in columns]).alias("at"), "records")
-    rows = placed.select("path", "at", F.posexplode("records").alias("line_number", "record")).filter((F.col("line_number") > 0) & (F.trim("record") != ""))
-    values = rows.select("path", "at", record_fields("record", sep).alias("v"))
-    return values.select("path", *[F.get("v", F.get("at", F.lit(k)) - 1).alias(c) for k, c in enumerate(columns)])
+    at = lambda c: F.nullif(F.array_position("header", F.lit(c)), F.lit(0)).cast("int")
+    placed = records.withColumn("header", header).select("path", "known", F.array(*[at(c) for c in columns]).alias("at"), "records")
+    names = F.array(*[F.lit(c) for c in columns])
+    lost = F.array_join(F.transform(F.filter(F.arrays_zip(names.alias("name"), F.col("at").alias("at")), lambda z: z["at"].isNull()), lambda z: z["name"]), ", ")
+    problem = F.coalesce("known", F.when(F.exists("at", lambda a: a.isNull()), F.concat(F.lit("no column "), lost, F.lit(" in "), F.col("path"))))
+    if not errors:
+        stop = F.raise_error(F.col("problem")).cast("array<string>")
+        rows = placed.withColumn("problem", problem).withColumn("records", F.when(F.col("problem").isNotNull(), stop).otherwise(F.col("records")))
+    else:
+        one = F.array(F.lit("header"), F.lit("problem"))
+        rows = placed.withColumn("problem", problem).withColumn("records", F.when(F.col("problem").isNotNull(), one).otherwise(F.col("records")))
+    rows = rows.select("path", "at", "problem", F.posexplode("records").alias("line_number", "record")).filter((F.col("line_number") > 0) & (F.trim("record") != ""))
+    values = rows.select("path", "at", "problem", record_fields("record", sep).alias("v"))
+    out = values.select("path", *[F.when(F.col("problem").isNull(), F.get("v", F.get("at", F.lit(k)) - 1)).alias(c) for k, c in enumerate(columns)], "problem")
+    return out.withColumnRenamed("problem", "error") if errors else out.drop("problem")
 
 
 def latest_snapshot(rows: DataFrame, day: str = "report_date", member: str = "source_xml") -> DataFrame:
