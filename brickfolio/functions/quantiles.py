@@ -2,11 +2,12 @@
 
 The built-in exact ``percentile`` keeps every distinct value of a group in one
 aggregation buffer. Here values are counted per ordered logarithmic bucket,
-which combines before the shuffle and leaves a small table. The few buckets that
-hold a wanted rank are then cut into equal parts and counted again, twice, so
-that a part is at most 2**-34 of its values wide: it holds under 200,000
-different doubles, however many rows crowd around one value. Only the values of
-the parts that hold a wanted rank are ordered.
+which combines before the shuffle and leaves a small table, which is written. The
+few buckets that hold a wanted rank are read back; where they hold ``_FEW`` values
+at most, these are ordered as they are. Larger ones are cut into equal parts and
+counted again, twice, so that a part is at most 2**-34 of its values wide: it
+holds under 200,000 different doubles, however many rows crowd around one value.
+Only the values of the parts that hold a wanted rank are ordered.
 """
 
 from __future__ import annotations
@@ -15,10 +16,13 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from brickfolio.session import write_and_reread
+
 _PER_OCTAVE = 1024
 _SHIFT = 1100 * _PER_OCTAVE  # above the bucket number of the smallest positive double
 _PARTS = 4096
 _REFINEMENTS = 2
+_FEW = 1 << 20
 
 
 def ordered_bucket(v: Column) -> Column:
@@ -50,7 +54,7 @@ def exact_quantiles(values: DataFrame, group: list[str], value: str, quantiles:
         ordered_bucket(v).alias("_k0"))
     key = [*group, "_k0"]
     in_group = Window.partitionBy(*group)
-    counted = _counted(rows, key).withColumn("_total", F.sum("_bn").over(in_group)).withColumn(
+    counted = write_and_reread(_counted(rows, key), "quantile-buckets").withColumn("_total", F.sum("_bn").over(in_group)).withColumn(
         "_before", F.sum("_bn").over(in_group.orderBy("_k0")) - F.col("_bn"))
     positions = F.array(*[
         F.struct(F.lit(name).alias("name"), ((F.col("_total") - 1) * F.lit(float(p))).alias("at"))
@@ -65,7 +69,8 @@ def exact_quantiles(values: DataFrame, group: list[str], value: str, quantiles:
     places = [side((F.col("_total") - 1) * F.lit(float(p))) for p in quantiles.values() for side in (F.floor, F.ceil)]
     hit = reduce(lambda x, y: x | y, [(r >= first) & (r < behind) for r in places])
     wanted = _holding(counted.filter(hit).withColumn("_ranks", ranks), key)
-    for level in range(1, _REFINEMENTS + 1):
+    crowded = (counted.filter(hit).agg(F.max("_bn")).first()[0] or 0) > _FEW
+    for level in range(1, _REFINEMENTS + 1 if crowded else 1):
         # ``wanted`` has at most two rows per quantile and group, so it is broadcast
         bounds = F.broadcast(wanted.select(*key, "_low", "_high"))
         width = F.col("_high") - F.col("_low")

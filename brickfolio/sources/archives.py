@@ -175,7 +175,8 @@ def register_rows(files: DataFrame, columns: list[str], sep: str = ";", errors:
     else:
         one = F.array(F.lit("header"), F.lit("problem"))
         rows = placed.withColumn("problem", problem).withColumn("records", F.when(F.col("problem").isNotNull(), one).otherwise(F.col("records")))
-    rows = rows.select("path", "at", "problem", F.posexplode("records").alias("line_number", "record")).filter((F.col("line_number") > 0) & (F.trim("record") != ""))
+    # the outer form, as the plain one would have its filter on the array computed below every projection
+    rows = rows.select("path", "at", "problem", F.posexplode_outer("records").alias("line_number", "record")).filter((F.col("line_number") > 0) & (F.trim("record") != ""))
     values = rows.select("path", "at", "problem", record_fields("record", sep).alias("v"))
     out = values.select("path", *[F.when(F.col("problem").isNull(), F.get("v", F.get("at", F.lit(k)) - 1)).alias(c) for k, c in enumerate(columns)], "problem")
     return out.withColumnRenamed("problem", "error") if errors else out.drop("problem")

@@ -116,6 +116,17 @@ def test_quantiles_of_values_crowded_around_one(spark):
     assert [got.a, got.m, got.z] == pytest.approx(np.quantile(values, [0.01, 0.5, 0.999]), rel=1e-14)
 
 
+def test_crowded_buckets_are_cut_further(spark, monkeypatch):
+    from brickfolio.functions import quantiles
+
+    rng = np.random.default_rng(4)
+    values = np.concatenate([1 + rng.uniform(-1e-6, 1e-6, 3000), rng.normal(size=100)])
+    df = spark.createDataFrame([(float(v),) for v in values], "v double")
+    monkeypatch.setattr(quantiles, "_FEW", 10)
+    (got,) = exact_quantiles(df, [], "v", {"a": 0.01, "m": 0.5, "z": 0.999}).collect()
+    assert [got.a, got.m, got.z] == pytest.approx(np.quantile(values, [0.01, 0.5, 0.999]), rel=1e-14)
+
+
 def test_split_of_too_few_dates_is_an_error(spark):
     rows = spark.createDataFrame([(day(n), day(n + 1), True) for n in range(6)], "feature_date date, target_date date, ml_eligible boolean")
     assert S.split_boundaries(rows, 2, 3).first().feature_dates == 6
