@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
@@ -38,6 +39,8 @@ MARK = "▁"
 LONG = 62
 SLICE = 1 << 18
 UNKNOWN_PENALTY = -1e4
+PART_UNITS = 20_000
+MOST_PARTS = 20_000
 
 
 @dataclass
@@ -63,6 +66,17 @@ class Vocabulary:
         rows = [(p, i, self.scores[i], rank[self.scores[i]]) for i, p in enumerate(self.pieces) if p]
         return spark.createDataFrame(rows, "piece string, id int, score double, rank int")
 
+    def late_ids(self) -> list[int]:
+        """Ids of pieces that, spelt alone, need a worse merge before a better one.
+
+        A unit without such a piece merges in order of ranks: a merge that opened a better one would open it inside the better one's
+        span, which nothing has crossed yet, so that piece alone would show the same.
+        """
+        if not hasattr(self, "_late"):
+            rank = {p: -s for p, s in zip(self.pieces, self.scores, strict=True) if p}
+            self._late = [i for i, p in enumerate(self.pieces) if len(p) > 2 and not _ascending(p, rank)]
+        return self._late
+
     def joins(self) -> np.ndarray:
         """Marks hashed pairs of characters that stand together in some piece; a clash only keeps a unit longer."""
         table = np.zeros(1 << 20, dtype=bool)
@@ -78,6 +92,19 @@ class Vocabulary:
         return out
 
 
+def _ascending(piece: str, rank: dict[str, float]) -> bool:
+    parts, last = list(piece), (-np.inf, -1)
+    while True:
+        ways = [(rank[joined], sum(map(len, parts[:k])), k) for k in range(len(parts) - 1) if (joined := parts[k] + parts[k + 1]) in rank]
+        if not ways:
+            return True
+        best = min(ways)
+        if best[:2] < last:
+            return False
+        last, k = best[:2], best[2]
+        parts[k:k + 2] = [parts[k] + parts[k + 1]]
+
+
 def _pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a * np.uint32(0x9E3779B1) ^ b * np.uint32(0x85EBCA77)) >> np.uint32(12)
 
@@ -166,32 +193,59 @@ def _byte_ids(char: Column, vocabulary: Vocabulary) -> Column:
 
 def _unpacked(edge: Column) -> Column:
     start, end = F.shiftright(edge, 30).bitwiseAND(63), F.shiftright(edge, 24).bitwiseAND(63)
-    return F.struct(start.cast("int").alias("start"), (_bit(start) + _bit(end)).alias("ends"), (_bit(end) - _bit(start + 1)).alias("inner"), edge.bitwiseAND((1 << 24) - 1).cast("int").alias("id"))
+    return F.struct((_bit(start) + _bit(end)).alias("ends"), (_bit(end) - _bit(start + 1)).alias("inner"), edge.bitwiseAND((1 << 36) - 1).alias("code"))
 
 
-def _merge(unit: Column, edges: Column, vocabulary: Vocabulary) -> Column:
-    """edges: structs of start, ends, inner, id, best rank and then leftmost first; ends and inner are bits of boundaries. The state: the boundaries left, and the
-    edges that may still be taken."""
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """Computes a value once, however often it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _joins_two(mask: Column, edge: Column) -> Column:
+    """Both ends of the edge are boundaries, and one boundary lies between them."""
+    return (mask.bitwiseAND(edge["ends"]) == edge["ends"]) & (F.bit_count(mask.bitwiseAND(edge["inner"])) == 1)
+
+
+def _merged_in_order(unit: Column, edges: Column) -> Column:
+    """The boundaries left after one pass over the edges, best first; for units whose merges come in order (``Vocabulary.late_ids``)."""
+    return F.aggregate(edges, _bit(F.length(unit) + 1) - 1, lambda mask, e: F.when(
+        _joins_two(mask, e), mask.bitwiseAND(F.bitwise_not(e["inner"]))).otherwise(mask))
+
+
+def _merged_by_search(unit: Column, edges: Column) -> Column:
+    """The boundaries left when each step looks for the best edge anew. The state: the boundaries, and the edges that may still be taken."""
     n = F.length(unit)
 
     def step(state: Column, _: Column) -> Column:
         best = F.get(F.filter(state["edges"], lambda e: F.bit_count(state["mask"].bitwiseAND(e["inner"])) == 1), F.lit(0))
-        return F.element_at(F.transform(
-            F.array(F.coalesce(state["mask"].bitwiseAND(F.bitwise_not(best["inner"])), state["mask"])), lambda mask: F.struct(mask.alias("mask"), F.filter(
-                state["edges"], lambda e: (mask.bitwiseAND(e["ends"]) == e["ends"]) & (mask.bitwiseAND(e["inner"]) != 0)).alias("edges"))), 1)
+        return _bound(F.coalesce(state["mask"].bitwiseAND(F.bitwise_not(best["inner"])), state["mask"]), lambda mask: F.struct(mask.alias("mask"), F.filter(
+            state["edges"], lambda e: (mask.bitwiseAND(e["ends"]) == e["ends"]) & (mask.bitwiseAND(e["inner"]) != 0)).alias("edges")))
 
     begin = F.struct((_bit(n + 1) - 1).alias("mask"), F.filter(edges, lambda e: e["inner"] != 0).alias("edges"))
-    mask = F.aggregate(F.sequence(F.lit(1), n), begin, step, lambda s: s["mask"])
+    return F.aggregate(F.sequence(F.lit(1), n), begin, step, lambda s: s["mask"])
+
+
+def _merge(unit: Column, edges: Column, vocabulary: Vocabulary) -> Column:
+    """edges: structs of ends and inner (bits of boundaries) and code (start, end, id), best rank and then leftmost first."""
+    n = F.length(unit)
+    late = vocabulary.late_ids()
+    mask = _merged_in_order(unit, edges)
+    if late:
+        mask = F.when(F.exists(edges, lambda e: e["code"].bitwiseAND((1 << 24) - 1).isin(late)), _merged_by_search(unit, edges)).otherwise(mask)
 
     def spelt(mask: Column) -> Column:
-        parts = F.array_sort(F.transform(
-            F.filter(edges, lambda e: (mask.bitwiseAND(e["ends"]) == e["ends"]) & (mask.bitwiseAND(e["inner"]) == 0)), lambda e: F.struct(e["start"].alias("start"), e["id"].alias("id"))))
-        # characters that are no piece
-        other = F.flatten(F.transform(F.filter(F.sequence(F.lit(0), n - 1), lambda a: mask.bitwiseAND(_bit(a)) != 0), lambda a: F.coalesce(
-            F.get(F.transform(F.filter(parts, lambda p: p["start"] == a), lambda p: F.array(p["id"])), F.lit(0)), _byte_ids(F.substring(unit, a + 1, F.lit(1)), vocabulary))))
-        return F.when(F.size(parts) == F.bit_count(mask) - 1, F.transform(parts, lambda p: p["id"])).otherwise(other)
+        left = F.filter(edges, lambda e: (mask.bitwiseAND(e["ends"]) == e["ends"]) & (mask.bitwiseAND(e["inner"]) == 0))
+
+        def ids(parts: Column) -> Column:
+            plain = F.transform(parts, lambda p: p.bitwiseAND((1 << 24) - 1).cast("int"))
+            # characters that are no piece
+            other = F.flatten(F.transform(F.filter(F.sequence(F.lit(0), n - 1), lambda a: mask.bitwiseAND(_bit(a)) != 0), lambda a: F.coalesce(
+                F.get(F.transform(F.filter(parts, lambda p: F.shiftright(p, 30) == a), lambda p: F.array(p.bitwiseAND((1 << 24) - 1).cast("int"))), F.lit(0)),
+                _byte_ids(F.substring(unit, a + 1, F.lit(1)), vocabulary))))
+            return F.when(F.size(parts) == F.bit_count(mask) - 1, plain).otherwise(other)
+        return _bound(F.array_sort(F.transform(left, lambda e: e["code"])), ids)
 
-    return F.element_at(F.transform(F.array(mask), spelt), 1)
+    return _bound(mask, spelt)
 
 
 def _viterbi(unit: Column, edges: Column, vocabulary: Vocabulary) -> Column:
@@ -261,6 +315,18 @@ def _count_units(joins: np.ndarray, most: int = 80_000) -> Callable:
     return run
 
 
+@contextmanager
+def hashed_groups(spark: SparkSession, groups: int = 4 * PART_UNITS) -> Iterator[None]:
+    """Edges are grouped in a hash table of so many units a task, a few kilobytes each; by default Spark sorts beyond 128 groups, edge by edge."""
+    name = "spark.sql.objectHashAggregate.sortBased.fallbackThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(groups))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 @dataclass
 class Head:
     """Ids of units, found by hash: an open table of twice to four times the units."""
@@ -378,13 +444,18 @@ def encode(docs: DataFrame, vocabulary: Vocabulary | None = None, id_col: str =
     texts = bounded(docs).select(F.col(id_col).cast("long").alias("doc_id"), row_key(id_col, text_col).alias("rk"), F.col(text_col).cast("string").alias("text"), *carry)
     carried = "doc_id long, " + "".join(f"`{c}` {texts.schema[c].dataType.simpleString()}, " for c in carry)
     counts = stored(texts.select("text").mapInArrow(tidy(_count_units(joins)), "unit string, n long").groupBy("unit").agg(F.sum("n").alias("n")), "units")
+    common = frequent(counts, head)
     # spread by unit, which the grouping of edges can use; small parts, as a unit has some twenty edges
-    top = fold_units(frequent(counts, head).select("unit").repartition(max(8, head >> 14), "unit"), pieces, vocabulary, fold).toArrow()
+    with hashed_groups(spark):
+        top = fold_units(common.select("unit").repartition(max(8, head >> 14), "unit"), pieces, vocabulary, fold).toArrow()
     table = spark.sparkContext.broadcast(Head.of(top.column("unit").combine_chunks(), top.column("ids").combine_chunks()))
     del top
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # as many parts as keep the edges of a task's units few; beyond MOST_PARTS tasks grow and their sorts spill
+    left = (counts.agg(F.sum("n")).first()[0] or 0) - (common.agg(F.sum("n")).first()[0] or 0)
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(MOST_PARTS, left // PART_UNITS))
     rare = texts.select("rk", "text").mapInArrow(tidy(_rare_units(joins, table)), "rk long, unit string").repartition(parts, "rk")
-    folded = fold_units(rare, pieces, vocabulary, fold, ["rk", "unit"]).groupBy("rk").agg(F.collect_list(F.struct("unit", "ids")).alias("rare"))
+    with hashed_groups(spark):
+        folded = stored(fold_units(rare, pieces, vocabulary, fold, ["rk", "unit"]).groupBy("rk").agg(F.collect_list(F.struct("unit", "ids")).alias("rare")), "folded")
     scores = dict(zip(vocabulary.pieces, vocabulary.scores, strict=True))
     order = {s: k for k, s in enumerate(sorted(set(vocabulary.scores), reverse=True))}
     rank = {p: order[s] for p, s in scores.items() if p}

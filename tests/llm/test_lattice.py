@@ -78,3 +78,31 @@ def test_frequent_units_are_bounded(spark):
     counts = spark.range(1, 200).select(F.col("id").cast("string").alias("unit"), F.col("id").alias("n"))
     assert 50 < frequent(counts, 100).count() <= 100
     assert frequent(counts, 0).count() == 0
+
+
+def test_one_pass_merges_as_a_search_does(spark):
+    import random
+
+    from pyspark.sql import functions as F
+
+    from brickfolio.llm import lattice
+
+    vocabulary = lattice.Vocabulary.load()
+    assert [vocabulary.pieces[i] for i in vocabulary.late_ids()] == ["▁" * 16]
+    rng = random.Random(6)
+    pieces = [p for p in vocabulary.pieces if 1 < len(p) < 10]
+    units = {"▁" + "".join(rng.choice(pieces) for _ in range(rng.choice([1, 2, 3, 5])))[:60] for _ in range(3000)} | {"▁" * n for n in (1, 2, 15, 16, 17, 31, 33)}
+    units |= {"".join(rng.choice("aeinst") for _ in range(rng.randrange(2, 40))) for _ in range(1500)}
+    table = spark.createDataFrame([(u,) for u in sorted(units)], "unit string")
+    edges = lattice._edges(table, vocabulary.table(spark), max(map(len, vocabulary.pieces)), ["unit"])
+    packed = F.shiftleft(F.col("rank").cast("long"), 36) + F.shiftleft(F.col("start").cast("long"), 30) + F.shiftleft(F.col("end").cast("long"), 24) + F.col("id")
+    found = edges.groupBy("unit").agg(F.transform(F.array_sort(F.collect_list(packed)), lattice._unpacked).alias("edges"))
+    late = found.select("unit", lattice._merged_by_search(F.col("unit"), F.col("edges")).alias("a"), lattice._merged_in_order(F.col("unit"), F.col("edges")).alias("b"))
+    assert late.where("a <> b and not contains(unit, repeat('▁', 16))").count() == 0
+    folded = {r.unit: r.ids for r in lattice.fold_units(table, vocabulary.table(spark), vocabulary).collect()}
+    scores = dict(zip(vocabulary.pieces, vocabulary.scores, strict=True))
+    order = {s: k for k, s in enumerate(sorted(set(vocabulary.scores), reverse=True))}
+    rank, ids = {p: order[s] for p, s in scores.items() if p}, {p: i for i, p in enumerate(vocabulary.pieces) if p}
+    for unit in units:
+        want = [i for p in lattice.merge_long(unit, rank) for i in ([ids[p]] if p in ids else [vocabulary.byte_ids[b] for b in p.encode()])]
+        assert folded[unit] == want, unit
