@@ -216,3 +216,20 @@ def audit_class(metrics: DataFrame) -> DataFrame:
         .when(F.col("large_raw_moves") > 0, "LARGE_RAW_MOVE_WITHOUT_CONFIRMED_ACTION")
         .otherwise("NO_SINGLE_LARGE_DAILY_MOVE"))
     return metrics.withColumn("audit_class", kind)
+
+
+def extreme_rows(split: DataFrame, worst: int = 20, best: int = 10, target: str = f"target_return_next_{C.TARGET_HORIZON}d") -> DataFrame:
+    """The largest losses and gains of each split, with both returns in percent; equal targets in order of ticker and date.
+
+    Spark keeps only so many rows of a split in each task before it shuffles them.
+    """
+    kept = split.select("split_name", "ticker", "feature_date", "target_date", "close_price", "target_price_next_5d", F.col(target).alias("target"),
+                        "target_price_return_next_5d", "target_economic_vs_price_difference").filter(F.col("target").isNotNull())
+
+    def side(name: str, order: Column, n: int) -> DataFrame:
+        at = F.row_number().over(Window.partitionBy("split_name").orderBy(order, "ticker", "feature_date"))
+        return kept.withColumn("position", at).filter(F.col("position") <= n).withColumn("side", F.lit(name))
+    rows = side("worst", F.asc("target"), worst).unionByName(side("best", F.desc("target"), best))
+    return rows.select("split_name", "side", "position", "ticker", "feature_date", "target_date", "close_price", "target_price_next_5d",
+                       (F.col("target") * 100).alias("target_pct"), (F.col("target_price_return_next_5d") * 100).alias("price_return_pct"),
+                       (F.col("target_economic_vs_price_difference") * 100).alias("economic_price_diff_pct"))

@@ -5,6 +5,8 @@ The detector only proposes; the registry decides.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from brickfolio import contracts as C
@@ -229,3 +231,25 @@ def queue_checks(queue: DataFrame, dataset: str | None = None) -> DataFrame:
         "SCORE_POSITIVE": ~F.coalesce(c("priority_score") > 0, F.lit(False)),
     }
     return rule_counts(queue, rules, key=("ticker", "event_date"), dataset=dataset)
+
+
+CANDIDATE_REQUIRED = [
+    "ticker", "cnpj", "codigo_cvm", "previous_trade_date", "event_date", "price_before", "price_after", "daily_return", "observed_factor",
+    "nearest_common_factor", "factor_relative_error", "factor_match", "classification", "confidence", "candidate_reason", "review_status",
+    "event_type", "is_confirmed_corporate_action", "detected_by_v4_threshold", "newly_visible_in_v5_band",
+]
+
+
+def candidate_checks(reviewed: DataFrame, dataset: str | None = None) -> DataFrame:
+    """Output contract of the reviewed candidates: required values, domains, threshold, bands and the confirmation flag."""
+    C.require_columns(reviewed, CANDIDATE_REQUIRED, "candidates")
+    size, absent = F.abs("daily_return"), [F.col(c).isNull() for c in CANDIDATE_REQUIRED]
+    new = F.col("newly_visible_in_v5_band")
+    rules = {
+        "REQUIRED_PRESENT": reduce(lambda a, b: a | b, absent),
+        "STATUS_IN_DOMAIN": ~F.col("review_status").isin(*C.REVIEW_STATUSES), "EVENT_TYPE_IN_DOMAIN": ~F.col("event_type").isin(*C.EVENT_TYPES),
+        "FLAG_IS_CONFIRMED": F.col("is_confirmed_corporate_action") != (F.col("review_status") == "CONFIRMED"),
+        "ABOVE_THRESHOLD": size < C.CANDIDATE_THRESHOLD, "BANDS_DISJOINT": F.col("detected_by_v4_threshold") & new,
+        "NEW_BAND_MATCHES": new != ((size >= C.CANDIDATE_THRESHOLD) & (size < C.LEGACY_THRESHOLD)),
+    }
+    return rule_counts(reviewed, rules, key=("ticker", "event_date"), dataset=dataset)

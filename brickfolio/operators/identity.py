@@ -257,3 +257,14 @@ def pattern_profile(marked: DataFrame, master: DataFrame) -> DataFrame:
     return counted.unpivot(
         ["resolution_status", "n"], [*PROFILE_ATTRIBUTES, "ticker_suffix"], "attribute", "attribute_value"
     ).groupBy("resolution_status", "attribute", "attribute_value").agg(F.sum("n").alias("candidate_rows"))
+
+
+def silver_master_checks(master: DataFrame, dataset: str | None = None) -> DataFrame:
+    """The silver master has rows, and every id is there and once; one pass over the ids, whatever their copies."""
+    per_id = master.groupBy("cnpj").agg(F.count(F.lit(1)).alias("n"))
+    totals = per_id.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.coalesce(F.sum(F.when(F.col("cnpj").isNull(), F.col("n"))), F.lit(0)).alias("absent"),
+                        F.coalesce(F.sum(F.when(F.col("cnpj").isNotNull(), F.col("n") - 1)), F.lit(0)).alias("again"))
+    found = {"NOT_EMPTY": (F.col("rows") == 0).cast("bigint"), "ID_PRESENT": F.col("absent"), "ID_UNIQUE": F.col("again")}
+    out = totals.select(F.inline(F.array(*[F.struct(F.lit(n).alias("check_name"), v.cast("bigint").alias("violations")) for n, v in found.items()])))
+    out = out.withColumn("status", F.when(F.col("violations") == 0, "PASS").otherwise("FAIL"))
+    return out if dataset is None else out.select(F.lit(dataset).alias("dataset"), *out.columns)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from brickfolio.contracts import RUN_TIME_COLUMNS, ContractError
 from brickfolio.operators.checks import assert_passed
@@ -70,6 +70,40 @@ def publish_partitioned(df: DataFrame, path: str, partition: list[str], order: l
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _multiset(columns: list[str]) -> list[Column]:
+    """Count, xor and sum of row hashes: equal for equal rows in any order."""
+    digest = F.md5(_row_text(columns))
+    half = lambda start: F.conv(F.substring(digest, start, 15), 16, 10).cast("bigint")
+    return [F.count(F.lit(1)).alias("rows"), *[F.bit_xor(half(k)).alias(f"x{k}") for k in (1, 16)],
+            *[F.sum(half(k).cast("decimal(38,0)")).alias(f"s{k}") for k in (1, 16)]]
+
+
+def publish_verified(df: DataFrame, path: str, partition: list[str], order: list[str]) -> DataFrame:
+    """Publish a whole table, partitioned or not, and make sure that what lies there is the input, row by row.
+
+    The input is summed up while it is written; the stored files are read back and summed up in the same way.
+    """
+    sums, seen = _multiset(sorted(df.columns)), Observation()
+    rows = df.observe(seen, *sums)
+    if partition:
+        (rows.hint("rebalance", *partition).sortWithinPartitions(*partition, *order)
+         .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*partition).parquet(path))
+    else:
+        # a sort by ranges would look for its bounds first and so see the rows twice
+        rows.sortWithinPartitions(*order).write.mode("overwrite").parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    found, expected = out.agg(*sums).first().asDict(), seen.get
+    if found != {k: expected[k] for k in found}:
+        raise ContractError(f"published rows are not the input: {found['rows']} of {expected['rows']} rows")
+    return out
+
+
+def write_document(row: DataFrame, path: str) -> DataFrame:
+    """One row as a JSON document, nulls kept, and as it is read back."""
+    row.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+    return row.sparkSession.read.schema(row.schema).json(path)
+
+
 def publish_checked(df: DataFrame, checks: DataFrame, path: str, partition: list[str], order: list[str]) -> DataFrame:
     """Publish a table whose checks have passed, and make sure that every row arrived."""
     assert_passed(checks)

@@ -133,3 +133,31 @@ def chronological_order(split: DataFrame) -> DataFrame:
     before = F.lag("last_target_date").over(Window.orderBy("position"))
     return ranges.withColumn("position", order).withColumn(
         "starts_after_previous_targets", F.coalesce(F.col("first_feature_date") > before, F.lit(True)))
+
+
+def split_contract(splits: dict[str, DataFrame], training: DataFrame, target: str = f"target_return_next_{C.TARGET_HORIZON}d") -> DataFrame:
+    """The stored splits against the stored training set, as multisets of keys and of the targets' bits.
+
+    One union and one grouping: per key the rows of each split and of the eligible training set, with their targets' bits.
+    """
+    bits = F.col(target).cast("double").cast("string")   # the shortest text of a double names one value; -0.0 and 0.0 differ
+    columns = ["ticker", "feature_date"]
+    own = training.select(*columns, bits.alias("bits"), F.lit("training").alias("side"), X.flag("ml_eligible").alias("eligible"))
+    rows = own
+    for name, df in splits.items():
+        rows = rows.unionByName(df.select(*columns, bits.alias("bits"), F.lit(name).alias("side"), X.flag("ml_eligible").alias("eligible")))
+    n = {name: F.count_if(F.col("side") == name) for name in splits}
+    in_splits = F.col("side") != "training"
+    per_key = rows.groupBy(*columns).agg(
+        *[n[name].alias(f"n_{name}") for name in splits], F.count_if(~in_splits).alias("n_training"),
+        F.count_if(~in_splits & F.col("eligible")).alias("n_eligible"), F.count_if(in_splits & ~F.col("eligible")).alias("n_ineligible"),
+        F.array_sort(F.collect_set(F.when(in_splits, F.coalesce("bits", F.lit("null"))))).alias("split_bits"),
+        F.array_sort(F.collect_set(F.when(~in_splits, F.coalesce("bits", F.lit("null"))))).alias("training_bits"))
+    used = sum((F.when(F.col(f"n_{name}") > 0, 1).otherwise(0) for name in splits), F.lit(0))
+    total = sum((F.col(f"n_{name}") for name in splits), F.lit(0))
+    rules = {
+        "KEY_IN_ONE_SPLIT": used > 1, "KEY_ONCE_PER_SPLIT": F.greatest(*[F.col(f"n_{name}") for name in splits]) > 1,
+        "KEY_IN_TRAINING": (total > 0) & (F.col("n_training") == 0), "ROW_ELIGIBLE": (F.col("n_ineligible") > 0) | ((total > 0) & (F.col("n_training") > 0) & (F.col("n_eligible") == 0)),
+        "TARGET_UNCHANGED": (total > 0) & (F.col("n_training") > 0) & (F.size(F.array_except("split_bits", "training_bits")) > 0),
+    }
+    return rule_counts(per_key, rules)

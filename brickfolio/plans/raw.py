@@ -182,3 +182,10 @@ def register_snapshots(register: DataFrame, version: str, odd: bool | None = Non
                          F.lit("registro_classe.csv").alias("member"), body.alias("body"))
     day = F.to_date(F.regexp_extract("path", "([0-9-]{10})[.]zip", 1))
     return _zipped(named).withColumns({"year": F.year(day), "month": F.month(day), "day": F.day(day)})
+
+
+def text_files(lines: DataFrame, group: str, header: str) -> DataFrame:
+    """``line`` by ``group`` to delimited files (path, content) with a header each; a group is bounded by ``PER_FILE`` lines."""
+    files = lines.groupBy(group).agg(F.array_join(F.array_sort(F.collect_list("line")), "\n").alias("lines"))
+    return files.select(F.concat(F.lit("part_"), F.col(group).cast("string"), F.lit(".csv")).alias("path"),
+                        F.encode(F.concat(F.lit(header + "\n"), "lines"), "UTF-8").alias("content"))
