@@ -8,7 +8,9 @@ from brickfolio import contracts as C
 from brickfolio.functions import columns as X
 from brickfolio.functions.windows import by_ticker, rows_after
 from brickfolio.operators import discontinuities as D
-from brickfolio.operators.checks import rule_counts
+from brickfolio.operators.checks import assert_passed, rule_counts
+from brickfolio.operators.publish import publish_verified, with_date_parts
+from brickfolio.session import write_and_reread
 
 OUTPUT = [
     "trade_date", "ticker", "cnpj", "codigo_cvm", "instrument_id",
@@ -247,3 +249,13 @@ def pending_summary(adjusted: DataFrame) -> DataFrame:
         "daily_return_economic", "discontinuity_confidence_on_date",
         F.abs("daily_return_raw").alias("absolute_raw_return"),
     ).orderBy(F.desc("absolute_raw_return"), "ticker", "trade_date")
+
+
+def publish_adjusted(panel: DataFrame, registry: DataFrame, path: str) -> DataFrame:
+    """The publishing job: every confirmed decision must have effect and follow its rules, the prices must keep their contract, and
+    every row must arrive."""
+    require_covered(panel, registry)
+    assert_passed(confirmed_action_checks(registry))
+    prices = write_and_reread(adjusted_from_registry(panel, registry), "adjusted")
+    assert_passed(adjusted_checks(prices))
+    return publish_verified(with_date_parts(prices, "trade_date").drop("day"), path, ["year", "month"], ["trade_date", "ticker"])

@@ -192,3 +192,27 @@ def cycle_state(runs: DataFrame, inventory: DataFrame, sources: list[str], now:
 
 def state_counts(states: DataFrame) -> DataFrame:
     return states.groupBy("cycle_state").agg(F.count(F.lit(1)).alias("run_dates"))
+
+
+# fixed values: what to do about a run date in each state
+ACTIONS = {
+    "COMPLETE": "NO_ACTION",
+    "IN_PROGRESS": "WAIT_FOR_COMPLETION",
+    "GOLD_RETRY_REQUIRED": "RETRY_GOLD",
+    "RAW_REBUILD_REQUIRED": "REBUILD_SILVER_FROM_RAW",
+    "RECOVERY_BLOCKED": "ALERT_AND_INVESTIGATE",
+    "MISSING_CYCLE": "INVESTIGATE_MISSING_CYCLE",
+}
+
+
+def with_action(states: DataFrame) -> DataFrame:
+    """Adds the action of each state; a state without one is an error."""
+    action = F.lit(None).cast("string")
+    for state, name in ACTIONS.items():
+        action = F.when(F.col("cycle_state") == state, name).otherwise(action)
+    unknown = F.raise_error(F.concat(F.lit("no action for the state "), F.coalesce("cycle_state", F.lit("null")))).cast("string")
+    return states.withColumn("action", F.coalesce(action, unknown))
+
+
+def action_counts(states: DataFrame) -> DataFrame:
+    return with_action(states).groupBy("action").agg(F.count(F.lit(1)).alias("run_dates"))

@@ -259,6 +259,12 @@ def pattern_profile(marked: DataFrame, master: DataFrame) -> DataFrame:
     ).groupBy("resolution_status", "attribute", "attribute_value").agg(F.sum("n").alias("candidate_rows"))
 
 
+def trade_only_profile(marked: DataFrame, master: DataFrame) -> DataFrame:
+    """The profile of candidates whose only evidence is that they were traded, in funds that were not resolved."""
+    alone = marked.filter(X.flag("is_traded") & ~X.flag("is_underlying_target") & ~X.flag("matches_primary_signature"))
+    return pattern_profile(alone, master.filter(F.col("resolution_status") != "AUTO_RESOLVED"))
+
+
 def silver_master_checks(master: DataFrame, dataset: str | None = None) -> DataFrame:
     """The silver master has rows, and every id is there and once; one pass over the ids, whatever their copies."""
     per_id = master.groupBy("cnpj").agg(F.count(F.lit(1)).alias("n"))

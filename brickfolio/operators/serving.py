@@ -58,6 +58,18 @@ def source_alignment(daily: DataFrame, ml: DataFrame) -> DataFrame:
     ).withColumn("aligned", (F.col("only_daily") == 0) & (F.col("only_ml") == 0) & (F.col("repeated_tickers") == 0))
 
 
+def date_alignment(daily: DataFrame, ml: DataFrame, partition_date: str = "partition_date") -> DataFrame:
+    """Whether both serving sources hold one date each, the same one, and that of the partition they were read from (if they carry it)."""
+    def dates(df: DataFrame, column: str, name: str) -> DataFrame:
+        stored = F.col(partition_date) if partition_date in df.columns else F.col(column)
+        per_date = df.groupBy(column, stored.alias("p")).agg(F.count(F.lit(1)).alias("n"))
+        return per_date.agg(F.count_distinct(column).alias(f"{name}_dates"), F.min(column).alias(f"{name}_date"),
+                            F.coalesce(F.sum(F.when(~F.col("p").eqNullSafe(F.col(column)), F.col("n"))), F.lit(0)).alias(f"{name}_outside_partition"))
+    # one row each
+    row = dates(daily, "trade_date", "daily").crossJoin(F.broadcast(dates(ml, "feature_date", "ml")))
+    return row.withColumn("dates_equal", (F.col("daily_dates") == 1) & (F.col("ml_dates") == 1) & F.coalesce(F.col("daily_date") == F.col("ml_date"), F.lit(False)))
+
+
 def context_records(daily: DataFrame, ml: DataFrame, names: list[str] | None = None) -> DataFrame:
     """One nested record per ticker; NaN becomes null, features are a map."""
     names = C.feature_names() if names is None else names

@@ -475,18 +475,11 @@ cycle("cycle_state_counts", lambda c: HE.state_counts(_states(c)), "cycle_state
 
 
 # --- saved SQL ------------------------------------------------------------------------------
-_PUBLISHED: dict[tuple[str, str, str], str] = {}
-
-
 def _published_table(s, d, stage, table, partition):
-    """The stage's table, published once in a session under its partition column and read back."""
-    key = (s.sparkContext.applicationId, d, stage)
-    if key not in _PUBLISHED:
-        rows = table()
-        path = scratch_path(s, f"published-{stage}")
-        P.publish_partitioned(rows, path, [partition], ["ticker"])
-        _PUBLISHED[key] = path
-    return s.read.parquet(_PUBLISHED[key])
+    """The stage's table, published under its partition column and read back; each call publishes the tables as they are now."""
+    path = scratch_path(s, f"published-{stage}")
+    P.publish_partitioned(table(), path, [partition], ["ticker"])
+    return s.read.parquet(path)
 
 
 def _saved(name):

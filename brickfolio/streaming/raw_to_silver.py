@@ -26,7 +26,8 @@ def stream_raw_to_silver(spark: SparkSession, source: str, schema: T.StructType,
 
     Raw rows are first appended to ``landing`` under their batch and day; a batch that runs twice replaces only what it wrote before. Then
     the days that the batch touches are rebuilt from all their raw rows. ``day`` is the raw row's date, and ``key``, if given, says which raw
-    rows restate each other: the one of the latest batch counts.
+    rows restate each other: the one of the latest batch counts. Rows without a date belong to no day: they stay in ``landing``, where
+    ``undated_rows`` finds them.
     """
     landing = landing or f"{target.rstrip('/')}-raw"
     reader = spark.readStream.format(file_format).schema(schema)
@@ -37,16 +38,19 @@ def stream_raw_to_silver(spark: SparkSession, source: str, schema: T.StructType,
          .partitionBy("__batch", "__day").parquet(landing))
         landed = spark.read.schema(raw.schema).parquet(landing)
         # one row per day of the batch; the scan below reads those days only
-        touched = landed.filter(F.col("__batch") == batch_id).select("__day").distinct()
+        touched = landed.filter((F.col("__batch") == batch_id) & F.col("__day").isNotNull()).select("__day").distinct()
         rows = landed.join(F.broadcast(touched), "__day", "left_semi")
         if key:
             last = rows.groupBy(*key).agg(F.max("__batch").alias("__batch"))
             rows = rows.join(last, [*key, "__batch"], "left_semi")
-        built = transform(rows.select(*batch.columns))
-        if not built.isEmpty():
-            raw_to_silver(built, target)
+        raw_to_silver(transform(rows.select(*batch.columns)), target)
 
     query = (reader.load(source).writeStream.foreachBatch(land)
              .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     query.awaitTermination()
     return spark.read.parquet(target)
+
+
+def undated_rows(spark: SparkSession, landing: str) -> DataFrame:
+    """Raw rows that no day was built from, with their batch."""
+    return spark.read.parquet(landing).filter(F.col("__day").isNull()).drop("__day")

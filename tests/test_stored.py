@@ -121,3 +121,31 @@ def test_extremes_keep_so_many_rows_a_split_in_each_task(spark):
 def test_an_empty_master_fails(spark):
     rows = spark.createDataFrame([], "cnpj string")
     assert {r.check_name: r.violations for r in ID.silver_master_checks(rows).collect()} == {"NOT_EMPTY": 1, "ID_PRESENT": 0, "ID_UNIQUE": 0}
+
+
+def test_the_adjusted_job_stops_at_decisions_without_effect(spark, panel, registry, tmp_path):
+    from brickfolio.operators import adjusted as A
+
+    prices = panel({"A": {0: 10.0, 1: 5.0, 2: 5.1}})
+    decide = lambda n, factor=0.5: registry(dict(ticker="A", event_date=day(n), review_status="CONFIRMED", event_type="SPLIT",
+                                                 quantity_multiplier=2.0, price_adjustment_factor=factor))
+    assert A.publish_adjusted(prices, decide(1), str(tmp_path / "t")).count() == 3
+    for bad, problem in ((decide(2), "without candidate"), (decide(7), "without price row"), (decide(1, 0.2), "RECIPROCAL=1")):
+        with pytest.raises(ContractError, match=problem):
+            A.publish_adjusted(prices, bad, str(tmp_path / "t"))
+
+
+def test_undated_rows_are_listed_and_states_without_an_action_stop(spark, tmp_path):
+    from brickfolio.operators import health as HE
+    from brickfolio.streaming.raw_to_silver import stream_raw_to_silver, undated_rows
+
+    source, target = str(tmp_path / "source"), str(tmp_path / "target")
+    rows = spark.createDataFrame([("A", day(0)), ("B", None), ("C", day(1))], "ticker string, trade_date date")
+    rows.write.parquet(source)
+    out = stream_raw_to_silver(spark, source, rows.schema, lambda df: df, target, str(tmp_path / "mark"))
+    assert sorted(r.ticker for r in out.collect()) == ["A", "C"]
+    assert [r.ticker for r in undated_rows(spark, f"{target}-raw").collect()] == ["B"]
+    states = spark.createDataFrame([("COMPLETE",), ("RECOVERY_BLOCKED",), ("COMPLETE",)], "cycle_state string")
+    assert {r.action: r.run_dates for r in HE.action_counts(states).collect()} == {"NO_ACTION": 2, "ALERT_AND_INVESTIGATE": 1}
+    with pytest.raises(Exception, match="no action for the state LOST"):
+        HE.action_counts(spark.createDataFrame([("LOST",)], "cycle_state string")).collect()
