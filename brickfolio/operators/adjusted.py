@@ -200,6 +200,16 @@ def adjusted_checks(adjusted: DataFrame, dataset: str | None = None) -> DataFram
     return rule_counts(adjusted, rules, key=("ticker", "trade_date"), dataset=dataset)
 
 
+def event_reconciliation(adjusted: DataFrame, registry: DataFrame) -> DataFrame:
+    """Confirmed decisions of each type against the price rows that carry them."""
+    decided = confirmed_actions(registry).groupBy("event_type").agg(F.count(F.lit(1)).alias("decisions"))
+    carried = adjusted.filter("confirmed_action_on_date").groupBy(F.col("confirmed_event_type").alias("event_type")).agg(F.count(F.lit(1)).alias("price_rows"))
+    # a row per type on both sides
+    n = {c: F.coalesce(c, F.lit(0)) for c in ("decisions", "price_rows")}
+    return decided.join(carried, "event_type", "full_outer").select("event_type", *[v.alias(c) for c, v in n.items()]).withColumn(
+        "status", F.when(F.col("decisions") == F.col("price_rows"), "PASS").otherwise("FAIL"))
+
+
 def event_effect(adjusted: DataFrame) -> DataFrame:
     """Confirmed events with the raw, adjusted and economic return side by side."""
     return adjusted.filter("confirmed_action_on_date").select(

@@ -120,6 +120,21 @@ def inspect(df: DataFrame, spec: DatasetSpec, reference: date, max_days: int) ->
         (F.col("freshness_status") == "PASS") & (F.col("content_status") == "PASS"), "PASS").otherwise("FAIL"))
 
 
+def inspect_table(df: DataFrame, name: str, key: tuple[str, ...], required: tuple[str, ...], ticker: str = "ticker") -> DataFrame:
+    """One row: rows, distinct tickers, repeated keys, and whether the required columns are there and filled. Keys and tickers are
+    counted before they are gathered."""
+    missing = sorted(set(required) - set(df.columns))
+    per_key = df.groupBy(ticker, *[k for k in key if k != ticker]).agg(
+        F.count(F.lit(1)).alias("n"), *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in required if c not in missing])
+    per_ticker = per_key.groupBy(ticker).agg(F.sum("n").alias("n"), F.sum(F.col("n") - 1).alias("again"), *[F.sum(c).alias(c) for c in per_key.columns if c.startswith("null_")])
+    nulls = sum((F.coalesce(F.sum(c), F.lit(0)) for c in per_ticker.columns if c.startswith("null_")), F.lit(0)).cast("bigint")
+    return per_ticker.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.count(ticker).alias("tickers"), F.coalesce(F.sum("again"), F.lit(0)).alias("duplicate_rows"),
+        nulls.alias("required_nulls")).select(
+        F.lit(name).alias("dataset"), "*", F.lit(",".join(missing)).alias("missing_columns"),
+        F.when(F.lit(not missing) & (F.col("required_nulls") == 0), "PASS").otherwise("FAIL").alias("schema_status"))
+
+
 def dataset_health(datasets: list[tuple[DataFrame, DatasetSpec]], reference: date, max_days: int) -> DataFrame:
     return reduce(DataFrame.unionByName, [inspect(df, spec, reference, max_days) for df, spec in datasets])
 

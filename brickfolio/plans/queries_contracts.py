@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from brickfolio.operators import adjusted as A, discontinuities as D, health as HE, identity as ID, serving as SV
+from brickfolio import contracts as C
+from brickfolio.operators import adjusted as A, checks as CH, discontinuities as D, health as HE, identity as ID, serving as SV
 from brickfolio.plans.catalog import register
+from brickfolio.plans import tables as TB
 from brickfolio.plans.oracle_price import price_sql
+from brickfolio.plans.pipeline import Pipeline
 from brickfolio.plans.queries_data import _DAY_SQL, _STATE_SQL, Serving, _states, cycle
 from brickfolio.plans.queries_identity import Identity, identity_sql
 from brickfolio.plans.queries_price import CHECK, final
@@ -118,3 +121,55 @@ register("date_alignment", _dates, "variant daily_dates daily_date daily_outside
 # --- cycles ---------------------------------------------------------------------------
 cycle("cycle_action_counts", lambda c: HE.action_counts(_states(c)), "action run_dates", f"""
   SELECT CASE cycle_state {' '.join(f"WHEN '{k}' THEN '{v}'" for k, v in HE.ACTIONS.items())} END AS action, count(*) AS run_dates FROM ({_STATE_SQL}) GROUP BY 1""")
+
+# --- lineage --------------------------------------------------------------------------
+# the columns that hold one literal in each stage
+_LITERALS = {
+    "adjusted": {"adjusted_prices_version": C.ADJUSTED_PRICES_VERSION, "adjusted_prices_source": C.SILVER_SOURCE, "corporate_action_source": C.REGISTRY_SOURCE},
+    "history": {"price_history_version": C.PRICE_HISTORY_VERSION, "price_history_source": C.ADJUSTED_SOURCE, "return_semantics": C.RETURN_SEMANTICS,
+                "price_semantics": C.PRICE_SEMANTICS, "corporate_action_value_semantics": C.CA_VALUE_SEMANTICS},
+    "quality": {"price_quality_version": C.PRICE_QUALITY_VERSION, "price_quality_source": C.ADJUSTED_SOURCE},
+    "features": {"feature_version": C.FEATURE_VERSION, "feature_price_semantics": C.PRICE_SEMANTICS, "feature_return_semantics": C.FEATURE_RETURN_SEMANTICS,
+                 "feature_corporate_action_policy": C.FEATURE_CA_POLICY},
+    "training": {"training_dataset_version": C.TRAINING_VERSION, "target_return_semantics": C.RETURN_SEMANTICS, "source_feature_version": C.FEATURE_VERSION,
+                 "ml_eligibility_version": C.ELIGIBILITY_VERSION, "eligibility_policy": C.ELIGIBILITY_POLICY, "training_sample_policy": C.TRAINING_POLICY},
+}
+
+
+def _lineage(p):
+    """The literals of each stage; the n-th of a stage is spoiled in the rows of tickers that end in n."""
+    parts = []
+    for stage, literals in _LITERALS.items():
+        rows = (p.stored_training if stage == "training" else getattr(p, stage)).select("ticker", *literals)
+        spoiled = rows.withColumns({c: _put(str(n), c, F.lit(None) if n % 2 else F.lit("other")) for n, c in enumerate(literals)})
+        parts.append(CH.expect_single(spoiled, literals, dataset=stage))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+final("lineage_checks", "weekly", _lineage, f"dataset {CHECK}", "training", _status(*[
+    f"SELECT '{stage}' AS dataset, '{c.upper()}_IS_{v}' AS check_name, count(*) FILTER ({_D} = '{n}') AS violations FROM {stage}"
+    for stage, literals in _LITERALS.items() for n, (c, v) in enumerate(literals.items())]))
+final("event_reconciliation", "daily", lambda p: A.event_reconciliation(p.adjusted.filter(F.substring("ticker", -1, 1) != "5"), p.registry),
+      "event_type decisions price_rows status", "registry", f"""
+  SELECT event_type, count(*) AS decisions, count(*) FILTER ({_D} <> '5') AS price_rows, CASE WHEN count(*) FILTER ({_D} = '5') = 0 THEN 'PASS' ELSE 'FAIL' END AS status
+  FROM registry WHERE review_status = 'CONFIRMED' GROUP BY event_type""")
+
+
+def _inspected(s, d):
+    p = Pipeline.daily(s, d)
+    orders = TB.read(s, d, "orders").select(F.col("o_custkey").cast("string").alias("ticker"), F.to_date("o_orderdate").alias("day"), "o_totalprice")
+    return HE.inspect_table(p.panel, "panel", ("ticker", "trade_date"), ("close_price",)).unionByName(
+        HE.inspect_table(p.candidates, "candidates", ("ticker", "event_date"), ("event_date", "reviewed_by"))).unionByName(
+        HE.inspect_table(orders.withColumn("day", F.when(F.day("day") > 1, F.col("day"))), "orders", ("ticker", "day"), ("day", "o_totalprice")))
+
+
+register("dataset_inspection", _inspected, "dataset rows tickers duplicate_rows required_nulls missing_columns schema_status", price_sql("daily", """
+  SELECT *, CASE WHEN missing_columns = '' AND required_nulls = 0 THEN 'PASS' ELSE 'FAIL' END AS schema_status FROM (
+    SELECT 'panel' AS dataset, count(*) AS rows, count(DISTINCT ticker) AS tickers, count(*) - count(DISTINCT (ticker, trade_date)) AS duplicate_rows,
+           count(*) - count(close_price) AS required_nulls, '' AS missing_columns FROM panel
+    UNION ALL SELECT 'candidates', count(*), count(DISTINCT ticker), count(*) - count(DISTINCT (ticker, event_date)), count(*) - count(event_date), 'reviewed_by' FROM candidates
+    UNION ALL SELECT 'orders', count(*), count(DISTINCT o_custkey), count(*) - count(DISTINCT (o_custkey, d)), count(*) - count(d), ''
+    FROM (SELECT o_custkey, CASE WHEN day(o_orderdate) > 1 THEN CAST(o_orderdate AS DATE) END AS d FROM orders))""", "candidates"))
