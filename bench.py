@@ -16,6 +16,7 @@ HEADLINE = [
     "feature_drift", "trimmed_mean", "path_metrics", "core_name", "fii_master", "ticker_history", "master_quality",
     "daily_snapshot", "content_fingerprint", "publish_partitioned", "context_records", "dataset_health",
     "trading_calendar", "zip_xml_ingest", "csv_register_scan", "html_field_extract", "stream_raw_to_silver",
+    "walk_forward_fit", "land_trades", "stored_latest", "publish_features",
 ]
 
 

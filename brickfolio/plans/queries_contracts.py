@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from brickfolio import contracts as C
-from brickfolio.operators import adjusted as A, checks as CH, discontinuities as D, health as HE, identity as ID, serving as SV
+from brickfolio.operators import adjusted as A, checks as CH, discontinuities as D, features as FE, health as HE, history as H, identity as ID, serving as SV, splits as S
 from brickfolio.plans.catalog import register
 from brickfolio.plans import tables as TB
 from brickfolio.plans.oracle_price import price_sql
 from brickfolio.plans.pipeline import Pipeline
 from brickfolio.plans.queries_data import _DAY_SQL, _STATE_SQL, Serving, _states, cycle
 from brickfolio.plans.queries_identity import Identity, identity_sql
-from brickfolio.plans.queries_price import CHECK, final
+from brickfolio.plans.queries_price import ADJUSTED_RULES, CHECK, FEATURE_RULES, HISTORY_RULES, SPLIT_RULES, checks_sql, final
 from brickfolio.session import scratch_path
 
 _D = "right(ticker, 1)"
@@ -173,3 +173,35 @@ register("dataset_inspection", _inspected, "dataset rows tickers duplicate_rows
     UNION ALL SELECT 'candidates', count(*), count(DISTINCT ticker), count(*) - count(DISTINCT (ticker, event_date)), count(*) - count(event_date), 'reviewed_by' FROM candidates
     UNION ALL SELECT 'orders', count(*), count(DISTINCT o_custkey), count(*) - count(DISTINCT (o_custkey, d)), count(*) - count(d), ''
     FROM (SELECT o_custkey, CASE WHEN day(o_orderdate) > 1 THEN CAST(o_orderdate AS DATE) END AS d FROM orders))""", "candidates"))
+
+
+# --- checks over spoiled stages ----------------------------------------------------------
+def planted(key, kind, stage, check, rules, keys, plants, twice):
+    """The checks of a stage in which values are replaced by the last digit of the ticker, and the rows of one digit are there twice.
+
+    plants: per column the digits with the SQL of the value, read by both engines.
+    """
+    cases = {c: "CASE " + " ".join(f"WHEN {_D} = '{d}' THEN {v}" for d, v in wanted.items()) + f" ELSE {c} END" for c, wanted in plants.items()}
+
+    def run(p):
+        rows = getattr(p, stage)
+        spoiled = rows.withColumns({c: F.expr(e) for c, e in cases.items()})
+        return check(spoiled.unionByName(spoiled.filter(f"{_D} = '{twice}'")))
+    replaced = ", ".join(f"{e} AS {c}" for c, e in cases.items())
+    table = f"(SELECT * REPLACE ({replaced}) FROM {stage} UNION ALL SELECT * REPLACE ({replaced}) FROM {stage} WHERE {_D} = '{twice}')"
+    final(key, kind, run, CHECK, stage, checks_sql(table, rules, keys))
+
+
+_NAN = "CAST('NaN' AS DOUBLE)"
+planted("adjusted_checks_planted", "weekly", "adjusted", A.adjusted_checks, ADJUSTED_RULES, "ticker, trade_date", {
+    "structural_adjustment_factor": {"0": "-1.0"}, "daily_return_raw": {"1": _NAN}, "daily_return_adjusted_price": {"2": "1.0", "8": _NAN}, "daily_return_economic": {"3": _NAN},
+    "cash_amount_per_unit_raw": {"4": "cash_amount_per_unit_raw + 1"}, "cash_flow_per_unit_adjusted": {"5": "cash_flow_per_unit_adjusted + 1"},
+    "confirmed_event_type": {"6": "'SPLIT'"}}, "7")
+planted("history_checks_planted", "weekly", "history", H.history_checks, HISTORY_RULES, "ticker, trade_date", {
+    "observations_count": {"0": "1"}, "ma_5": {"1": "NULL"}, "ma_10": {"1": "NULL"}, "ma_20": {"1": "NULL"},
+    **{f"return_{n}d_pct": {"2": f"return_{n}d_pct + 1"} for n in C.DEFAULT_WINDOWS}, "daily_return": {"3": "daily_return + 1"},
+    **{c: {"4": f"{c} + 1"} for c in C.PRICES}}, "5")
+planted("feature_checks_planted", "weekly", "features", FE.feature_checks, FEATURE_RULES, "ticker, feature_date", {
+    **{c: {"0": _NAN} for c in C.feature_names() if c != "daily_return"}, "observations_count": {"1": "5"}, "daily_return": {"0": _NAN, "2": "NULL"}, "feature_date": {"3": "NULL"}}, "4")
+planted("split_checks_planted", "weekly", "split", S.split_checks, SPLIT_RULES, "ticker, feature_date", {
+    "feature_date": {"0": "validation_start", "2": "DATE '1999-01-01'", "3": "test_start"}, "target_date": {"1": "test_start"}, "ml_eligible": {"4": "false"}}, "5")

@@ -172,14 +172,15 @@ staged("adjusted_from_registry", "weekly", lambda p: p.adjusted, A.OUTPUT, "adju
 staged("economic_returns", "weekly", lambda p: p.adjusted,
        "ticker trade_date daily_return_raw daily_return_adjusted_price daily_return_economic", "adjusted")
 _R3 = ("daily_return_raw", "daily_return_adjusted_price", "daily_return_economic")
-final("adjusted_checks", "daily", lambda p: A.adjusted_checks(p.adjusted), CHECK, "adjusted", checks_sql("adjusted", {
+ADJUSTED_RULES = {
     "FACTOR_POSITIVE": "structural_adjustment_factor <= 0",
     **{f"FINITE_{r.upper()}": f"previous_close_price_raw IS NOT NULL AND NOT coalesce(isfinite({r}), false)" for r in _R3},
     **{f"FIRST_ROW_NULL_{r.upper()}": f"previous_close_price_raw IS NULL AND {r} IS NOT NULL" for r in _R3},
     "COMPONENT_SUM": "abs(cash_amount_per_unit_raw + in_kind_amount_per_unit_raw - corporate_action_value_per_unit_raw) > 1e-8",
     "CASH_ALIAS": "abs(cash_flow_per_unit_adjusted - cash_amount_per_unit_adjusted) > 1e-12",
     "PAYLOAD_ONLY_WHEN_CONFIRMED": "NOT confirmed_action_on_date AND confirmed_event_type IS NOT NULL",
-}, "ticker, trade_date"))
+}
+final("adjusted_checks", "daily", lambda p: A.adjusted_checks(p.adjusted), CHECK, "adjusted", checks_sql("adjusted", ADJUSTED_RULES, "ticker, trade_date"))
 _EFFECT = (
     "ticker trade_date confirmed_event_type structural_adjustment_factor previous_close_price_raw close_price_raw "
     "previous_close_price_adjusted close_price_adjusted cash_amount_per_unit_adjusted "
@@ -211,7 +212,7 @@ final("pending_summary", "weekly", lambda p: A.pending_summary(p.adjusted),
 # --- history and quality ----------------------------------------------------------
 staged("price_history", "daily", lambda p: p.history, H.output_columns(), "history")
 staged("rolling_return", "weekly", lambda p: p.history, "ticker trade_date return_5d return_10d return_20d", "history")
-final("history_checks", "daily", lambda p: H.history_checks(p.history), CHECK, "history", checks_sql("history", {
+HISTORY_RULES = {
     **{k: v for n in C.DEFAULT_WINDOWS for k, v in {
         f"RETURN_{n}D_NULL_BEFORE_FULL": f"observations_count < {n + 1} AND return_{n}d IS NOT NULL",
         f"MA_{n}_NULL_BEFORE_FULL": f"observations_count < {n} AND ma_{n} IS NOT NULL",
@@ -219,7 +220,8 @@ final("history_checks", "daily", lambda p: H.history_checks(p.history), CHECK, "
         f"PCT_ALIAS_{n}": f"abs(return_{n}d * 100 - return_{n}d_pct) > 1e-12"}.items()},
     "RETURN_ALIAS": "abs(daily_return - daily_return_economic) > 1e-12",
     **{f"{c.upper()}_ALIAS": f"abs({c} - {c}_adjusted) > 1e-12" for c in C.PRICES},
-}, "ticker, trade_date"))
+}
+final("history_checks", "daily", lambda p: H.history_checks(p.history), CHECK, "history", checks_sql("history", HISTORY_RULES, "ticker, trade_date"))
 staged("session_calendar", "weekly", lambda p: p.calendar, "trade_date session_index", "calendar")
 _GAPS = ("ticker trade_date session_index previous_trade_date previous_session_index trading_gap_calendar_days "
          "trading_gap_sessions trading_gap_class")
@@ -275,12 +277,13 @@ final("feature_windows", "daily", lambda p: FE.feature_windows(p.history),
   FROM (SELECT feature_windows, count(*) AS row_count FROM history GROUP BY 1), range(1, 10) t(i)
   WHERE i <= len(string_split(feature_windows, ','))""")
 _FN = C.feature_names()
-final("feature_checks", "daily", lambda p: FE.feature_checks(p.features), CHECK, "features", checks_sql("features", {
+FEATURE_RULES = {
     "FEATURE_DATE_PRESENT": "feature_date IS NULL", "TICKER_PRESENT": "trim(coalesce(ticker, '')) = ''",
     **{f"{n.upper()}_FINITE": f"{n} IS NOT NULL AND NOT isfinite({n})" for n in _FN},
     "READY_HAS_FULL_WINDOW": "feature_ready AND observations_count < 21",
     "READY_HAS_RETURN": "feature_ready AND daily_return IS NULL",
-}, "ticker, feature_date"))
+}
+final("feature_checks", "daily", lambda p: FE.feature_checks(p.features), CHECK, "features", checks_sql("features", FEATURE_RULES, "ticker, feature_date"))
 _TRIED = _FN + ["close_price_raw", "daily_return_pct", "observations_count"]
 final("feature_contract", "daily", lambda p: FE.feature_contract(p.features, _TRIED),
       "feature_name is_numeric is_forbidden non_finite status", "features", " UNION ALL ".join(
@@ -392,7 +395,7 @@ final("split_overlap", "weekly", lambda p: S.split_overlap(p.split), "left_split
           f"SELECT '{a}' AS left_split, '{b}' AS right_split, count(*) AS shared_keys "
           f"FROM ({_KEYS}'{a}' INTERSECT {_KEYS}'{b}')"
           for a, b in (("train", "validation"), ("train", "test"), ("validation", "test"))))
-final("split_checks", "weekly", lambda p: S.split_checks(p.split), CHECK, "split", checks_sql("split", {
+SPLIT_RULES = {
     "TRAIN_FEATURE_BEFORE_VALIDATION": "split_name = 'train' AND feature_date >= validation_start",
     "TRAIN_TARGET_BEFORE_VALIDATION": "split_name = 'train' AND target_date >= validation_start",
     "VALIDATION_FEATURE_NOT_EARLY": "split_name = 'validation' AND feature_date < validation_start",
@@ -400,7 +403,8 @@ final("split_checks", "weekly", lambda p: S.split_checks(p.split), CHECK, "split
     "VALIDATION_TARGET_BEFORE_TEST": "split_name = 'validation' AND target_date >= test_start",
     "TEST_FEATURE_NOT_EARLY": "split_name = 'test' AND feature_date < test_start",
     "ROWS_ELIGIBLE": "NOT ml_eligible",
-}, "ticker, feature_date"))
+}
+final("split_checks", "weekly", lambda p: S.split_checks(p.split), CHECK, "split", checks_sql("split", SPLIT_RULES, "ticker, feature_date"))
 final("chronological_order", "weekly", lambda p: S.chronological_order(p.split),
       "split_name sample_rows first_feature_date last_feature_date last_target_date starts_after_previous_targets",
       "split", """

@@ -20,6 +20,7 @@ DEFAULT = [
     "panel_scan", "nearest_factor", "apply_reviews", "registry_checks", "adjusted_from_registry", "price_history", "price_quality",
     "ml_eligibility", "training_dataset", "temporal_split", "core_name", "fii_master", "resolve_current", "daily_snapshot",
     "zip_xml_ingest", "xml_instruments_scan", "csv_register_scan", "html_field_extract", "content_fingerprint",
+    "baseline_fit", "land_trades", "landing_rejects", "stored_latest", "version_history", "candidate_checks", "split_contract", "extreme_rows",
     "publish_partitioned", "context_records", "dataset_health", "history_audit", "cycle_state", "sql_history",
 ]
 KEYS = sorted(ORACLES) if os.environ.get("BRICKFOLIO_ALL") else DEFAULT
