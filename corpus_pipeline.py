@@ -1,6 +1,11 @@
 """Corpus pipeline: documents to clean, distinct, tokenised documents.
 
 Each stage works on all that the one before kept. A stage may be written as Parquet and read again before the next.
+
+Defined cases: null, empty and wordless texts are too short and go in the first stage; rows equal in id and text go through the first two stages alike
+and are one document from the third on; rows that share an id alone are documents of their own; a null id counts as later than all others and stays null;
+of equal or nearly equal documents the one of least id stays, its ties broken by a hash of the text; texts are never cut by length; an empty table gives an empty
+table; columns other than those of documents are dropped by the first stage.
 """
 
 from __future__ import annotations
