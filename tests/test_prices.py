@@ -130,3 +130,25 @@ def test_windows_need_all_their_values(panel, registry):
     assert got[5]["return_5d"] == pytest.approx(1.01 ** 5 - 1)
     assert got[7]["volatility_5d"] == pytest.approx(0, abs=1e-12)
     assert failed(H.history_checks(H.price_history(A.adjusted_from_registry(p, registry())))) == {}
+
+
+def test_factors_and_lookbacks_take_a_row_once(spark, panel, registry):
+    from brickfolio.operators import adjusted as A, eligibility as EL, quality as Q
+
+    closes = [90.0, 30.0, 31.0, 62.0, 61.0, 61.5, 20.5, 20.0]
+    prices = panel({"A": dict(enumerate(closes)), "B": {0: 5.0, 1: 5.1}})
+    thirds = {1: 1 / 3, 3: 2.0, 6: 1 / 3}
+    decided = registry(*[dict(ticker="A", event_date=day(n), review_status="CONFIRMED", event_type="SPLIT", quantity_multiplier=1 / f,
+                              price_adjustment_factor=f) for n, f in thirds.items()])
+    rows = A.adjusted_from_registry(prices, decided)
+    got = {(r.ticker, r.trade_date): r.structural_adjustment_factor for r in rows.collect()}
+    for n in range(len(closes)):
+        want = 1.0
+        for at, f in thirds.items():
+            want *= f if at > n else 1.0
+        assert got["A", day(n)] == want
+    assert got["B", day(0)] == got["B", day(1)] == 1.0
+    signals = EL.temporal_signals(Q.price_quality(rows))
+    for table in (rows, signals):
+        plan = table._jdf.queryExecution().optimizedPlan().toString().lower()
+        assert "rowframe, 1, unboundedfollowing" not in plan and "rowframe, -20, currentrow" not in plan
