@@ -436,10 +436,10 @@ def frequent(counts: DataFrame, most: int, least_count: int = 3) -> DataFrame:
     return counts.where(step >= least)
 
 
-def encode(docs: DataFrame, vocabulary: Vocabulary | None = None, id_col: str = "doc_id", text_col: str = "text", head: int = 1 << 20,
-           fold: str = "merge", carry: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, the columns to carry, text and ids of each document."""
-    spark, vocabulary = docs.sparkSession, vocabulary or Vocabulary.load()
+def _prepared(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", text_col: str = "text", head: int = 1 << 20,
+              fold: str = "merge", carry: tuple[str, ...] = ()) -> tuple[DataFrame, Callable, str]:
+    """Packed texts beside the ids of their rare units, the task's function that encodes them, and the schema it gives."""
+    spark = docs.sparkSession
     joins, pieces = vocabulary.joins(), vocabulary.table(spark)
     texts = bounded(docs).select(F.col(id_col).cast("long").alias("doc_id"), row_key(id_col, text_col).alias("rk"), F.col(text_col).cast("string").alias("text"), *carry)
     carried = "doc_id long, " + "".join(f"`{c}` {texts.schema[c].dataType.simpleString()}, " for c in carry)
@@ -460,8 +460,14 @@ def encode(docs: DataFrame, vocabulary: Vocabulary | None = None, id_col: str =
     order = {s: k for k, s in enumerate(sorted(set(vocabulary.scores), reverse=True))}
     rank = {p: order[s] for p, s in scores.items() if p}
     ids = {p: i for i, p in enumerate(vocabulary.pieces) if p}
-    return packed(texts, "text").join(folded, "rk", "left").mapInArrow(
-        tidy(_encode(joins, table, rank, ids, vocabulary.byte_ids, ["doc_id", *carry])), carried + "text string, ids array<int>")
+    return (packed(texts, "text").join(folded, "rk", "left"), _encode(joins, table, rank, ids, vocabulary.byte_ids, ["doc_id", *carry]),
+            carried + "text string, ids array<int>")
+
+
+def encode(docs: DataFrame, vocabulary: Vocabulary | None = None, **options) -> DataFrame:
+    """doc_id, the columns to carry, text and ids of each document; ``options`` as in ``_prepared``."""
+    rows, run, schema = _prepared(docs, vocabulary or Vocabulary.load(), **options)
+    return rows.mapInArrow(tidy(run), schema)
 
 
 def _decode(pieces: list[bytes], carried: list[str]) -> Callable:
@@ -489,9 +495,15 @@ def decode(tokens: DataFrame, vocabulary: Vocabulary | None = None) -> DataFrame
     return tokens.select(*carried).mapInArrow(tidy(_decode(vocabulary.piece_bytes(), carried)), schema)
 
 
-def tokenised(docs: DataFrame, carry: tuple[str, ...] = ("lang", "source"), **options) -> DataFrame:
-    """doc_id, the columns to carry, n_tokens, ids, same_text: whether decoding gives the text back."""
-    tokens = decode(encode(docs, carry=carry, **options))
+def tokenised(docs: DataFrame, carry: tuple[str, ...] = ("lang", "source"), vocabulary: Vocabulary | None = None, **options) -> DataFrame:
+    """doc_id, the columns to carry, n_tokens, ids, same_text: whether decoding gives the text back.
+
+    One worker encodes and decodes a slice of texts, so a task keeps one Python process and not two.
+    """
+    vocabulary = vocabulary or Vocabulary.load()
+    rows, encoded, schema = _prepared(docs, vocabulary, carry=carry, **options)
+    decoded = _decode(vocabulary.piece_bytes(), ["doc_id", *carry, "text", "ids"])
+    tokens = rows.mapInArrow(tidy(lambda batches: decoded(encoded(batches))), schema + ", decoded string")
     return tokens.select(
         "doc_id", *carry, F.size("ids").cast("long").alias("n_tokens"), "ids",
         (F.col("decoded") == F.translate(F.coalesce("text", F.lit("")), MARK, " ")).alias("same_text"))

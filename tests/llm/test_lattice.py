@@ -37,6 +37,12 @@ def test_decoding_gives_the_text_back(spark, model):
     assert report(docs.limit(0)).count() == 0
 
 
+def test_one_worker_encodes_and_decodes(spark):
+    docs = spark.createDataFrame(ROWS, "doc_id long, text string")
+    plan = report(docs)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 2  # texts are packed before the shuffle and read behind it
+
+
 def test_viterbi_as_brute_force(spark):
     rng = random.Random(3)
     pieces = sorted({"".join(rng.choice("abc") for _ in range(rng.randint(1, 4))) for _ in range(30)} - {"c"} | {"a", "b"})
