@@ -8,6 +8,13 @@ from brickfolio import contracts as C
 from brickfolio.functions import columns as X
 from brickfolio.operators.checks import rule_counts
 
+# columns of the training set that the split keeps under names of its own
+LINEAGE = [
+    "training_dataset_version", "source_feature_version", "source_ml_eligibility_version", "source_price_quality_version",
+    "source_price_history_version", "target_horizon", "target_horizon_semantics", "target_return_semantics", "price_semantics",
+    "return_semantics", "corporate_action_value_semantics",
+]
+
 
 def eligible_samples(training: DataFrame) -> DataFrame:
     return training.filter(X.flag("ml_eligible"))

@@ -13,6 +13,8 @@ from brickfolio.operators import (
 from brickfolio.plans import tables
 from brickfolio.session import write_and_reread
 
+KEYS = ["ticker", "feature_date", "target_date"]
+
 
 class Pipeline:
     """Each property is a lazy table built from the ones before it."""
@@ -42,6 +44,11 @@ class Pipeline:
     def reviewed(self) -> DataFrame:
         return discontinuities.apply_reviews(self.candidates, self.registry)
 
+    @cached_property
+    def stored_pending(self) -> DataFrame:
+        """Candidates still to be reviewed as a written table: the queue's order looks for its bounds first and so reads its input twice."""
+        return write_and_reread(self.reviewed.filter("review_status = 'PENDING_REVIEW'"), "pending")
+
     @cached_property
     def calendar(self) -> DataFrame:
         return calendar.session_calendar(self.panel)
@@ -72,30 +79,43 @@ class Pipeline:
 
     @cached_property
     def stored_training(self) -> DataFrame:
-        """The training set as a written table.
+        """The training set as a written table, for readers of the whole of it."""
+        return write_and_reread(self.training, "training")
+
+    @cached_property
+    def stored_samples(self) -> DataFrame:
+        """Keys, target, inputs and lineage of the training set as a written table.
 
         Split boundaries, folds and models each read it several times; without
-        the table every read would repeat the whole chain.
+        the table every read would repeat the whole chain. They read a third of
+        the columns, so the others are neither computed nor written.
         """
-        return write_and_reread(self.training, "training")
+        names = [*KEYS, "ml_eligible", "feature_ready", walkforward.TARGET, *C.feature_names(self.windows), *splits.LINEAGE]
+        return write_and_reread(self.training.select(*names), "samples")
 
     @cached_property
     def boundaries(self) -> DataFrame:
-        return splits.split_boundaries(self.stored_training)
+        return splits.split_boundaries(self.stored_samples)
 
     @cached_property
     def split(self) -> DataFrame:
+        """The split of the whole rows."""
         return splits.temporal_split(self.stored_training)
 
+    @cached_property
+    def sample_split(self) -> DataFrame:
+        """The split of the samples' keys, targets, inputs and lineage."""
+        return splits.temporal_split(self.stored_samples)
+
     @cached_property
     def stored_split(self) -> DataFrame:
         """The split as a written table, for reports that read it several times."""
-        names = ["split_name", "ticker", "feature_date", "target_date", walkforward.TARGET, *C.feature_names(self.windows)]
-        return write_and_reread(self.split.select(*names), "split")
+        names = ["split_name", *KEYS, walkforward.TARGET, *C.feature_names(self.windows)]
+        return write_and_reread(self.sample_split.select(*names), "split")
 
     @cached_property
     def universe(self) -> DataFrame:
         """Samples before the test split, written once: every fold statistic reads them again."""
-        rows = walkforward.pre_test_universe(self.stored_training, self.boundaries)
-        names = ["ticker", "feature_date", "target_date", walkforward.TARGET, *C.feature_names(self.windows)]
+        rows = walkforward.pre_test_universe(self.stored_samples, self.boundaries)
+        names = [*KEYS, walkforward.TARGET, *C.feature_names(self.windows)]
         return write_and_reread(rows.select(*names), "universe")

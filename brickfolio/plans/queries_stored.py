@@ -17,7 +17,7 @@ from brickfolio.plans.catalog import register
 from brickfolio.plans.oracle_price import price_sql
 from brickfolio.plans.pipeline import Pipeline
 from brickfolio.plans.queries_identity import identity_sql
-from brickfolio.plans.queries_price import CHECK, PANEL_COLUMNS, _METRICS, final
+from brickfolio.plans.queries_price import CHECK, PANEL_COLUMNS, _METRICS, final, twice
 from brickfolio.plans.shape import select_list
 from brickfolio.session import scratch_path, write_and_reread
 from brickfolio.sources import partitions as PT, stored as ST
@@ -189,7 +189,7 @@ _SIDES = ["train", "validation", "test"]
 
 def _spoiled_splits(p):
     """The stored splits against the stored training set, with a violation of each rule, by the day of the month."""
-    split = write_and_reread(p.split.select("split_name", "ticker", "feature_date", "ml_eligible", "target_return_next_5d"), "splits")
+    split = write_and_reread(p.sample_split.select("split_name", "ticker", "feature_date", "ml_eligible", "target_return_next_5d"), "splits")
     day = F.day("feature_date")
     split = split.withColumns({
         "ticker": F.when((F.col("split_name") == "train") & (day == 3), F.concat(F.lit("X"), "ticker")).otherwise(F.col("ticker")),
@@ -198,7 +198,7 @@ def _spoiled_splits(p):
     sides = {n: split.filter(F.col("split_name") == n) for n in _SIDES}
     sides["validation"] = sides["validation"].unionByName(sides["train"].filter(day == 9))
     sides["test"] = sides["test"].unionByName(sides["test"])
-    return S.split_contract(sides, p.stored_training)
+    return S.split_contract(sides, p.stored_samples)
 
 
 _T = "split_name = 'train'"
@@ -206,7 +206,7 @@ final("split_contract", "weekly", _spoiled_splits, CHECK, "split", "SELECT *, CA
       + " UNION ALL ".join(f"SELECT '{n}' AS check_name, count(*) AS violations FROM split WHERE {w}" for n, w in {
           "KEY_IN_ONE_SPLIT": f"{_T} AND day(feature_date) = 9", "KEY_ONCE_PER_SPLIT": "split_name = 'test'", "KEY_IN_TRAINING": f"{_T} AND day(feature_date) = 3",
           "ROW_ELIGIBLE": f"{_T} AND day(feature_date) = 5", "TARGET_UNCHANGED": f"{_T} AND day(feature_date) = 7"}.items()) + ")")
-final("split_contract_sound", "weekly", lambda p: S.split_contract({n: p.split.filter(F.col("split_name") == n) for n in _SIDES}, p.stored_training), CHECK, "split",
+final("split_contract_sound", "weekly", lambda p: S.split_contract({n: p.sample_split.filter(F.col("split_name") == n) for n in _SIDES}, p.stored_samples), CHECK, "split",
       "SELECT unnest(['KEY_IN_ONE_SPLIT', 'KEY_ONCE_PER_SPLIT', 'KEY_IN_TRAINING', 'ROW_ELIGIBLE', 'TARGET_UNCHANGED']) AS check_name, CAST(0 AS BIGINT) AS violations, 'PASS' AS status "
       "FROM (SELECT count(*) AS n FROM split) WHERE n > 0")
 _EXTREME = ("split_name side position ticker feature_date target_date close_price target_price_next_5d target_pct price_return_pct economic_price_diff_pct")
@@ -257,13 +257,13 @@ def _spoiled_training(p):
     day = F.day("feature_date")
     put = lambda n, c, v: F.when(day == n, v).otherwise(F.col(c))
     y = "target_return_next_5d"
-    rows = p.stored_training.withColumns({
+    rows = p.training.withColumns({
         "target_date": put(3, "target_date", F.col("feature_date")), "feature_ready": put(4, "feature_ready", F.lit(False)),
         y: F.when(day == 5, F.lit(float("nan"))).when(day == 6, F.lit(-1.5)).otherwise(F.col(y)),
         "target_global_session_index": put(7, "target_global_session_index", F.col("target_global_session_index") + 1),
         "ml_eligible": put(8, "ml_eligible", ~F.col("ml_eligible")),
         "target_economic_vs_price_difference": put(9, "target_economic_vs_price_difference", F.col("target_economic_vs_price_difference") + 1)})
-    return TR.training_checks(rows.unionByName(rows.filter(day == 10)))
+    return TR.training_checks(twice(rows, day == 10))
 
 
 _DAYS = {"TICKER_PRESENT": "false", "FEATURE_DATE_PRESENT": "false", "TARGET_DATE_PRESENT": "false", "TARGET_AFTER_FEATURE": "k = 3", "FEATURE_READY": "k = 4", "TARGET_FINITE": "k = 5",
