@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from brickfolio import contracts as C
 from brickfolio.functions import columns as X
@@ -41,6 +41,20 @@ OUTPUT = [
     "corporate_action_value_semantics", "eligibility_policy",
 ]
 
+# columns of one value in every row, but for those of the horizon
+FIXED = {
+    "feature_return_window": C.RETURN_WINDOW, "feature_price_lookback_observations": C.PRICE_LOOKBACK,
+    "ml_eligibility_version": C.ELIGIBILITY_VERSION, "source_feature_version": C.FEATURE_VERSION,
+    "source_price_quality_version": C.PRICE_QUALITY_VERSION, "source_price_quality_source": C.ADJUSTED_SOURCE,
+    "price_semantics": C.PRICE_SEMANTICS, "return_semantics": C.RETURN_SEMANTICS,
+    "corporate_action_value_semantics": C.CA_VALUE_SEMANTICS, "eligibility_policy": C.ELIGIBILITY_POLICY,
+}
+
+
+def fixed_columns(horizon: int = C.TARGET_HORIZON) -> dict[str, Column]:
+    """The literals of the columns that have the same value in every row of ``ml_eligibility``."""
+    return {c: F.lit(v) for c, v in {**FIXED, "target_horizon": horizon, "target_horizon_semantics": C.HORIZON_SEMANTICS}.items()}
+
 
 def blocking_signals(quality: DataFrame) -> DataFrame:
     review = X.flag(F.col("ml_quality_status") == "REVIEW")
@@ -134,15 +148,7 @@ def with_verdict(samples: DataFrame) -> DataFrame:
             "ml_ineligibility_reason": X.joined_flags([
                 (~F.col("feature_window_clean"), "BLOCKING_EVENT_IN_FEATURE_LOOKBACK"),
                 (~F.col("target_horizon_clean"), "BLOCKING_EVENT_IN_TARGET_HORIZON")]),
-            "feature_return_window": F.lit(C.RETURN_WINDOW),
-            "feature_price_lookback_observations": F.lit(C.PRICE_LOOKBACK),
-            "ml_eligibility_version": F.lit(C.ELIGIBILITY_VERSION),
-            "source_feature_version": F.lit(C.FEATURE_VERSION),
-            "source_price_quality_version": F.lit(C.PRICE_QUALITY_VERSION),
-            "source_price_quality_source": F.lit(C.ADJUSTED_SOURCE),
-            "price_semantics": F.lit(C.PRICE_SEMANTICS), "return_semantics": F.lit(C.RETURN_SEMANTICS),
-            "corporate_action_value_semantics": F.lit(C.CA_VALUE_SEMANTICS),
-            "eligibility_policy": F.lit(C.ELIGIBILITY_POLICY),
+            **{c: F.lit(v) for c, v in FIXED.items()},
         })
     )
 

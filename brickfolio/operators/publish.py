@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
 
 from brickfolio.contracts import RUN_TIME_COLUMNS, ContractError
 from brickfolio.operators.checks import assert_passed
@@ -59,38 +59,49 @@ def publish_decision(new: DataFrame, published: DataFrame, key: list[str], force
     return new.join(renamed, key, "left").withColumn("action", action).drop("exists", "old_content", "old_raw")
 
 
+def _write(df: DataFrame, path: str, partition: list[str], order: list[str], fixed: dict[str, Column], mode: str | None = None) -> None:
+    """Ordered rows, grouped by partition, to files. Columns of one value take no part in the shuffle and the sort: they are put in as the rows are written."""
+    rows = df.drop(*fixed)
+    if partition:
+        rows = rows.hint("rebalance", *partition)
+    # without partitions there is no shuffle: a sort by ranges would look for its bounds first and so see the rows twice
+    writer = rows.sortWithinPartitions(*partition, *order).withColumns(fixed).select(df.columns).write.mode("overwrite").option("compression", "zstd")
+    if mode:
+        writer = writer.option("partitionOverwriteMode", mode)
+    (writer.partitionBy(*partition) if partition else writer).parquet(path)
+
+
 def publish_partitioned(df: DataFrame, path: str, partition: list[str], order: list[str]) -> DataFrame:
     """Write partitions in place and return them as read back.
 
     ``rebalance`` groups the rows by partition and lets AQE split a partition
     that is much larger than the rest into several files.
     """
-    (df.hint("rebalance", *partition).sortWithinPartitions(*partition, *order)
-     .write.mode("overwrite").partitionBy(*partition).parquet(path))
+    _write(df, path, partition, order, {})
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _multiset(columns: list[str]) -> list[Column]:
-    """Count, xor and sum of row hashes: equal for equal rows in any order."""
-    digest = F.md5(_row_text(columns))
-    half = lambda start: F.conv(F.substring(digest, start, 15), 16, 10).cast("bigint")
-    return [F.count(F.lit(1)).alias("rows"), *[F.bit_xor(half(k)).alias(f"x{k}") for k in (1, 16)],
-            *[F.sum(half(k).cast("decimal(38,0)")).alias(f"s{k}") for k in (1, 16)]]
+def _multiset(df: DataFrame) -> list[Column]:
+    """Count, xor and sum of two hashes of each row: equal for equal rows in any order.
+
+    A hash passes over nulls and takes both zeros for one, so it is also given which values are null and the text of a zero.
+    """
+    fields = sorted(df.schema.fields, key=lambda f: f.name)
+    value = lambda f: F.col(f.name).cast("string") if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType)) else F.col(f.name)
+    zeros = [F.when(F.col(f.name) == 0, F.col(f.name).cast("string")) for f in fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
+    hashed = [F.xxhash64(F.lit(seed), *[F.col(f.name).isNull() for f in fields], *[value(f) for f in fields], *zeros) for seed in (1, 2)]
+    return [F.count(F.lit(1)).alias("rows"), *[F.bit_xor(h).alias(f"x{k}") for k, h in enumerate(hashed)],
+            *[F.sum(h.cast("decimal(38,0)")).alias(f"s{k}") for k, h in enumerate(hashed)]]
 
 
-def publish_verified(df: DataFrame, path: str, partition: list[str], order: list[str]) -> DataFrame:
+def publish_verified(df: DataFrame, path: str, partition: list[str], order: list[str], fixed: dict[str, Column] | None = None) -> DataFrame:
     """Publish a whole table, partitioned or not, and make sure that what lies there is the input, row by row.
 
-    The input is summed up while it is written; the stored files are read back and summed up in the same way.
+    The input is summed up while it is written; the stored files are read back and summed up in the same way. ``fixed`` holds the literals of
+    columns that have the same value in every row; a value that is not the input's own is found like any other difference.
     """
-    sums, seen = _multiset(sorted(df.columns)), Observation()
-    rows = df.observe(seen, *sums)
-    if partition:
-        (rows.hint("rebalance", *partition).sortWithinPartitions(*partition, *order)
-         .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*partition).parquet(path))
-    else:
-        # a sort by ranges would look for its bounds first and so see the rows twice
-        rows.sortWithinPartitions(*order).write.mode("overwrite").parquet(path)
+    sums, seen = _multiset(df), Observation()
+    _write(df.observe(seen, *sums), path, partition, order, fixed or {}, "static" if partition else None)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     found, expected = out.agg(*sums).first().asDict(), seen.get
     if found != {k: expected[k] for k in found}:

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from brickfolio import contracts as C
 from brickfolio.functions import columns as X
 from brickfolio.functions.windows import running
 from brickfolio.operators.calendar import session_calendar
 from brickfolio.operators.checks import rule_counts
-from brickfolio.operators import features as FEATURES
+from brickfolio.operators import eligibility as EL, features as FEATURES
 from brickfolio.operators.eligibility import (
     OUTPUT as ELIGIBILITY, RUNNING, temporal_signals, with_sample_keys, with_target_row, with_verdict,
 )
@@ -89,6 +89,20 @@ def output_columns(windows=C.DEFAULT_WINDOWS, horizon: int = C.TARGET_HORIZON) -
          "source_ml_eligibility_version", "training_sample_policy"])
 
 
+def fixed_columns(windows=C.DEFAULT_WINDOWS, horizon: int = C.TARGET_HORIZON) -> dict[str, Column]:
+    """The literals of the columns that have the same value in every row of ``training_from_adjusted``."""
+    own = {
+        "feature_version": C.FEATURE_VERSION, "feature_windows": ",".join(map(str, C.normalize_windows(windows))),
+        "source_price_history_version": C.PRICE_HISTORY_VERSION, "source_price_history_source": C.ADJUSTED_SOURCE,
+        "feature_price_semantics": C.PRICE_SEMANTICS, "feature_return_semantics": C.FEATURE_RETURN_SEMANTICS,
+        "feature_corporate_action_policy": C.FEATURE_CA_POLICY, "target_name": f"target_return_next_{horizon}d",
+        "target_return_semantics": C.RETURN_SEMANTICS, "training_dataset_version": C.TRAINING_VERSION,
+        "source_ml_eligibility_version": C.ELIGIBILITY_VERSION, "training_sample_policy": C.TRAINING_POLICY,
+    }
+    every = {**EL.fixed_columns(horizon), **{c: F.lit(v) for c, v in own.items()}}
+    return {c: every[c] for c in output_columns(C.normalize_windows(windows), horizon) if c in every}
+
+
 def _sample_rows(adjusted: DataFrame, calendar: DataFrame | None, windows, horizon: int) -> DataFrame:
     """Adjusted rows widened by history, quality, features, signals and the row T+h.
 

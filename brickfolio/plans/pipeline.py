@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from brickfolio import contracts as C
 from brickfolio.operators import (
-    adjusted, calendar, discontinuities, features, history, quality, splits, training, walkforward,
+    adjusted, calendar, discontinuities, eligibility, features, history, quality, splits, training, walkforward,
 )
 from brickfolio.plans import tables
 from brickfolio.session import write_and_reread
@@ -102,6 +102,11 @@ class Pipeline:
         """The split of the whole rows."""
         return splits.temporal_split(self.stored_training)
 
+    @cached_property
+    def fixed(self) -> dict[str, dict[str, Column]]:
+        """By stage the literals of the columns that have one value in all of its rows."""
+        return {"eligibility": eligibility.fixed_columns(), "training": training.fixed_columns(self.windows)}
+
     @cached_property
     def sample_split(self) -> DataFrame:
         """The split of the samples' keys, targets, inputs and lineage."""

@@ -65,8 +65,9 @@ def published(key, kind, build, date_column, partition, columns, part, where="")
     parts = {"year": f"CAST(year({date_column}) AS INT) AS year", "month": f"CAST(month({date_column}) AS INT) AS month"}
 
     def run(s, d):
-        rows = P.with_date_parts(build(getattr(Pipeline, kind)(s, d)), date_column).drop(*[c for c in _DAY_PARTS if c not in partition])
-        return P.publish_verified(rows, scratch_path(s, key), partition, [date_column, "ticker"])
+        p = getattr(Pipeline, kind)(s, d)
+        rows = P.with_date_parts(build(p), date_column).drop(*[c for c in _DAY_PARTS if c not in partition])
+        return P.publish_verified(rows, scratch_path(s, key), partition, [date_column, "ticker"], p.fixed.get(part))
     register(key, run, cols, price_sql(kind, f"SELECT {', '.join([select_list(list(columns)), *[parts[c] for c in partition]])} FROM {part} {where}", part))
 
 

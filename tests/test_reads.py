@@ -53,3 +53,13 @@ def test_training_rules_read_the_chain_once(pipeline):
     plan = plan_of(checks)
     assert "Union" not in plan and plan.count("session_index#") > 0 and "parquet" not in plan
     assert {r.check_name: r.violations > 0 for r in checks.collect()}["KEY_UNIQUE"]
+
+
+def test_fixed_columns_are_those_of_the_rows(pipeline):
+    for stage, fixed in pipeline.fixed.items():
+        rows = getattr(pipeline, stage)
+        assert len(fixed) > 10 and set(fixed) <= set(rows.columns)
+        wrong = rows.withColumns({f"own_{c}": v for c, v in fixed.items()}).agg(F.count(F.lit(1)).alias("rows"), *[F.count_if(~F.col(c).eqNullSafe(F.col(f"own_{c}"))).alias(c) for c in fixed])
+        found = wrong.first().asDict()
+        assert found.pop("rows") > 0 and not any(found.values())
+        assert [rows.schema[c].dataType for c in fixed] == [rows.select(v.alias(c)).schema[0].dataType for c, v in fixed.items()]

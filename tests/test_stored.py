@@ -161,3 +161,22 @@ def test_undated_rows_are_listed_and_states_without_an_action_stop(spark, tmp_pa
     assert {r.action: r.run_dates for r in HE.action_counts(states).collect()} == {"NO_ACTION": 2, "ALERT_AND_INVESTIGATE": 1}
     with pytest.raises(Exception, match="no action for the state LOST"):
         HE.action_counts(spark.createDataFrame([("LOST",)], "cycle_state string")).collect()
+
+
+def test_columns_of_one_value_are_neither_shuffled_nor_sorted(spark, tmp_path):
+    rows = spark.createDataFrame([(k % 3, f"r{k}", float(k)) for k in range(30)], "p int, a string, b double").withColumns({"v": F.lit("v1"), "n": F.lit(5)})
+    fixed = {"v": F.lit("v1"), "n": F.lit(5)}
+    for parts in (["p"], []):
+        out = P.publish_verified(rows, str(tmp_path / f"ok{len(parts)}"), parts, ["a"], fixed)
+        assert sorted(map(str, out.select(rows.columns).collect())) == sorted(map(str, rows.collect()))
+    with pytest.raises(ContractError, match="published rows are not the input"):
+        P.publish_verified(rows, str(tmp_path / "bad"), ["p"], ["a"], {"v": F.lit("v2")})
+
+
+def test_a_row_sum_tells_nulls_zeros_and_their_places_apart(spark):
+    rows = [(None, "a", 0.0), ("a", None, 0.0), ("a", None, -0.0), ("a", None, None), (None, None, 0.0), ("", None, 0.0), (None, None, float("nan"))]
+    sums = {str(spark.createDataFrame([r], "a string, b string, c double").transform(lambda df: df.agg(*P._multiset(df))).first()) for r in rows}
+    assert len(sums) == len(rows)
+    twice = spark.createDataFrame([rows[0], rows[0], rows[1]], "a string, b string, c double")
+    other = spark.createDataFrame([rows[0], rows[1], rows[1]], "a string, b string, c double")
+    assert twice.agg(*P._multiset(twice)).first() != other.agg(*P._multiset(other)).first()
