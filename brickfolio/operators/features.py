@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from brickfolio import contracts as C
 from brickfolio.functions import columns as X
@@ -31,21 +31,26 @@ def ml_features(history: DataFrame, windows=C.DEFAULT_WINDOWS) -> DataFrame:
         output_columns(C.normalize_windows(windows)))
 
 
-def with_features(history: DataFrame, windows=C.DEFAULT_WINDOWS) -> DataFrame:
-    """Add cross-window features and readiness to history rows."""
-    windows = C.normalize_windows(windows)
+def cross_columns(windows=C.DEFAULT_WINDOWS) -> dict[str, Column]:
+    """The cross-window features, which follow from others of the same row."""
     cross = {}
     for a, b in zip(windows, windows[1:]):
         cross[f"return_spread_{a}d_{b}d"] = F.col(f"return_{a}d") - F.col(f"return_{b}d")
         cross[f"ma_ratio_{a}_{b}"] = X.ratio(f"ma_{a}", f"ma_{b}")
         cross[f"volatility_ratio_{a}d_{b}d"] = X.ratio(f"volatility_{a}d", f"volatility_{b}d")
         cross[f"trades_ratio_{a}d_{b}d"] = X.ratio(f"trades_avg_{a}d", f"trades_avg_{b}d")
+    return cross
+
+
+def with_features(history: DataFrame, windows=C.DEFAULT_WINDOWS) -> DataFrame:
+    """Add cross-window features and readiness to history rows."""
+    windows = C.normalize_windows(windows)
     needed = ["daily_return"] + [
         c for n in windows
         for c in (f"return_{n}d", f"ma_{n}", f"volatility_{n}d", f"trades_avg_{n}d", f"price_to_ma{n}")]
     ready = X.all_of([F.col(c).isNotNull() for c in needed] + [F.col("observations_count") > max(windows)])
     return history.withColumns({
-        **cross,
+        **cross_columns(windows),
         "feature_ready": ready,
         "feature_version": F.lit(C.FEATURE_VERSION),
         "source_price_history_version": F.col("price_history_version"),

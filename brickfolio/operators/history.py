@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from brickfolio import contracts as C
 from brickfolio.functions import columns as X
@@ -40,6 +40,16 @@ def price_history(adjusted: DataFrame, windows=C.DEFAULT_WINDOWS) -> DataFrame:
     return with_history(adjusted, windows).select(output_columns(C.normalize_windows(windows)))
 
 
+def derived_columns(windows=C.DEFAULT_WINDOWS) -> dict[str, Column]:
+    """The rolling columns that follow from others of the same row."""
+    derived = {}
+    for n in windows:
+        derived[f"return_{n}d_pct"] = F.col(f"return_{n}d") * 100
+        derived[f"volatility_{n}d_pct"] = F.col(f"volatility_{n}d") * 100
+        derived[f"price_to_ma{n}"] = X.ratio("close_price", f"ma_{n}")
+    return derived
+
+
 def with_history(adjusted: DataFrame, windows=C.DEFAULT_WINDOWS) -> DataFrame:
     """Add the history columns to adjusted rows."""
     windows = C.normalize_windows(windows)
@@ -60,11 +70,6 @@ def with_history(adjusted: DataFrame, windows=C.DEFAULT_WINDOWS) -> DataFrame:
         rolled[f"volatility_{n}d"] = full_window(r, n, w, F.stddev_samp(r))
         rolled[f"trades_avg_{n}d"] = F.when(total_of_last(F.count(trades), n) == n, total_of_last(F.sum(trades), n) / n) if whole else full_window(
             trades, n, w, F.avg(trades))
-    derived = {}
-    for n in windows:
-        derived[f"return_{n}d_pct"] = F.col(f"return_{n}d") * 100
-        derived[f"volatility_{n}d_pct"] = F.col(f"volatility_{n}d") * 100
-        derived[f"price_to_ma{n}"] = X.ratio("close_price", f"ma_{n}")
     lineage = {
         "price_history_version": F.lit(C.PRICE_HISTORY_VERSION),
         "price_history_source": F.lit(C.ADJUSTED_SOURCE),
@@ -72,7 +77,7 @@ def with_history(adjusted: DataFrame, windows=C.DEFAULT_WINDOWS) -> DataFrame:
         "corporate_action_value_semantics": F.lit(C.CA_VALUE_SEMANTICS),
         "feature_windows": F.lit(",".join(map(str, windows))),
     }
-    return base.withColumns(rolled).withColumns({**derived, **lineage})
+    return base.withColumns(rolled).withColumns({**derived_columns(windows), **lineage})
 
 
 def history_checks(history: DataFrame, windows=C.DEFAULT_WINDOWS, dataset: str | None = None) -> DataFrame:

@@ -59,25 +59,28 @@ def publish_decision(new: DataFrame, published: DataFrame, key: list[str], force
     return new.join(renamed, key, "left").withColumn("action", action).drop("exists", "old_content", "old_raw")
 
 
-def _write(df: DataFrame, path: str, partition: list[str], order: list[str], fixed: dict[str, Column], mode: str | None = None) -> None:
-    """Ordered rows, grouped by partition, to files. Columns of one value take no part in the shuffle and the sort: they are put in as the rows are written."""
-    rows = df.drop(*fixed)
+def _write(df: DataFrame, path: str, partition: list[str], order: list[str], given: list[dict[str, Column]], mode: str | None = None) -> None:
+    """Ordered rows, grouped by partition, to files. Given columns take no part in the shuffle and the sort: they are put in as the rows are written, group by group."""
+    rows = df.drop(*[c for group in given for c in group])
     if partition:
         rows = rows.hint("rebalance", *partition)
     # without partitions there is no shuffle: a sort by ranges would look for its bounds first and so see the rows twice
-    writer = rows.sortWithinPartitions(*partition, *order).withColumns(fixed).select(df.columns).write.mode("overwrite").option("compression", "zstd")
+    rows = rows.sortWithinPartitions(*partition, *order)
+    for group in given:
+        rows = rows.withColumns(group)
+    writer = rows.select(df.columns).write.mode("overwrite").option("compression", "zstd")
     if mode:
         writer = writer.option("partitionOverwriteMode", mode)
     (writer.partitionBy(*partition) if partition else writer).parquet(path)
 
 
-def publish_partitioned(df: DataFrame, path: str, partition: list[str], order: list[str]) -> DataFrame:
-    """Write partitions in place and return them as read back.
+def publish_partitioned(df: DataFrame, path: str, partition: list[str], order: list[str], given: list[dict[str, Column]] | None = None) -> DataFrame:
+    """Write partitions in place and return them as read back; ``given`` as in ``publish_verified``, but not verified.
 
     ``rebalance`` groups the rows by partition and lets AQE split a partition
     that is much larger than the rest into several files.
     """
-    _write(df, path, partition, order, {})
+    _write(df, path, partition, order, given or [])
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -94,14 +97,14 @@ def _multiset(df: DataFrame) -> list[Column]:
             *[F.sum(h.cast("decimal(38,0)")).alias(f"s{k}") for k, h in enumerate(hashed)]]
 
 
-def publish_verified(df: DataFrame, path: str, partition: list[str], order: list[str], fixed: dict[str, Column] | None = None) -> DataFrame:
+def publish_verified(df: DataFrame, path: str, partition: list[str], order: list[str], given: dict[str, Column] | list[dict[str, Column]] | None = None) -> DataFrame:
     """Publish a whole table, partitioned or not, and make sure that what lies there is the input, row by row.
 
-    The input is summed up while it is written; the stored files are read back and summed up in the same way. ``fixed`` holds the literals of
-    columns that have the same value in every row; a value that is not the input's own is found like any other difference.
+    The input is summed up while it is written; the stored files are read back and summed up in the same way. ``given`` holds groups of
+    columns that have the same value in every row or follow from others of the row; a value that is not the input's own is found like any other difference.
     """
     sums, seen = _multiset(df), Observation()
-    _write(df.observe(seen, *sums), path, partition, order, fixed or {}, "static" if partition else None)
+    _write(df.observe(seen, *sums), path, partition, order, [given] if isinstance(given, dict) else given or [], "static" if partition else None)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     found, expected = out.agg(*sums).first().asDict(), seen.get
     if found != {k: expected[k] for k in found}:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from brickfolio import contracts as C
 from brickfolio.functions import columns as X
@@ -68,7 +68,13 @@ def labelled_samples(training: DataFrame, boundaries: DataFrame) -> DataFrame:
 def temporal_split(training: DataFrame, validation_days: int = C.VALIDATION_DAYS,
                    test_days: int = C.TEST_DAYS) -> DataFrame:
     boundaries = split_boundaries(training, validation_days, test_days)
-    return labelled_samples(training, boundaries).filter(F.col("split_name").isNotNull()).withColumns({
+    return labelled_samples(training, boundaries).filter(F.col("split_name").isNotNull()).withColumns(
+        given_columns(validation_days, test_days)).drop("split_region")
+
+
+def given_columns(validation_days: int = C.VALIDATION_DAYS, test_days: int = C.TEST_DAYS) -> dict[str, Column]:
+    """The columns of a split that are of one value or repeat one of the training set."""
+    return {
         "split_version": F.lit("v3"),
         "validation_days": F.lit(validation_days), "test_days": F.lit(test_days),
         "split_source_training_dataset_version": F.col("training_dataset_version"),
@@ -85,7 +91,7 @@ def temporal_split(training: DataFrame, validation_days: int = C.VALIDATION_DAYS
         "split_return_semantics": F.col("return_semantics"),
         "split_corporate_action_value_semantics": F.col("corporate_action_value_semantics"),
         "test_holdout_policy": F.lit(C.HOLDOUT_POLICY),
-    }).drop("split_region")
+    }
 
 
 def purge_diagnostics(training: DataFrame, validation_days: int = C.VALIDATION_DAYS,

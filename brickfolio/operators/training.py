@@ -9,7 +9,7 @@ from brickfolio.functions import columns as X
 from brickfolio.functions.windows import running
 from brickfolio.operators.calendar import session_calendar
 from brickfolio.operators.checks import rule_counts
-from brickfolio.operators import eligibility as EL, features as FEATURES
+from brickfolio.operators import eligibility as EL, features as FEATURES, history as HISTORY
 from brickfolio.operators.eligibility import (
     OUTPUT as ELIGIBILITY, RUNNING, temporal_signals, with_sample_keys, with_target_row, with_verdict,
 )
@@ -56,19 +56,27 @@ def training_dataset(features: DataFrame, eligibility: DataFrame, history: DataF
     return with_targets(samples, horizon).select(output_columns(windows, horizon))
 
 
-def with_targets(samples: DataFrame, horizon: int) -> DataFrame:
+def target_columns(horizon: int = C.TARGET_HORIZON) -> list[dict[str, Column]]:
+    """The target columns that follow from others of the same row; the second group is of the first."""
     h = f"{horizon}d"
     target, price_only = f"target_return_next_{h}", f"target_price_return_next_{h}"
+    return [{
+        price_only: X.ratio(f"target_price_next_{h}", "close_price") - 1.0,
+        target: F.exp(F.col("economic_curve_at_target") - F.col("economic_curve_at_feature")) - 1.0,
+    }, {
+        f"{price_only}_pct": F.col(price_only) * 100, f"{target}_pct": F.col(target) * 100,
+        "target_economic_vs_price_difference": F.col(target) - F.col(price_only),
+        "target_economic_vs_price_difference_pct": (F.col(target) - F.col(price_only)) * 100,
+    }]
+
+
+def with_targets(samples: DataFrame, horizon: int) -> DataFrame:
+    returns, differences = target_columns(horizon)
     return (
-        samples.withColumns({
-            price_only: X.ratio(f"target_price_next_{h}", "close_price") - 1.0,
-            target: F.exp(F.col("economic_curve_at_target") - F.col("economic_curve_at_feature")) - 1.0,
-        })
+        samples.withColumns(returns)
         .withColumns({
-            f"{price_only}_pct": F.col(price_only) * 100, f"{target}_pct": F.col(target) * 100,
-            "target_economic_vs_price_difference": F.col(target) - F.col(price_only),
-            "target_economic_vs_price_difference_pct": (F.col(target) - F.col(price_only)) * 100,
-            "target_name": F.lit(target), "target_return_semantics": F.lit(C.RETURN_SEMANTICS),
+            **differences,
+            "target_name": F.lit(f"target_return_next_{horizon}d"), "target_return_semantics": F.lit(C.RETURN_SEMANTICS),
             "target_horizon": F.lit(horizon), "target_horizon_semantics": F.lit(C.HORIZON_SEMANTICS),
             "training_dataset_version": F.lit(C.TRAINING_VERSION),
             "source_ml_eligibility_version": F.col("ml_eligibility_version"),
@@ -103,6 +111,14 @@ def fixed_columns(windows=C.DEFAULT_WINDOWS, horizon: int = C.TARGET_HORIZON) ->
     return {c: every[c] for c in output_columns(C.normalize_windows(windows), horizon) if c in every}
 
 
+def given_columns(windows=C.DEFAULT_WINDOWS, horizon: int = C.TARGET_HORIZON) -> list[dict[str, Column]]:
+    """The columns of ``training_from_adjusted`` that need not be carried: of one value, or computed from others of the row as they were first."""
+    windows = C.normalize_windows(windows)
+    returns, differences = target_columns(horizon)
+    aliases = {"close_price_adjusted": F.col("close_price"), "daily_return_economic": F.col("daily_return"), "daily_return_pct": F.col("daily_return") * 100}
+    return [{**fixed_columns(windows, horizon), **aliases, **HISTORY.derived_columns(windows), **FEATURES.cross_columns(windows), **returns}, differences]
+
+
 def _sample_rows(adjusted: DataFrame, calendar: DataFrame | None, windows, horizon: int) -> DataFrame:
     """Adjusted rows widened by history, quality, features, signals and the row T+h.
 

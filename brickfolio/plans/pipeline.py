@@ -79,8 +79,12 @@ class Pipeline:
 
     @cached_property
     def stored_training(self) -> DataFrame:
-        """The training set as a written table, for readers of the whole of it."""
-        return write_and_reread(self.training, "training")
+        """The training set as a written table, for readers of the whole of it; the columns that are given are put in as it is read."""
+        given = self.given["training"]
+        rows = write_and_reread(self.training.drop(*[c for group in given for c in group]), "training")
+        for group in given:
+            rows = rows.withColumns(group)
+        return rows.select(self.training.columns)
 
     @cached_property
     def stored_samples(self) -> DataFrame:
@@ -107,6 +111,12 @@ class Pipeline:
         """By stage the literals of the columns that have one value in all of its rows."""
         return {"eligibility": eligibility.fixed_columns(), "training": training.fixed_columns(self.windows)}
 
+    @cached_property
+    def given(self) -> dict[str, list[dict[str, Column]]]:
+        """By stage groups of columns that have one value in all of its rows, or follow from others of the row."""
+        samples = training.given_columns(self.windows)
+        return {"eligibility": [self.fixed["eligibility"]], "training": samples, "split": [*samples, splits.given_columns()]}
+
     @cached_property
     def sample_split(self) -> DataFrame:
         """The split of the samples' keys, targets, inputs and lineage."""

@@ -478,7 +478,8 @@ cycle("cycle_state_counts", lambda c: HE.state_counts(_states(c)), "cycle_state
 def _published_table(s, d, stage, table, partition):
     """The stage's table, published under its partition column and read back; each call publishes the tables as they are now."""
     path = scratch_path(s, f"published-{stage}")
-    P.publish_partitioned(table(), path, [partition], ["ticker"])
+    rows, given = table()
+    P.publish_partitioned(rows, path, [partition], ["ticker"], given)
     return s.read.parquet(path)
 
 
@@ -489,7 +490,8 @@ def _saved(name):
     def build(s, d):
         def table():
             p = getattr(Pipeline, kind)(s, d)
-            return SN.daily_snapshot(p.panel, TB.price_master(s, d)) if stage == "snapshot" else getattr(p, stage)
+            rows = SN.daily_snapshot(p.panel, TB.price_master(s, d)) if stage == "snapshot" else getattr(p, stage)
+            return rows, p.given.get(stage)
         view = f"saved_{stage}"
         _published_table(s, d, stage, table, "split_name" if stage == "split" else day).createOrReplaceTempView(view)
         return s.sql(SQL.statement(name, view))

@@ -67,7 +67,7 @@ def published(key, kind, build, date_column, partition, columns, part, where="")
     def run(s, d):
         p = getattr(Pipeline, kind)(s, d)
         rows = P.with_date_parts(build(p), date_column).drop(*[c for c in _DAY_PARTS if c not in partition])
-        return P.publish_verified(rows, scratch_path(s, key), partition, [date_column, "ticker"], p.fixed.get(part))
+        return P.publish_verified(rows, scratch_path(s, key), partition, [date_column, "ticker"], p.given.get(part))
     register(key, run, cols, price_sql(kind, f"SELECT {', '.join([select_list(list(columns)), *[parts[c] for c in partition]])} FROM {part} {where}", part))
 
 

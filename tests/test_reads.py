@@ -63,3 +63,27 @@ def test_fixed_columns_are_those_of_the_rows(pipeline):
         found = wrong.first().asDict()
         assert found.pop("rows") > 0 and not any(found.values())
         assert [rows.schema[c].dataType for c in fixed] == [rows.select(v.alias(c)).schema[0].dataType for c, v in fixed.items()]
+
+
+def test_given_columns_are_those_of_the_rows_and_are_not_stored_or_sorted(pipeline, tmp_path, monkeypatch):
+    """Columns that follow from others of a row were stored for the split, and shuffled and sorted with it."""
+    from brickfolio.operators import publish as P
+    from brickfolio.plans import pipeline as PL
+
+    sorted_by, stored, kind = [], [], type(pipeline.training)
+    sort, store = kind.sortWithinPartitions, PL.write_and_reread
+    monkeypatch.setattr(kind, "sortWithinPartitions", lambda self, *a: (sorted_by.append(self.columns), sort(self, *a))[1])
+    monkeypatch.setattr(PL, "write_and_reread", lambda df, name: (stored.append(df.columns), store(df, name))[1])
+    pipeline.__dict__.pop("stored_training", None), pipeline.__dict__.pop("split", None)
+    for stage, partition in (("training", "feature_date"), ("split", "split_name")):
+        rows, given = getattr(pipeline, stage), pipeline.given[stage]
+        names = {c for group in given for c in group}
+        assert len(names) > 30 and names <= set(rows.columns)
+        out = P.publish_partitioned(rows, str(tmp_path / stage), [partition], ["ticker"], given)
+        out = out.select(rows.columns)  # the partition comes last as read
+        assert rows.count() == out.count() > 0
+        assert out.exceptAll(rows).count() == rows.exceptAll(out).count() == 0
+        assert not names & set(sorted_by[-1])
+    assert len(stored) == 1 and not {c for group in pipeline.given["training"] for c in group} & set(stored[0])
+    assert pipeline.stored_training.columns == pipeline.training.columns
+    assert pipeline.stored_training.exceptAll(pipeline.training).count() == 0
